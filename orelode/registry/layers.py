@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from orelode.operators.scd2 import scd2_apply, unknown_member
 from orelode.plans.gold import changed_customer_ids, customer_source, fact_source, product_source
 from orelode.plans.silver import first_load, merge_silver, silver_source, tag
 from orelode.sources.feeds import FEEDS, LOAD_TS, bronze_feed
+from orelode.sources.paths import materialise
 from orelode.specs import DIM_CUSTOMERS, DIM_PRODUCTS, ENTITIES, FACTS, DimSpec
 
 BUCKETS = 64
@@ -23,10 +25,30 @@ def ts(batch: int) -> Column:
     return ntz(LOAD_TS[batch])
 
 
-@dataclass(frozen=True)
 class Layers:
-    spark: SparkSession
-    sf_dir: str
+    """One query's view of the layers.
+
+    Lazy by default. With ``store`` the silver tables and dimensions are written to shared scratch
+    storage as they are first needed and read from there, as gold loads read them in a real run:
+    each is computed once, and Spark plans the gold joins on measured sizes.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, store: bool = False):
+        self.spark, self.sf_dir, self.store = spark, sf_dir, store
+        self._stored: dict[tuple, DataFrame] = {}
+
+    def _keep(self, name: tuple, build: Callable[[], DataFrame]) -> DataFrame:
+        if not self.store:
+            return build()
+        if name not in self._stored:
+            self._stored[name] = materialise(build(), "-".join(map(str, name)))
+        return self._stored[name]
+
+    def warm(self, *entities: str, through: int = 2) -> Layers:
+        """Write the silver tables of independent entities at the same time."""
+        with ThreadPoolExecutor(len(entities)) as pool:
+            list(pool.map(lambda e: self.silver(e, through), entities))
+        return self
 
     def tagged(self, entity: str, *batches: int, strict: bool = False) -> DataFrame:
         return tag(bronze_feed(self.spark, self.sf_dir, entity, *batches), ENTITIES[entity], strict)
@@ -40,18 +62,27 @@ class Layers:
     def silver(self, entity: str, through: int = 2) -> DataFrame:
         """The silver table after one or both batches, with the last merge's actions."""
         spec = ENTITIES[entity]
-        first = first_load(self.source(entity, 1), spec.columns, ts(1))
+        first = self._keep(
+            ("silver", entity, 1), lambda: first_load(self.source(entity, 1), spec.columns, ts(1))
+        )
         if through == 1 or not self.has_second(entity):
             return first
-        return merge_silver(first.drop(ACTION), self.source(entity, 2), spec, ts(2))
+        return self._keep(
+            ("silver", entity, 2),
+            lambda: merge_silver(first.drop(ACTION), self.source(entity, 2), spec, ts(2)),
+        )
 
     def changes(self, entity: str, batch: int) -> DataFrame:
         """The after-images batch 1 or 2 leaves in the change feed."""
-        if batch == 1 or not self.has_second(entity):
+        if batch == 1:
             return self.silver(entity, 1)
-        spec = ENTITIES[entity]
+        if self.store:
+            return self.silver(entity).where(F.col(ACTION) != KEEP)
         return merge_changes(
-            self.silver(entity, 1).drop(ACTION), self.source(entity, 2), MergeRule.for_entity(spec), ts(2)
+            self.silver(entity, 1).drop(ACTION),
+            self.source(entity, 2),
+            MergeRule.for_entity(ENTITIES[entity]),
+            ts(2),
         )
 
     def dim_source(self, name: str, load: int) -> DataFrame:
@@ -62,14 +93,17 @@ class Layers:
             self.silver("customers", load), self.silver("addresses", load), ids, ts(load)
         )
 
-    def empty_dim(self, spec: DimSpec) -> DataFrame:
-        return unknown_member(self.spark, spec)
-
     def dim(self, spec: DimSpec, through: int = 2, mode: str = "versioned") -> DataFrame:
-        state = self.empty_dim(spec)
-        for load in range(1, through + 1):
-            state = scd2_apply(state, self.dim_source(spec.name, load), spec, load - 1, BUCKETS, mode)
-        return state
+        """The dimension after its loads, the unknown member included."""
+
+        def build() -> DataFrame:
+            state = unknown_member(self.spark, spec)
+            for load in range(1, through + 1):
+                source = self.dim_source(spec.name, load)
+                state = scd2_apply(state, source, spec, load - 1, BUCKETS, mode)
+            return state
+
+        return self._keep((spec.name, through, mode), build)
 
     def fact_rows(self, name: str, changes: DataFrame, load: int) -> DataFrame:
         """Merge source of one load. Dimensions are as of both their loads: facts run last."""
@@ -94,10 +128,6 @@ class Layers:
         return merge_apply(first.drop(ACTION), second, MergeRule.for_fact(spec), ts(2))
 
 
-def written(df: DataFrame) -> DataFrame:
-    return df.where(F.col(ACTION) != KEEP)
-
-
 def present(df: DataFrame) -> DataFrame:
     """Decimals as doubles and dates as text, which every client compares alike."""
     casts = {}

@@ -30,6 +30,26 @@ from orelode.specs import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Silver tables each gold table is loaded from.
+_CUSTOMER = ("customers", "addresses")
+READS = {
+    "dim_products": ("products",),
+    "dim_customers": _CUSTOMER,
+    "fact_orders": ("orders", *_CUSTOMER),
+    "fact_sales": ("order_items", "orders", "products", *_CUSTOMER),
+    "fact_shipments": ("shipments", "orders", *_CUSTOMER),
+    "fact_payments": ("payments", "orders", *_CUSTOMER),
+    "fact_order_status_history": ("order_status_history",),
+}
+
+
+def stored(spark: SparkSession, d: str, *entities: str) -> Layers:
+    return Layers(spark, d, store=True).warm(*entities)
+
+
+def stored_for(spark: SparkSession, d: str, *tables: str) -> Layers:
+    return stored(spark, d, *dict.fromkeys(e for t in tables for e in READS[t]))
+
 
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
@@ -120,7 +140,7 @@ def dq_payments_negative(spark: SparkSession, d: str) -> DataFrame:
 
 def dq_orphans(spark: SparkSession, d: str) -> DataFrame:
     """Silver rows whose parent was rejected or never came, per reference."""
-    layers = Layers(spark, d)
+    layers = stored(spark, d, "products", "customers", "addresses", "orders", "order_items", "payments", "shipments")
     checks = (
         ("order_items", "orders", "order_id", "order_id", "ORPHAN_ORDER"),
         ("order_items", "products", "product_id", "product_id", "ORPHAN_PRODUCT"),
@@ -174,7 +194,7 @@ def dim_date_days(spark: SparkSession, d: str) -> DataFrame:
 
 def unknown_members(spark: SparkSession, d: str) -> DataFrame:
     """Sales that resolve to the unknown product, by its attributes."""
-    layers = Layers(spark, d)
+    layers = stored_for(spark, d, "fact_sales")
     sales = layers.fact("fact_sales").groupBy("product_key").agg(
         F.count(F.lit(1)).alias("lines"), F.sum("total_line_amount").alias("amount")
     )
@@ -188,7 +208,7 @@ def dim_state(spec, state: str) -> Query:
     """The second load's source rows that are new to the dimension, or changed in it."""
 
     def run(spark: SparkSession, d: str) -> DataFrame:
-        layers = Layers(spark, d)
+        layers = stored_for(spark, d, spec.name)
         marked = classify(layers.dim(spec, 1), layers.dim_source(spec.name, 2), spec)
         kept = [c for c in spec.columns if c not in (spec.surrogate, "valid_to", "is_current")]
         return marked.where(F.col(STATE) == state).select(*kept)
@@ -212,16 +232,16 @@ def changed_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dim_customers_source(spark: SparkSession, d: str) -> DataFrame:
-    return Layers(spark, d).dim_source(DIM_CUSTOMERS.name, 2)
+    return stored_for(spark, d, DIM_CUSTOMERS.name).dim_source(DIM_CUSTOMERS.name, 2)
 
 
 def scd2(spec, mode: str) -> Query:
-    return lambda spark, d: Layers(spark, d).dim(spec, mode=mode)
+    return lambda spark, d: stored_for(spark, d, spec.name).dim(spec, mode=mode)
 
 
 def pit(spark: SparkSession, d: str) -> DataFrame:
     """Every item of the feed against the product version valid when it was sold."""
-    dim = Layers(spark, d).dim(DIM_PRODUCTS)
+    dim = stored_for(spark, d, DIM_PRODUCTS.name).dim(DIM_PRODUCTS)
     found = pit_lookup(typed_feed(spark, d, "order_items"), dim, DIM_PRODUCTS, "product_id", "created_at")
     return found.groupBy("product_key").agg(
         F.count(F.lit(1)).alias("items"), F.sum("quantity").alias("units")
@@ -229,12 +249,12 @@ def pit(spark: SparkSession, d: str) -> DataFrame:
 
 
 def fact(name: str) -> Query:
-    return lambda spark, d: Layers(spark, d).fact(name)
+    return lambda spark, d: stored_for(spark, d, name).fact(name)
 
 
 def surrogate_keys(spark: SparkSession, d: str) -> DataFrame:
     """Per table and load: how many keys, how many of them repeat, and that none leaves its block."""
-    layers = Layers(spark, d)
+    layers = stored_for(spark, d, "fact_orders", "dim_products")
     tables = {
         "dim_products": (layers.dim(DIM_PRODUCTS), "product_key"),
         "dim_customers": (layers.dim(DIM_CUSTOMERS), "customer_key"),
@@ -261,7 +281,7 @@ def merge_source_duplicates(spark: SparkSession, d: str) -> DataFrame:
 
 def gold_views(spark: SparkSession, d: str) -> DataFrame:
     """Row counts read through the published views."""
-    layers = Layers(spark, d)
+    layers = stored_for(spark, d, *READS)
     tables = {s.name: layers.dim(s) for s in (DIM_CUSTOMERS, DIM_PRODUCTS)}
     tables |= {name: layers.fact(name) for name in FACTS}
     views = publish_views(tables, role="ANALYST")
@@ -280,16 +300,16 @@ def masked_customers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def kpi_revenue_by_month(spark: SparkSession, d: str) -> DataFrame:
-    layers = Layers(spark, d)
+    layers = stored_for(spark, d, "fact_sales")
     return revenue_by_month(layers.fact("fact_sales"), layers.dim(DIM_PRODUCTS))
 
 
 def kpi_shipping(spark: SparkSession, d: str) -> DataFrame:
-    return shipping_by_carrier(Layers(spark, d).fact("fact_shipments"))
+    return shipping_by_carrier(stored_for(spark, d, "fact_shipments").fact("fact_shipments"))
 
 
 def kpi_orders_by_status(spark: SparkSession, d: str) -> DataFrame:
-    return orders_by_status(Layers(spark, d).fact("fact_orders"))
+    return orders_by_status(stored_for(spark, d, "fact_orders").fact("fact_orders"))
 
 
 def all_queries() -> dict[str, Query]:

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orelode.operators.changes import BATCH, net_changes
-from orelode.operators.merge import ACTION
+from orelode.operators.merge import ACTION, MergeRule, merge_changes
 from orelode.plans.audit import Step, observe_actions, observe_verdicts
 from orelode.plans.silver import silver_source
 from orelode.registry.layers import Layers, ts
-from orelode.operators.merge import MergeRule, merge_changes
 from orelode.sources.bronze import BRONZE_SCHEMA, read_raw
 from orelode.sources.feeds import LOAD_TS, bronze_feed, json_feed
 from orelode.sources.paths import scratch_dir
@@ -111,8 +111,9 @@ def change_feed_net(spark: SparkSession, d: str) -> DataFrame:
 def audit_counts(spark: SparkSession, d: str) -> DataFrame:
     """Counts of the last load of every entity, observed on the write itself."""
     layers = Layers(spark, d)
-    rows = []
-    for name, spec in ENTITIES.items():
+
+    def one(name: str) -> tuple:
+        spec = ENTITIES[name]
         last = 2 if layers.has_second(name) else 1
         tagged, verdicts = observe_verdicts(layers.tagged(name, last), f"audit_dq_{name}")
         source = silver_source(tagged, spec)
@@ -124,9 +125,10 @@ def audit_counts(spark: SparkSession, d: str) -> DataFrame:
         changes, actions = observe_actions(changes, f"audit_merge_{name}")
         changes.write.mode("overwrite").parquet(scratch_dir(spark, f"audit-{name}"))
         v, a = verdicts.get, actions.get
-        rows.append((
-            name, v["read"], v["rejected"], v["accepted"], v["undecided"], a["inserted"], a["updated"]
-        ))
+        return name, v["read"], v["rejected"], v["accepted"], v["undecided"], a["inserted"], a["updated"]
+
+    with ThreadPoolExecutor(4) as pool:
+        rows = list(pool.map(one, ENTITIES))
     return spark.createDataFrame(
         rows,
         "entity string, read bigint, rejected bigint, accepted bigint, undecided bigint, "
@@ -137,10 +139,11 @@ def audit_counts(spark: SparkSession, d: str) -> DataFrame:
 def run_both_loads(spark: SparkSession, d: str, root: str) -> Medallion:
     """Land both batches of all eight feeds and run the three layers after each."""
     m = Medallion(spark, root)
+    layers = Layers(spark, d)
     for batch in ROOT_BATCHES:
-        for entity in ENTITIES:
-            if batch == 1 or Layers(spark, d).has_second(entity):
-                _land(spark, d, entity, batch, m.landing)
+        landing = [e for e in ENTITIES if batch == 1 or layers.has_second(e)]
+        with ThreadPoolExecutor(len(landing)) as pool:
+            list(pool.map(lambda e: _land(spark, d, e, batch, m.landing), landing))  # noqa: B023
         m.run(f"run-{batch}", LOAD_TS[batch])
     return m
 

@@ -394,8 +394,8 @@ def _silver_oracles() -> dict[str, str]:
         out[f"silver_merge_{e}"] = q.query(f"SELECT * FROM {q.silver(e)}", money, dates)
     q = Sql()
     out["dq_undecided"] = q.query(" UNION ALL ".join(
-        f"SELECT '{e}' AS entity, m.mode, count(*) AS n FROM {q.tagged(e)} CROSS JOIN "
-        "(VALUES ('literal'), ('strict')) m(mode) WHERE verdict = 'undecided' GROUP BY m.mode"
+        f"SELECT '{e}' AS entity, count(*) FILTER (WHERE verdict = 'undecided') AS undecided, "
+        f"count(*) FILTER (WHERE verdict = 'undecided') AS strict_unknown FROM {q.tagged(e)}"
         for e in ENTITIES
     ))
     q = Sql()

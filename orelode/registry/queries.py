@@ -13,7 +13,7 @@ from orelode.functions.masking import mask_columns
 from orelode.operators.keys import KEY_BLOCK
 from orelode.operators.lookup import pit_lookup
 from orelode.operators.merge import ACTION, duplicate_keys
-from orelode.operators.quality import orphans, undecided, verdict
+from orelode.operators.quality import dq_tag, orphans, parse, verdict
 from orelode.operators.scd2 import CHANGED, NEW, SAME, STATE, classify
 from orelode.plans.gold import changed_customer_ids, dim_date
 from orelode.plans.silver import tag
@@ -81,12 +81,13 @@ def dq_undecided(spark: SparkSession, d: str) -> DataFrame:
     """Rows no rule decides, and what strict mode makes of them."""
 
     def one(entity: str) -> DataFrame:
-        literal = Layers(spark, d).tagged(entity)
-        strict = tag(bronze_feed(spark, d, entity), ENTITIES[entity], strict=True)
-        rows = undecided(literal).select(F.lit("literal").alias("mode")).unionByName(
-            strict.where(F.col("_error_type") == "UNKNOWN").select(F.lit("strict").alias("mode"))
-        )
-        return rows.groupBy("mode").agg(F.count(F.lit(1)).alias("n")).withColumn("entity", F.lit(entity))
+        spec = ENTITIES[entity]
+        literal = dq_tag(parse(bronze_feed(spark, d, entity), spec), spec)
+        both = dq_tag(literal.withColumn("_open", F.col("_rejected").isNull()), spec, strict=True)
+        return both.agg(
+            F.count(F.when(F.col("_open"), 1)).alias("undecided"),
+            F.count(F.when(F.col("_error_type") == "UNKNOWN", 1)).alias("strict_unknown"),
+        ).withColumn("entity", F.lit(entity))
 
     return _union([one(e) for e in ENTITIES])
 

@@ -45,7 +45,7 @@ class Options:
     strict_quality: bool = False
     scd2_mode: str = "versioned"
     one_default_address: bool = False
-    parallel: int = 4  # loads of independent tables run at the same time
+    parallel: int = 8  # loads of independent tables run at the same time
     max_files: int = 1000  # raw files per bronze micro-batch; bounds the file list in the log
     snapshot_every: int = 16
 

@@ -97,15 +97,11 @@ def merge_changes(
     source: DataFrame,
     rule: MergeRule,
     load_ts: Column,
-    touched: DataFrame | None = None,
 ) -> DataFrame:
     """Only the rows the merge inserts or updates, as after-images.
 
-    ``touched`` may give the distinct keys of the batch. The target is then first reduced to them
-    by a semi join; where they measure small Spark broadcasts them and never shuffles the table.
+    ``target`` need only hold the rows the source's keys can match.
     """
-    if touched is not None:
-        target = target.join(touched, rule.key, "left_semi")
     if rule.gate == "never":
         keys = target.select(rule.key)
         new = source.join(keys, rule.key, "left_anti")

@@ -35,17 +35,12 @@ def unknown_member(spark, spec: DimSpec) -> DataFrame:
     return spark.range(1).select(*cols)
 
 
-def classify(
-    dim: DataFrame, source: DataFrame, spec: DimSpec, touched: DataFrame | None = None
-) -> DataFrame:
+def classify(dim: DataFrame, source: DataFrame, spec: DimSpec) -> DataFrame:
     """Source rows marked new, changed or same against the current versions, read once.
 
     Carries the whole current version along (prefixed ``_t_``) for closing it.
     """
-    current = dim.where(F.col("is_current"))
-    if touched is not None:
-        current = current.join(touched, spec.natural_key, "left_semi")
-    current = current.select(*(F.col(c).alias(f"_t_{c}") for c in spec.columns))
+    current = dim.where(F.col("is_current")).select(*(F.col(c).alias(f"_t_{c}") for c in spec.columns))
     joined = source.join(
         current, F.col(spec.natural_key) == F.col(f"_t_{spec.natural_key}"), "left"
     )
@@ -64,7 +59,6 @@ def scd2_changes(
     load_no: int,
     buckets: int,
     mode: str = "versioned",
-    touched: DataFrame | None = None,
 ) -> DataFrame:
     """The dimension rows this load writes: closed versions (update) and opened ones (insert).
 
@@ -80,7 +74,7 @@ def scd2_changes(
         opening = F.col(STATE) != SAME
     # Numbered before the join result is split, so that one pass yields both kinds of row.
     numbered = assign_keys(source, "_new_key", spec.natural_key, load_no, buckets, ("hash_value",))
-    marked = classify(dim, numbered, spec, touched).where(F.col(STATE) != SAME)
+    marked = classify(dim, numbered, spec).where(F.col(STATE) != SAME)
 
     def closed(c: str) -> Column:
         if c == "valid_to":

@@ -62,21 +62,30 @@ class ChangeTable:
             f"{self.path}/changes"
         )
 
-    def state(self, before: int | None = None) -> DataFrame:
-        """The table as of all committed batches, or those before a given one."""
+    def state(self, before: int | None = None, touching: DataFrame | None = None) -> DataFrame:
+        """The table as of all committed batches, or those before a given one.
+
+        ``touching`` (distinct values of one column) limits the state to rows with those values.
+        It meets the files first: where it measures small Spark broadcasts it, and neither the
+        snapshot nor the feed is shuffled.
+        """
 
         def in_scope(n: int) -> bool:
             return before is None or n < before
 
+        def limited(df: DataFrame) -> DataFrame:
+            return df if touching is None else df.join(touching, touching.columns, "left_semi")
+
         snapshot = max(filter(in_scope, self._snapshots()), default=None)
         batches = [b for b in self._batches() if in_scope(b) and (snapshot is None or b > snapshot)]
         base = None
         if snapshot is not None:
-            base = self.spark.read.schema(self.schema).parquet(f"{self.path}/snapshot/_through={snapshot}")
+            files = f"{self.path}/snapshot/_through={snapshot}"
+            base = limited(self.spark.read.schema(self.schema).parquet(files))
         if not batches:
             return base if base is not None else self.spark.createDataFrame([], self.schema)
-        feed = self.feed(batches)
+        feed = limited(self.feed(batches))
         if not self.insert_only and len(batches) > 1:
             feed = net_changes(feed, self.key)
-        feed = feed.drop(ACTION, BATCH)
+        feed = feed.select(*(c for c in feed.columns if c not in (ACTION, BATCH)))
         return feed if base is None else apply_changes(base, feed, self.key)

@@ -228,7 +228,8 @@ class Medallion:
                 table.compact(batch_id)
                 source = silver_source(tagged, spec)
                 touched = accepted(tagged, spec).select(spec.key).distinct()
-                changes = merge_changes(table.state(before=batch_id), source, rule, ntz(load_ts), touched)
+                target = table.state(before=batch_id, touching=touched)
+                changes = merge_changes(target, source, rule, ntz(load_ts))
                 changes, actions = observe_actions(changes, f"merge_{spec.name}_{batch_id}")
                 table.write_changes(changes, batch_id)
             finally:
@@ -292,18 +293,19 @@ class Medallion:
         ) as step:
             if not all(exists(self.spark, f"{t.path}/changes") for t in (customers, addresses)):
                 return
-            ids = customers.feed_stream().select("customer_id").union(
+            changed = customers.feed_stream().select("customer_id").union(
                 addresses.feed_stream().select("customer_id")
             )
 
             def write(batch: DataFrame, batch_id: int) -> None:
+                ids = batch.where(F.col("customer_id").isNotNull()).distinct()
                 source = customer_source(
-                    customers.state(), addresses.state(), batch.distinct(), ntz(load_ts),
+                    customers.state(touching=ids), addresses.state(touching=ids), ids, ntz(load_ts),
                     self.options.one_default_address,
                 )
                 self._write_dim(DIM_CUSTOMERS, source, batch_id, step)
 
-            self._run(ids, write, "dim_customers")
+            self._run(changed, write, "dim_customers")
 
     def _write_dim(self, spec: DimSpec, source: DataFrame, batch_id: int, step: Step) -> None:
         table = self.gold(spec.name)
@@ -314,9 +316,10 @@ class Medallion:
                 example = twice.first()[0]
                 raise AmbiguousSource(f"{spec.name}: {spec.natural_key} {example} occurs more than once")
             table.compact(batch_id)
+            touched = source.select(spec.natural_key).distinct()
+            target = table.state(before=batch_id, touching=touched)
             changes = scd2_changes(
-                table.state(before=batch_id), source, spec, batch_id, self._buckets(),
-                self.options.scd2_mode, source.select(spec.natural_key).distinct(),
+                target, source, spec, batch_id, self._buckets(), self.options.scd2_mode
             )
             changes, actions = observe_actions(changes, f"{spec.name}_{batch_id}")
             table.write_changes(changes, batch_id)
@@ -340,19 +343,20 @@ class Medallion:
 
             def write(batch: DataFrame, batch_id: int) -> None:
                 net = batch if silver.insert_only else net_changes(batch, silver.key)
+                orders = None
+                if spec.name in ("fact_sales", "fact_shipments", "fact_payments"):
+                    orders = self.silver("orders").state(touching=batch.select("order_id").distinct())
                 rows = fact_source(
                     spec.name,
                     net,
-                    self.silver("orders").state() if spec.name != "fact_orders" else None,
+                    orders,
                     self.gold("dim_products").state(),
                     self.gold("dim_customers").state(),
                 )
                 source = assign_keys(rows, spec.surrogate, spec.key, batch_id, self._buckets())
                 table.compact(batch_id)
-                touched = batch.select(spec.key).distinct()
-                changes = merge_changes(
-                    table.state(before=batch_id), source, rule, ntz(load_ts), touched
-                )
+                target = table.state(before=batch_id, touching=batch.select(spec.key).distinct())
+                changes = merge_changes(target, source, rule, ntz(load_ts))
                 changes, actions = observe_actions(changes, f"{spec.name}_{batch_id}")
                 table.write_changes(changes, batch_id)
                 a = actions.get

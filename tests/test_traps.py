@@ -147,9 +147,7 @@ def test_scd2_changes_applied_equal_scd2_apply(priced, spark, bronze):
     source = product_source(silver_source(tag(bronze(rows), PRODUCTS), PRODUCTS))
     for mode in ("versioned", "close_only"):
         whole = scd2_apply(dim, source, DIM_PRODUCTS, 5, 8, mode)
-        written = scd2_changes(
-            dim, source, DIM_PRODUCTS, 5, 8, mode, source.select("product_id").distinct()
-        )
+        written = scd2_changes(dim, source, DIM_PRODUCTS, 5, 8, mode)
         stepwise = apply_changes(dim, written, "product_key")
         assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, stepwise.collect()))
 
@@ -327,8 +325,8 @@ def test_whole_and_stepwise_merge_agree(bronze, at):
         ORDERS,
     )
     whole = merge_apply(first, second, rule, at(T))
-    for touched in (None, second.select("order_id").distinct()):
-        changes = merge_changes(first, second, rule, at(T), touched)
+    for target in (first, first.join(second.select("order_id"), "order_id", "left_semi")):
+        changes = merge_changes(target.select(*ORDERS.columns), second, rule, at(T))
         assert sorted(r[ACTION] for r in changes.collect()) == ["insert"] * 3 + ["update"] * 2
         stepwise = apply_changes(first, changes, "order_id")
         assert sorted(map(tuple, whole.drop(ACTION).collect())) == sorted(map(tuple, stepwise.collect()))

@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 # has to look up the largest key already given out.
 KEY_BLOCK = 1 << 40
 
-_MODULUS = 2147483647  # a prime, so strided keys still spread over the buckets
-_MULTIPLIER = 48271
+# Multiplying by a generator modulo a prime and keeping the high end spreads consecutive and strided
+# keys alike; both factors stay below 2^31, so the product fits a bigint.
+_MODULUS = 2147483647
+_MULTIPLIER = 1583458089
 
 
 def key_bucket(key: Column, buckets: int) -> Column:
     """Spread whole-number keys evenly over ``buckets``, by arithmetic any SQL engine can repeat."""
     mixed = F.pmod(F.pmod(key, F.lit(_MODULUS)) * F.lit(_MULTIPLIER), F.lit(_MODULUS))
-    return F.coalesce(F.pmod(mixed, F.lit(buckets)), F.lit(0)).cast("bigint")
+    bucket = F.call_function("div", mixed * F.lit(buckets), F.lit(_MODULUS))
+    return F.coalesce(bucket, F.lit(0)).cast("bigint")
 
 
 def assign_keys(

@@ -192,8 +192,8 @@ class Sql:
 
     @staticmethod
     def key(key: str, load: int, more: str = "") -> str:
-        mixed = f"((({key} % 2147483647) * 48271) % 2147483647)"
-        bucket = f"coalesce({mixed} % {_BUCKETS}, 0)"
+        mixed = f"((({key} % 2147483647) * 1583458089) % 2147483647)"
+        bucket = f"coalesce(({mixed} * {_BUCKETS}) // 2147483647, 0)"
         order = f"{key} NULLS FIRST{more}"
         return (
             f"CAST({(load - 1) * _BLOCK} + (row_number() OVER (PARTITION BY {bucket} ORDER BY {order}) - 1)"

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orelode.functions.dates import ntz
+from orelode.sources.paths import stored_bytes
 from orelode.specs import ENTITIES, KINDS
 
 LOAD_TS = {1: "1995-01-01 00:00:00", 2: "1998-01-01 00:00:00"}
@@ -209,8 +210,16 @@ FEEDS: dict[str, Feed] = {
 }
 
 
-def _tables(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
+def _table(spark: SparkSession, path: str) -> DataFrame:
+    """A table, spread over the cores if it is too small for Spark to split between them.
+
+    Below one file-open cost per core a scan yields fewer tasks than cores, and building and
+    parsing records costs far more than moving a few megabytes. Larger tables are read in place.
+    """
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    open_cost = spark._jsparkSession.sessionState().conf().filesOpenCostInBytes()
+    return df.repartition(cores) if stored_bytes(spark, path) < cores * open_cost else df
 
 
 def _emit(spark: SparkSession, sf_dir: str, entity: str, batches: tuple[int, ...], shape) -> DataFrame:
@@ -222,9 +231,12 @@ def _emit(spark: SparkSession, sf_dir: str, entity: str, batches: tuple[int, ...
     feed = FEEDS[entity]
     images = [i for i in feed.images if not batches or i.batch in batches]
     base = feed.base
-    for t in feed.tables:
+    tables = {}
+    for n, t in enumerate(feed.tables):
         base = base.replace(t, f"{{{t}}} AS {t}", 1)
-    rows = spark.sql(f"SELECT * FROM {base}", **_tables(spark, sf_dir, feed.tables))
+        path = f"{sf_dir}/{t}.parquet"
+        tables[t] = _table(spark, path) if n == 0 else spark.read.parquet(path)
+    rows = spark.sql(f"SELECT * FROM {base}", **tables)
     if len(images) == 1 and images[0].where:
         rows = rows.where(images[0].where)
         parts = [F.struct(*shape(images[0]))]

@@ -92,6 +92,14 @@ def merge_apply(target: DataFrame, source: DataFrame, rule: MergeRule, load_ts:
     return _next_image(joined, rule, load_ts)
 
 
+def insert_all(source: DataFrame, rule: MergeRule, load_ts: Column) -> DataFrame:
+    """What merging into an empty table writes, without a join."""
+    return source.select(
+        *(load_ts.alias(c) if c == rule.stamp else F.col(c) for c in rule.columns),
+        F.lit(INSERT).alias(ACTION),
+    )
+
+
 def merge_changes(
     target: DataFrame,
     source: DataFrame,
@@ -104,11 +112,7 @@ def merge_changes(
     """
     if rule.gate == "never":
         keys = target.select(rule.key)
-        new = source.join(keys, rule.key, "left_anti")
-        return new.select(
-            *(load_ts.alias(c) if c == rule.stamp else F.col(c) for c in rule.columns),
-            F.lit(INSERT).alias(ACTION),
-        )
+        return insert_all(source.join(keys, rule.key, "left_anti"), rule, load_ts)
     s = source.withColumn(_HIT_S, F.lit(True))
     joined = s.join(_target_side(target, rule), F.col(rule.key) == F.col(f"_t_{rule.key}"), "left")
     return _next_image(joined, rule, load_ts).where(F.col(ACTION) != KEEP)

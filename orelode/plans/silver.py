@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from orelode.operators.dedup import latest_per_key
-from orelode.operators.merge import ACTION, INSERT, MergeRule, merge_apply
+from orelode.operators.merge import MergeRule, merge_apply
 from orelode.operators.quality import accepted, dq_tag, parse
 from orelode.specs import EntitySpec
 
@@ -20,11 +19,6 @@ def silver_source(tagged: DataFrame, spec: EntitySpec) -> DataFrame:
     return latest_per_key(accepted(tagged, spec), spec)
 
 
-def first_load(source: DataFrame, columns: tuple[str, ...], load_ts: Column) -> DataFrame:
-    """What merging into an empty table yields."""
-    return source.withColumn("ingestion_ts", load_ts).select(*columns, F.lit(INSERT).alias(ACTION))
-
-
 def merge_silver(
     target: DataFrame, source: DataFrame, spec: EntitySpec, load_ts: Column
 ) -> DataFrame:

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from orelode.functions.dates import ntz
 from orelode.operators.keys import assign_keys
-from orelode.operators.merge import ACTION, KEEP, MergeRule, merge_apply, merge_changes
+from orelode.operators.merge import ACTION, KEEP, MergeRule, insert_all, merge_apply, merge_changes
 from orelode.operators.scd2 import scd2_apply, unknown_member
 from orelode.plans.gold import changed_customer_ids, customer_source, fact_source, product_source
-from orelode.plans.silver import first_load, merge_silver, silver_source, tag
+from orelode.plans.silver import merge_silver, silver_source, tag
 from orelode.sources.feeds import FEEDS, LOAD_TS, bronze_feed
 from orelode.sources.paths import materialise
 from orelode.specs import DIM_CUSTOMERS, DIM_PRODUCTS, ENTITIES, FACTS, DimSpec
@@ -63,7 +63,7 @@ class Layers:
         """The silver table after one or both batches, with the last merge's actions."""
         spec = ENTITIES[entity]
         first = self._keep(
-            ("silver", entity, 1), lambda: first_load(self.source(entity, 1), spec.columns, ts(1))
+            ("silver", entity, 1), lambda: insert_all(self.source(entity, 1), MergeRule.for_entity(spec), ts(1))
         )
         if through == 1 or not self.has_second(entity):
             return first
@@ -119,8 +119,8 @@ class Layers:
     def fact(self, name: str) -> DataFrame:
         """The fact after one load per batch."""
         spec = FACTS[name]
-        first = first_load(
-            self.fact_rows(name, self.changes(spec.entity, 1), 1), spec.columns, ts(1)
+        first = insert_all(
+            self.fact_rows(name, self.changes(spec.entity, 1), 1), MergeRule.for_fact(spec), ts(1)
         )
         if not self.has_second(spec.entity):
             return first

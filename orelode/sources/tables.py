@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from orelode.operators.changes import BATCH, net_changes
 from orelode.operators.merge import ACTION, apply_changes
@@ -29,12 +30,20 @@ class ChangeTable:
     def feed_schema(self) -> str:
         return f"{self.schema}, {ACTION} string"
 
+    @property
+    def _columns(self) -> list[str]:
+        return StructType.fromDDL(self.schema).fieldNames()
+
     def _snapshots(self) -> list[int]:
         return complete_batches(self.spark, f"{self.path}/snapshot", "_through")
 
     def _batches(self) -> list[int]:
         return complete_batches(self.spark, f"{self.path}/changes", BATCH)
 
+    def is_new(self, batch_id: int) -> bool:
+        """No batch before this one wrote anything."""
+        return not any(n < batch_id for n in (*self._snapshots(), *self._batches()))
+
     def write_changes(self, changes: DataFrame, batch_id: int) -> None:
         changes.write.mode("overwrite").parquet(f"{self.path}/changes/{BATCH}={batch_id}")
 
@@ -82,10 +91,14 @@ class ChangeTable:
         if snapshot is not None:
             files = f"{self.path}/snapshot/_through={snapshot}"
             base = limited(self.spark.read.schema(self.schema).parquet(files))
+        if base is None and batches and not self.insert_only:
+            # The first batch met an empty table: its rows are the state it left.
+            base = limited(self.feed(batches[:1])).select(*self._columns)
+            batches = batches[1:]
         if not batches:
             return base if base is not None else self.spark.createDataFrame([], self.schema)
         feed = limited(self.feed(batches))
         if not self.insert_only and len(batches) > 1:
             feed = net_changes(feed, self.key)
-        feed = feed.select(*(c for c in feed.columns if c not in (ACTION, BATCH)))
+        feed = feed.select(*self._columns)
         return feed if base is None else apply_changes(base, feed, self.key)

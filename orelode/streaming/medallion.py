@@ -12,15 +12,14 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orelode.functions.dates import ntz
 from orelode.operators.changes import BATCH, net_changes
 from orelode.operators.keys import assign_keys
-from orelode.operators.merge import MergeRule, duplicate_keys, merge_changes
-from orelode.operators.quality import DQ_SCHEMA, accepted, quarantined
+from orelode.operators.merge import MergeRule, duplicate_keys, insert_all, merge_changes
+from orelode.operators.quality import DQ_SCHEMA, quarantined
 from orelode.operators.scd2 import scd2_changes, unknown_member
 from orelode.plans.audit import AuditLog, Step, observe_actions, observe_verdicts
 from orelode.plans.gold import customer_source, dim_date, fact_source, product_source
@@ -126,6 +125,12 @@ class Medallion:
         )
         query.awaitTermination()
 
+    def _staged(self, df: DataFrame, name: str) -> DataFrame:
+        """A batch's intermediate table, replaced by the next batch."""
+        path = f"{self.root}/staging/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def _all(self, loads: list[Callable[[], None]]) -> None:
         """Run independent loads; the first failure is raised once the running ones are done."""
         if self.options.parallel <= 1:
@@ -220,20 +225,22 @@ class Medallion:
         rule = MergeRule.for_entity(spec)
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            tagged = tag(batch, spec, self.options.strict_quality).persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                watched, verdicts = observe_verdicts(tagged, f"dq_{spec.name}_{batch_id}")
-                errors = f"{self.root}/common/dq_errors/{spec.name}/{BATCH}={batch_id}"
-                quarantined(watched, spec, run_id, ntz(load_ts)).write.mode("overwrite").parquet(errors)
-                table.compact(batch_id)
-                source = silver_source(tagged, spec)
-                touched = accepted(tagged, spec).select(spec.key).distinct()
-                target = table.state(before=batch_id, touching=touched)
+            tagged = tag(batch, spec, self.options.strict_quality)
+            watched, verdicts = observe_verdicts(tagged, f"dq_{spec.name}_{batch_id}")
+            errors = f"{self.root}/common/dq_errors/{spec.name}/{BATCH}={batch_id}"
+            quarantined(watched, spec, run_id, ntz(load_ts)).write.mode("overwrite").parquet(errors)
+            table.compact(batch_id)
+            # Read a second time rather than cached: a first load may exceed the executors' disks.
+            source = silver_source(tagged, spec)
+            if table.is_new(batch_id):
+                changes = insert_all(source, rule, ntz(load_ts))
+            else:
+                # Stored, the source serves twice (keys to look for, rows to merge) at a known size.
+                source = self._staged(source, f"silver/{spec.name}")
+                target = table.state(before=batch_id, touching=source.select(spec.key))
                 changes = merge_changes(target, source, rule, ntz(load_ts))
-                changes, actions = observe_actions(changes, f"merge_{spec.name}_{batch_id}")
-                table.write_changes(changes, batch_id)
-            finally:
-                tagged.unpersist()
+            changes, actions = observe_actions(changes, f"merge_{spec.name}_{batch_id}")
+            table.write_changes(changes, batch_id)
             v, a = verdicts.get, actions.get
             step.add(
                 rows=a["inserted"] + a["updated"], errors=v["rejected"],
@@ -282,7 +289,9 @@ class Medallion:
                 return
 
             def write(batch: DataFrame, batch_id: int) -> None:
-                self._write_dim(DIM_PRODUCTS, product_source(net_changes(batch, silver.key)), batch_id, step)
+                source = product_source(net_changes(batch, silver.key))
+                touched = batch.select("product_id").distinct()
+                self._write_dim(DIM_PRODUCTS, source, touched, batch_id, step)
 
             self._run(silver.feed_stream(), write, "dim_products")
 
@@ -299,32 +308,35 @@ class Medallion:
 
             def write(batch: DataFrame, batch_id: int) -> None:
                 ids = batch.where(F.col("customer_id").isNotNull()).distinct()
+                profiles = customers.state(touching=ids)
+                homes = addresses.state(touching=ids)
+                if not self.options.one_default_address:
+                    self._one_default(profiles, homes)
                 source = customer_source(
-                    customers.state(touching=ids), addresses.state(touching=ids), ids, ntz(load_ts),
-                    self.options.one_default_address,
+                    profiles, homes, ids, ntz(load_ts), self.options.one_default_address
                 )
-                self._write_dim(DIM_CUSTOMERS, source, batch_id, step)
+                self._write_dim(DIM_CUSTOMERS, source, ids, batch_id, step)
 
             self._run(changed, write, "dim_customers")
 
-    def _write_dim(self, spec: DimSpec, source: DataFrame, batch_id: int, step: Step) -> None:
-        table = self.gold(spec.name)
-        source = source.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            twice = duplicate_keys(source.where(F.col(spec.natural_key).isNotNull()), spec.natural_key)
-            if not twice.isEmpty():
-                example = twice.first()[0]
-                raise AmbiguousSource(f"{spec.name}: {spec.natural_key} {example} occurs more than once")
-            table.compact(batch_id)
-            touched = source.select(spec.natural_key).distinct()
-            target = table.state(before=batch_id, touching=touched)
-            changes = scd2_changes(
-                target, source, spec, batch_id, self._buckets(), self.options.scd2_mode
+    def _one_default(self, customers: DataFrame, addresses: DataFrame) -> None:
+        """Fail if a customer has several default addresses; counted before anything is joined."""
+        twice = duplicate_keys(addresses.where(F.col("is_default")), "customer_id")
+        found = twice.join(customers.select("customer_id"), "customer_id", "left_semi").take(1)
+        if found:
+            raise AmbiguousSource(
+                f"dim_customers: customer_id {found[0].customer_id} occurs more than once in the source"
             )
-            changes, actions = observe_actions(changes, f"{spec.name}_{batch_id}")
-            table.write_changes(changes, batch_id)
-        finally:
-            source.unpersist()
+
+    def _write_dim(
+        self, spec: DimSpec, source: DataFrame, touched: DataFrame, batch_id: int, step: Step
+    ) -> None:
+        table = self.gold(spec.name)
+        table.compact(batch_id)
+        target = table.state(before=batch_id, touching=touched)
+        changes = scd2_changes(target, source, spec, batch_id, self._buckets(), self.options.scd2_mode)
+        changes, actions = observe_actions(changes, f"{spec.name}_{batch_id}")
+        table.write_changes(changes, batch_id)
         a = actions.get
         step.add(rows=a["inserted"] + a["updated"], opened=a["inserted"], closed=a["updated"])
 
@@ -355,8 +367,12 @@ class Medallion:
                 )
                 source = assign_keys(rows, spec.surrogate, spec.key, batch_id, self._buckets())
                 table.compact(batch_id)
-                target = table.state(before=batch_id, touching=batch.select(spec.key).distinct())
-                changes = merge_changes(target, source, rule, ntz(load_ts))
+                if table.is_new(batch_id):
+                    changes = insert_all(source, rule, ntz(load_ts))
+                else:
+                    touched = batch.select(spec.key).distinct()
+                    target = table.state(before=batch_id, touching=touched)
+                    changes = merge_changes(target, source, rule, ntz(load_ts))
                 changes, actions = observe_actions(changes, f"{spec.name}_{batch_id}")
                 table.write_changes(changes, batch_id)
                 a = actions.get

@@ -13,14 +13,14 @@ from orelode.functions.masking import mask_columns
 from orelode.operators.dedup import latest_per_key
 from orelode.operators.lookup import pit_lookup
 from orelode.operators.merge import (
-    ACTION, MergeRule, apply_changes, duplicate_keys, merge_apply, merge_changes,
+    ACTION, MergeRule, apply_changes, duplicate_keys, insert_all, merge_apply, merge_changes,
 )
 from orelode.operators.quality import accepted, dq_tag, parse, quarantined, undecided, verdict
 from orelode.operators.scd2 import scd2_apply, scd2_changes, unknown_member
 from orelode.plans.gold import (
     changed_customer_ids, customer_source, dim_date, fact_source, product_source,
 )
-from orelode.plans.silver import first_load, silver_source, tag
+from orelode.plans.silver import silver_source, tag
 from orelode.specs import (
     ADDRESSES, CUSTOMERS, DIM_CUSTOMERS, DIM_PRODUCTS, FACT_SHIPMENTS, ORDER_ITEMS, ORDERS, PRODUCTS,
     SHIPMENTS,
@@ -101,7 +101,7 @@ def priced(bronze, at, spark):
                 tag(bronze([product(price=f"{5 + n}.00", updated_at=day)]), PRODUCTS), PRODUCTS
             )
             if silver is None:
-                state = first_load(source, PRODUCTS.columns, at(day))
+                state = insert_all(source, MergeRule.for_entity(PRODUCTS), at(day))
             else:
                 state = next_state(silver, source, PRODUCTS, at(day))
             changes = state.where(F.col(ACTION) != "keep")
@@ -228,7 +228,7 @@ def test_null_keys_gather_one_row_per_batch(bronze, at):
     for _ in range(2):
         source = silver_source(tag(bronze([order(order_id=None), order(order_id=...)]), ORDERS), ORDERS)
         if state is None:
-            state = first_load(source, ORDERS.columns, at(T)).drop(ACTION)
+            state = insert_all(source, MergeRule.for_entity(ORDERS), at(T)).drop(ACTION)
         else:
             state = next_state(state, source, ORDERS, at(T)).drop(ACTION)
     assert state.where("order_id IS NULL").count() == 2
@@ -296,7 +296,7 @@ def test_fact_keeps_first_insert_values(bronze, at, spark):
         rows = silver_source(tag(bronze([ship]), SHIPMENTS), SHIPMENTS)
         return fact_source("fact_shipments", rows, orders, None, dim).withColumn("shipment_key", F.lit(1))
 
-    first = first_load(source("DHL", "SHIPPED"), FACT_SHIPMENTS.columns, at(T)).drop(ACTION)
+    first = insert_all(source("DHL", "SHIPPED"), MergeRule.for_fact(FACT_SHIPMENTS), at(T)).drop(ACTION)
     row = merge_apply(first, source("UPS", "LOST"), MergeRule.for_fact(FACT_SHIPMENTS), at(T)).first()
     assert (row.carrier, row.shipment_status) == ("DHL", "LOST")
     # negative days are normal, a missing delivery has no day key and no duration

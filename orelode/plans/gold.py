@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from orelode.functions.dates import date_key, date_key_or_unknown, days_between
 from orelode.functions.hashing import change_hash
 from orelode.operators.lookup import pit_lookup
-from orelode.specs import DIM_CUSTOMERS, DIM_PRODUCTS, FACTS, FactSpec
+from orelode.specs import DIM_CUSTOMERS, DIM_PRODUCTS, FACTS, UNKNOWN_KEY, FactSpec
 
 DIM_DATE_START = "2000-01-01"
 DIM_DATE_DAYS = 20000
@@ -105,7 +105,6 @@ def _with_order(changes: DataFrame, orders: DataFrame) -> DataFrame:
         F.col("order_id").alias("_o_id"),
         F.col("customer_id").alias("_o_customer"),
         F.col("created_at").alias("_o_created"),
-        F.col("currency").alias("_o_currency"),
     )
     return changes.join(side, F.col("order_id") == F.col("_o_id"), "left")
 
@@ -119,11 +118,20 @@ def orders_source(changes: DataFrame, dim_customers: DataFrame) -> DataFrame:
 def sales_source(
     changes: DataFrame, orders: DataFrame, dim_products: DataFrame, dim_customers: DataFrame
 ) -> DataFrame:
-    """Items priced as sold: the product as of the item, the customer as of the order."""
-    rows = _with_order(changes, orders)
+    """Items priced as sold: the product as of the item, the customer as of the order.
+
+    The customer depends on the order alone, so it is looked up per order, before the items, which
+    are several times as many, meet the orders. The items never move by customer.
+    """
+    bought = pit_lookup(orders, dim_customers, DIM_CUSTOMERS, "customer_id", "created_at").select(
+        F.col("order_id").alias("_o_id"),
+        F.col("currency").alias("_o_currency"),
+        F.col("customer_key").alias("_o_customer_key"),
+    )
+    rows = changes.join(bought, F.col("order_id") == F.col("_o_id"), "left")
     rows = pit_lookup(rows, dim_products, DIM_PRODUCTS, "product_id", "created_at")
-    rows = pit_lookup(rows, dim_customers, DIM_CUSTOMERS, "_o_customer", "_o_created")
     return rows.withColumns({
+        "customer_key": F.coalesce(F.col("_o_customer_key"), F.lit(UNKNOWN_KEY).cast("bigint")),
         "order_date_key": date_key(F.col("create_date")),
         "total_line_amount": (F.col("quantity") * F.col("unit_price")).cast("decimal(18,2)"),
         "currency": F.col("_o_currency"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orelode.sources.paths import file_stream
+
 BRONZE_SCHEMA = "payload variant, ingestion_ts timestamp_ntz, source_file string"
 
 
@@ -23,7 +25,7 @@ def read_raw(
     """
     if layout not in ("lines", "array"):
         raise ValueError(f"unknown layout {layout!r}")
-    reader = spark.readStream if streaming else spark.read
+    reader = file_stream(spark) if streaming else spark.read
     if streaming and max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     reader = reader.option("recursiveFileLookup", "true")

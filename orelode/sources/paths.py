@@ -6,6 +6,11 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql.streaming import DataStreamReader
+
+# Spark's file streams skip files a week older than the newest; a layer that fell behind would
+# lose them without a word.
+MAX_FILE_AGE = "36500d"
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -30,20 +35,21 @@ def materialise(df, name: str):
 
 
 def complete_batches(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """Numbers n of the sub-folders ``prefix=n`` of ``path`` whose write was committed."""
+    """Numbers n of the sub-folders ``prefix=n`` of ``path`` whose write was committed.
+
+    Batches are written one after the other, so only the last can be unfinished: one listing and
+    one look, however many there are.
+    """
     jvm = spark._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(root):
         return []
-    found = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if name.startswith(f"{prefix}=") and fs.exists(
-            jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        ):
-            found.append(int(name.split("=", 1)[1]))
-    return sorted(found)
+    names = [status.getPath().getName() for status in fs.listStatus(root)]
+    found = sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{prefix}="))
+    if found and not exists(spark, f"{path}/{prefix}={found[-1]}/_SUCCESS"):
+        found.pop()
+    return found
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -55,3 +61,8 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     return fs.getContentSummary(target).getLength()
+
+
+def file_stream(spark: SparkSession) -> DataStreamReader:
+    """A file stream that takes every file once, however old."""
+    return spark.readStream.option("maxFileAge", MAX_FILE_AGE)

@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from orelode.operators.changes import BATCH, net_changes
 from orelode.operators.merge import ACTION, apply_changes
-from orelode.sources.paths import complete_batches
+from orelode.sources.paths import complete_batches, file_stream
 
 
 @dataclass(frozen=True)
@@ -67,7 +67,7 @@ class ChangeTable:
 
     def feed_stream(self) -> DataFrame:
         """The change feed as a stream; every batch is seen once per checkpoint."""
-        return self.spark.readStream.schema(f"{self.feed_schema}, {BATCH} bigint").parquet(
+        return file_stream(self.spark).schema(f"{self.feed_schema}, {BATCH} bigint").parquet(
             f"{self.path}/changes"
         )
 

@@ -24,8 +24,9 @@ from orelode.operators.scd2 import scd2_changes, unknown_member
 from orelode.plans.audit import AuditLog, Step, observe_actions, observe_verdicts
 from orelode.plans.gold import customer_source, dim_date, fact_source, product_source
 from orelode.plans.silver import silver_source, tag
+from orelode.plans.views import publish_views
 from orelode.sources.bronze import BRONZE_SCHEMA, bronze_rows, file_manifest, read_raw
-from orelode.sources.paths import complete_batches, exists
+from orelode.sources.paths import complete_batches, exists, file_stream
 from orelode.sources.tables import ChangeTable
 from orelode.specs import (
     DIM_CUSTOMERS, DIM_PRODUCTS, DIMENSIONS, ENTITIES, FACTS, INGESTION, DimSpec, EntitySpec,
@@ -158,6 +159,38 @@ class Medallion:
         self.load_silver(run_id, load_ts)
         self.load_gold(run_id, load_ts)
 
+    # Single loads ---------------------------------------------------------------------------
+
+    def load_entity(self, entity: str, run_id: str, load_ts: str) -> None:
+        """One silver table."""
+        self._alone(run_id, lambda log: self._silver(ENTITIES[entity], log, run_id, load_ts))
+
+    def load_dim(self, name: str, run_id: str, load_ts: str) -> None:
+        """One dimension."""
+        self._seed()
+        if name == DIM_PRODUCTS.name:
+            self._alone(run_id, self._dim_products)
+        elif name == DIM_CUSTOMERS.name:
+            self._alone(run_id, lambda log: self._dim_customers(log, load_ts))
+        else:
+            raise ValueError(f"unknown dimension {name!r}")
+
+    def load_fact(self, name: str, run_id: str, load_ts: str) -> None:
+        """One fact."""
+        self._seed()
+        self._alone(run_id, lambda log: self._fact(FACTS[name], log, load_ts))
+
+    def _alone(self, run_id: str, load: Callable[[AuditLog], None]) -> None:
+        log = self._log(run_id)
+        try:
+            load(log)
+        finally:
+            log.flush()
+
+    def publish(self, role: str) -> dict[str, DataFrame]:
+        """The reporting views over the current star schema, masked for ``role``."""
+        return publish_views({n: self.gold(n).state() for n in (*DIMENSIONS, *FACTS)}, role)
+
     # Bronze ---------------------------------------------------------------------------------
 
     def load_bronze(self, run_id: str, load_ts: str) -> None:
@@ -217,7 +250,7 @@ class Medallion:
             path = self.bronze_path(spec.name)
             if not exists(self.spark, path):
                 return
-            stream = self.spark.readStream.schema(f"{BRONZE_SCHEMA}, {BATCH} bigint").parquet(path)
+            stream = file_stream(self.spark).schema(f"{BRONZE_SCHEMA}, {BATCH} bigint").parquet(path)
             self._run(stream, self.silver_batch(spec, step, run_id, load_ts), f"silver_{spec.name}")
 
     def silver_batch(self, spec: EntitySpec, step: Step, run_id: str, load_ts: str) -> BatchFn:

@@ -205,8 +205,13 @@ def test_ambiguous_customers_stop_the_gold_layer(spark, tmp_path):
     with pytest.raises(Exception, match="occurs more than once"):
         m.load_gold("r", T)
     m.options = Options(one_default_address=True)
-    m.load_gold("r", T)
+    m.load_dim("dim_customers", "r", T)
     assert m.gold("dim_customers").state().where("customer_id = 7").count() == 1
+    m.load_fact("fact_orders", "r", T)
+    assert m.gold("fact_orders").state().count() == 0
+    seen = m.publish("ANALYST")["v_dim_customers"].where("customer_id = 7").first()
+    assert seen.email == "***MASKED***" and seen.first_name == "A"
+    assert spark.table("v_dim_customers").count() == 2
 
 
 def test_change_table_reads_only_committed_batches(spark, tmp_path):
@@ -237,3 +242,16 @@ def test_specs_name_existing_columns():
     for spec in (ORDERS, PRODUCTS, CUSTOMERS, ADDRESSES):
         assert set(spec.update) <= set(spec.columns)
         assert {p.column for p in spec.hash_parts} <= {n for n, _ in spec.fields}
+
+
+def test_files_older_than_a_week_are_not_lost(spark, tmp_path):
+    """A file that turns up with an old date after a newer one was loaded."""
+    import os
+
+    m = Medallion(spark, str(tmp_path), ingestion=ONLY_ORDERS)
+    land(tmp_path, "orders", "new.json", [order(1)])
+    m.load_bronze("r1", T)
+    land(tmp_path, "orders", "old.json", [order(2)])
+    os.utime(tmp_path / "landing" / "orders_raw" / "old.json", (1_000_000_000, 1_000_000_000))
+    m.load_bronze("r2", T)
+    assert m.bronze("orders").count() == 2

@@ -127,3 +127,36 @@ def test_surrogate_keys_are_unique_and_grow(spark, stride):
     assert len(sizes) == 16 and max(sizes) < 2 * min(sizes)
     again = assign_keys(df.repartition(3), "sk", "k", 2, 16)
     assert keyed.exceptAll(again).isEmpty()
+
+
+def test_hot_lookup_key_is_split(spark, tmp_path):
+    """A third of the facts on one key: the join splits its partition, and loses or adds nothing."""
+    confs = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50000",
+    }
+    key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 997).cast("bigint")
+    facts = spark.range(0, 300000, 1, 8).select(
+        key.alias("product_id"), F.col("id").alias("line"),
+        F.lit("2020-06-01 00:00:00").cast("timestamp_ntz").alias("ts"),
+    )
+    dim = spark.range(997).select(
+        (F.col("id") + 1).alias("product_key"), F.col("id").alias("product_id"),
+        F.lit("2020-01-01 00:00:00").cast("timestamp_ntz").alias("valid_from"),
+        F.lit("9999-12-31 00:00:00").cast("timestamp_ntz").alias("valid_to"),
+    )
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        found = pit_lookup(facts, dim, DIM_PRODUCTS, "product_id", "ts")
+        out = str(tmp_path / "out")
+        found.write.parquet(out)
+        found.collect()
+        assert "skew=true" in plan(found)
+        wrong = spark.read.parquet(out).where("product_key <> product_id + 1")
+        assert wrong.isEmpty() and spark.read.parquet(out).count() == 300000
+    finally:
+        for k in confs:
+            spark.conf.unset(k)

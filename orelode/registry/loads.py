@@ -19,7 +19,7 @@ from orelode.sources.paths import scratch_dir
 from orelode.specs import DIMENSIONS, ENTITIES, FACTS, ORDERS
 from orelode.streaming.medallion import Medallion
 
-ROOT_BATCHES = (1, 2)
+BATCHES = (1, 2)
 
 
 def _land(spark: SparkSession, d: str, entity: str, batch: int, landing: str) -> None:
@@ -31,7 +31,7 @@ def _land(spark: SparkSession, d: str, entity: str, batch: int, landing: str) ->
 def bronze_scan(spark: SparkSession, d: str) -> DataFrame:
     """Orders written as JSON lines and read back as variant rows."""
     landing = scratch_dir(spark, "scan")
-    for batch in ROOT_BATCHES:
+    for batch in BATCHES:
         _land(spark, d, "orders", batch, landing)
     raw = read_raw(spark, f"{landing}/{ORDERS.path}")
     return raw.select(
@@ -58,7 +58,7 @@ def bronze_incremental(spark: SparkSession, d: str) -> DataFrame:
     """Two landings and three loads: the second load sees only new files, the third nothing."""
     root = scratch_dir(spark, "incremental")
     m = Medallion(spark, root)
-    for batch in ROOT_BATCHES:
+    for batch in BATCHES:
         _land(spark, d, "orders", batch, m.landing)
         m.load_bronze(f"run-{batch}", LOAD_TS[batch])
     m.load_bronze("run-3", "2001-01-01 00:00:00")
@@ -73,10 +73,9 @@ def _bronze_batch(spark: SparkSession, d: str, m: Medallion, entity: str, batch:
 
 def _silver_batches(spark: SparkSession, d: str, name: str, retry: bool) -> DataFrame:
     m = Medallion(spark, scratch_dir(spark, name))
-    for batch in ROOT_BATCHES:
+    for batch in BATCHES:
         _bronze_batch(spark, d, m, "orders", batch)
-        log = m._log(f"run-{batch}")
-        m._silver(ORDERS, log, f"run-{batch}", LOAD_TS[batch])
+        m.load_entity("orders", f"run-{batch}", LOAD_TS[batch])
         if retry:
             again = spark.read.schema(BRONZE_SCHEMA).parquet(f"{m.bronze_path('orders')}/{BATCH}={batch - 1}")
             m.silver_batch(ORDERS, Step(), f"run-{batch}", LOAD_TS[batch])(again, batch - 1)
@@ -140,7 +139,7 @@ def run_both_loads(spark: SparkSession, d: str, root: str) -> Medallion:
     """Land both batches of all eight feeds and run the three layers after each."""
     m = Medallion(spark, root)
     layers = Layers(spark, d)
-    for batch in ROOT_BATCHES:
+    for batch in BATCHES:
         landing = [e for e in ENTITIES if batch == 1 or layers.has_second(e)]
         with ThreadPoolExecutor(len(landing)) as pool:
             list(pool.map(lambda e: _land(spark, d, e, batch, m.landing), landing))  # noqa: B023

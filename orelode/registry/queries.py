@@ -12,7 +12,7 @@ from orelode.functions.dates import date_key
 from orelode.functions.masking import mask_columns
 from orelode.operators.keys import KEY_BLOCK
 from orelode.operators.lookup import pit_lookup
-from orelode.operators.merge import ACTION, duplicate_keys
+from orelode.operators.merge import duplicate_keys
 from orelode.operators.quality import dq_tag, orphans, parse, verdict
 from orelode.operators.scd2 import CHANGED, NEW, SAME, STATE, classify
 from orelode.plans.gold import changed_customer_ids, dim_date

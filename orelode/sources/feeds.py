@@ -18,6 +18,8 @@ from orelode.specs import ENTITIES, KINDS
 
 LOAD_TS = {1: "1995-01-01 00:00:00", 2: "1998-01-01 00:00:00"}
 
+SMALL_PER_CORE = 4 << 20  # bytes; Spark's default price of opening a file
+
 _MONEY = "DECIMAL(18,2)"
 _T1 = "CAST('1995-01-01 00:00:00' AS {ts})"
 _T2 = "CAST('1998-01-01 00:00:00' AS {ts})"
@@ -213,13 +215,12 @@ FEEDS: dict[str, Feed] = {
 def _table(spark: SparkSession, path: str) -> DataFrame:
     """A table, spread over the cores if it is too small for Spark to split between them.
 
-    Below one file-open cost per core a scan yields fewer tasks than cores, and building and
-    parsing records costs far more than moving a few megabytes. Larger tables are read in place.
+    A scan of a few megabytes yields fewer tasks than cores, and building and parsing records
+    costs far more than moving the columns. Larger tables are read in place.
     """
     df = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    open_cost = spark._jsparkSession.sessionState().conf().filesOpenCostInBytes()
-    return df.repartition(cores) if stored_bytes(spark, path) < cores * open_cost else df
+    return df.repartition(cores) if stored_bytes(spark, path) < cores * SMALL_PER_CORE else df
 
 
 def _emit(spark: SparkSession, sf_dir: str, entity: str, batches: tuple[int, ...], shape) -> DataFrame:

@@ -44,10 +44,11 @@ class Layers:
             self._stored[name] = materialise(build(), "-".join(map(str, name)))
         return self._stored[name]
 
-    def warm(self, *entities: str, through: int = 2) -> Layers:
-        """Write the silver tables of independent entities at the same time."""
+    def warm(self, entities: tuple[str, ...], dims: tuple[DimSpec, ...] = ()) -> Layers:
+        """Write independent silver tables at the same time, then independent dimensions."""
         with ThreadPoolExecutor(len(entities)) as pool:
-            list(pool.map(lambda e: self.silver(e, through), entities))
+            list(pool.map(self.silver, entities))
+            list(pool.map(self.dim, dims))
         return self
 
     def tagged(self, entity: str, *batches: int, strict: bool = False) -> DataFrame:

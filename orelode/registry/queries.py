@@ -44,11 +44,15 @@ READS = {
 
 
 def stored(spark: SparkSession, d: str, *entities: str) -> Layers:
-    return Layers(spark, d, store=True).warm(*entities)
+    return Layers(spark, d, store=True).warm(entities)
 
 
 def stored_for(spark: SparkSession, d: str, *tables: str) -> Layers:
-    return stored(spark, d, *dict.fromkeys(e for t in tables for e in READS[t]))
+    """Stored silver tables, and where facts are wanted the dimensions they look up."""
+    entities = tuple(dict.fromkeys(e for t in tables for e in READS[t]))
+    dims = [s for s in (DIM_PRODUCTS, DIM_CUSTOMERS) if set(READS[s.name]) <= set(entities)]
+    facts = any(t in FACTS for t in tables)
+    return Layers(spark, d, store=True).warm(entities, tuple(dims) if facts else ())
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orelode.llm import bpe, lang_id, packing, url_filter
+from orelode.llm import ann, bpe, embedding_dedup, lang_id, minhash_dedup, packing, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, "vec_id", "embedding", queries="vec_id % 50 = 0", k=5)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     fold = F.crc32(F.col("doc_id").cast("string")) % 4
@@ -34,6 +39,14 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("ids")
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = minhash_dedup.near_duplicates(docs, "doc_id", "text")
+    return found.select(
+        F.col("id").alias("doc_id"), "class_id", (F.col("id") == F.col("class_id")).alias("kept")
+    )
+
+
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
     rules = (*url_filter.RULES, *url_filter.PATTERNS)
@@ -56,8 +69,19 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    found = embedding_dedup.near_vectors(vectors, "vec_id", "embedding")
+    kept = F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))
+    return found.withColumn("kept", kept)
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op3_language_id, op6_packing, op8_url_rules, op9_byte_bpe)
+    f.__name__: f
+    for f in (
+        op1_nearest_neighbours, op3_language_id, op6_packing, op7_near_duplicates, op8_url_rules,
+        op9_byte_bpe, op10_near_vectors,
+    )
 }
 
 OP8_SQL = r"""

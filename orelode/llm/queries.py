@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orelode.llm import ann, bpe, embedding_dedup, lang_id, minhash_dedup, packing, url_filter
+from orelode.llm import ann, bpe, embedding_dedup, lang_id, minhash_dedup, packing
+from orelode.llm import suffix_dedup, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +33,19 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = suffix_dedup.remove_repeats(docs, "text", "cleaned")
+    removed = F.aggregate(
+        "cleaned.spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["begin"]
+    )
+    return done.select(
+        "doc_id", "cleaned.n_bytes", removed.alias("n_removed"),
+        F.size("cleaned.spans").cast("long").alias("n_spans"),
+        F.sha2("cleaned.kept", 256).alias("kept_sha256"),
+    )
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return packing.pack(
@@ -79,7 +93,7 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_nearest_neighbours, op3_language_id, op6_packing, op7_near_duplicates, op8_url_rules,
+        op1_nearest_neighbours, op3_language_id, op5_suffix_dedup, op6_packing, op7_near_duplicates, op8_url_rules,
         op9_byte_bpe, op10_near_vectors,
     )
 }

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orelode.llm import ann, bpe, embedding_dedup, lang_id, minhash_dedup, packing
-from orelode.llm import suffix_dedup, url_filter
+from orelode.llm import ann, bpe, embedding_dedup, lang_id, license_scan, minhash_dedup, packing
+from orelode.llm import quality_lm, suffix_dedup, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,10 @@ def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors, "vec_id", "embedding", queries="vec_id % 50 = 0", k=5)
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     fold = F.crc32(F.col("doc_id").cast("string")) % 4
@@ -33,6 +37,15 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    trusted = _table(spark, sf_dir, "labels").filter("quality = 1 and toxic = 0").select("doc_id")
+    chosen = quality_lm.fit_filter(docs, trusted, "doc_id", "text", "lang")
+    scored = quality_lm.perplexity(docs, "text", chosen.model, keep_text=False)
+    kept = chosen.keeps(F.col("perplexity"), F.col("lang"))
+    return scored.select("doc_id", "lang", "perplexity", kept.alias("kept"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     done = suffix_dedup.remove_repeats(docs, "text", "cleaned")
@@ -93,7 +106,8 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_nearest_neighbours, op3_language_id, op5_suffix_dedup, op6_packing, op7_near_duplicates, op8_url_rules,
+        op1_nearest_neighbours, op2_license_scan, op3_language_id, op4_quality,
+        op5_suffix_dedup, op6_packing, op7_near_duplicates, op8_url_rules,
         op9_byte_bpe, op10_near_vectors,
     )
 }

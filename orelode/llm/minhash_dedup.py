@@ -18,11 +18,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from orelode.llm.common import steps
+from orelode.llm.common import free_name, steps
 from orelode.llm.components import components
 from orelode.llm.words import mix, shingle_hashes, weighted_sets, word_hashes
 from orelode.sources.paths import materialise
@@ -229,3 +229,21 @@ def near_duplicates(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return rows.select("id").distinct().join(last, "id", "left").select(
         "id", F.coalesce("component_id", "id").alias("class_id")
     )
+
+
+def drop_near_duplicates(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The rows of ``docs`` less all but one document of each group: that with the smallest id stays.
+
+    Of rows that share an id the one whose text sorts first stays. Rows with NULL ids all stay.
+    """
+    found = near_duplicates(docs, doc_id, text)
+    gone = materialise(found.filter("id != class_id").select(F.col("id").alias(doc_id)), "gone")
+    twice = materialise(
+        docs.filter(F.col(doc_id).isNotNull()).groupBy(doc_id).agg(F.count("*").alias("n"))
+        .filter("n > 1").select(doc_id), "repeated"
+    )
+    left = docs.join(gone, doc_id, "left_anti")
+    number = free_name(docs, "_number")
+    first = F.row_number().over(Window.partitionBy(doc_id).orderBy(text))
+    once = left.join(twice, doc_id, "left_semi").withColumn(number, first).filter(F.col(number) == 1)
+    return left.join(twice, doc_id, "left_anti").unionByName(once.drop(number)).select(docs.columns)

@@ -284,6 +284,16 @@ def cleaner() -> Callable[..., Column]:
     return cleaned
 
 
+def characters() -> Callable[[Column], Column]:
+    """A function of a column of bytes that gives its whole characters; cut ones go."""
+
+    @F.pandas_udf("string")
+    def whole(values: pd.Series) -> pd.Series:
+        return pd.Series([bytes(v).decode("utf-8", "ignore") for v in values], dtype=object)
+
+    return whole
+
+
 def remove_repeats(docs: DataFrame, text: str, cleaned: str = "cleaned") -> DataFrame:
     """Every row of ``docs`` with a struct ``cleaned`` of ``n_bytes``, ``kept`` and ``spans``.
 

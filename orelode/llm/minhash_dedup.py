@@ -6,10 +6,12 @@ equal with the probability Jaccard of the weighted sets. A shingle stops as soon
 comes after the latest of all kept points (early termination), so long documents need little more
 than one point a shingle.
 
-Bands of the signature collide; pairs that collide are checked on the exact sets. Within a bucket
-all are first checked against one member. Pairs of a bucket whose ends are by then in one group
-need no check, as they could not change the groups; all others are checked. So no colliding pair is
-lost, and a large group of copies costs one check a member.
+Bands of the signature collide; pairs that collide are checked on the exact sets, unless their
+signatures already differ by five standard deviations too much. Within a bucket all are first checked
+against one member, that which collides most. Pairs of a bucket whose ends are by then in one group
+need no check, as they could not change the groups. The others are compared in blocks: those outside a
+bucket's main group against all it holds, without a row per pair. So no colliding pair is lost, and a
+large group of copies costs one check a member.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +33,10 @@ from orelode.sources.paths import materialise
 SIMILARITY = 0.8
 #: A pair at the threshold collides in some band with probability 0.998.
 BANDS, ROWS = 28, 7
+#: Share of equal components below which a pair at the threshold falls once in a million times.
+LEAST_EQUAL = 0.66
+#: Members outside and inside of a main group that one block compares.
+LEFT, RIGHT = 256, 1024
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -112,7 +119,8 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in steps(texts):
             words, first, shingles, owner, counts = _sets(texts[part])
             n = part.stop - part.start
-            keys = band_keys(signatures(shingles, owner, weights(counts), n, BANDS * ROWS))
+            signed = signatures(shingles, owner, weights(counts), n, BANDS * ROWS)
+            keys = band_keys(signed)
             same = _sequence_keys(words, first)
             some = np.diff(first) > 0
             flat = pa.array(keys[some].ravel().view(np.int64))
@@ -121,7 +129,8 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(same[some, 0].view(np.int64)),
                 pa.array(same[some, 1].view(np.int64)),
                 pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, BANDS, dtype=np.int32), flat),
-            ], names=["id", "key_a", "key_b", "bands"])
+                pa.array([x.tobytes() for x in signed[some].astype(np.uint8)], pa.binary()),
+            ], names=["id", "key_a", "key_b", "bands", "signature"])
 
 
 def _pack_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,22 +156,114 @@ def _unpack(shingles: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
     return h, weights(np.frombuffer(counts, "<u4")) if counts else np.ones(len(h))
 
 
-@F.pandas_udf(BooleanType())
-def _similar(sa, ca, sb, cb):
-    import pandas as pd
-
+def _similar(sa: pd.Series, ca: pd.Series, sb: pd.Series, cb: pd.Series) -> pd.Series:
     return pd.Series([
-        similarity(_unpack(*x[:2]), _unpack(*x[2:])) >= SIMILARITY - 1e-12
-        for x in zip(sa, ca, sb, cb)
+        similarity(_unpack(a, m), _unpack(b, n)) >= SIMILARITY - 1e-12
+        for a, m, b, n in zip(sa, ca, sb, cb)
     ], dtype=bool)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _alike(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Whether two signatures of one byte a component leave the threshold possible."""
+    x, y = (np.frombuffer(b"".join(s), np.uint8).reshape(len(s), -1) for s in (a, b))
+    return pd.Series((x == y).mean(1) >= LEAST_EQUAL, dtype=bool)
+
+
+def _both(pairs: DataFrame, facts: DataFrame) -> DataFrame:
+    """``pairs(u, v)`` with the columns of ``facts`` for each end, as ``u_`` and ``v_``.
+
+    Facts grow with the documents, so they are never broadcast.
+    """
+    for end in ("u", "v"):
+        named = facts.select(*(F.col(c).alias(end if c == "id" else f"{end}_{c}") for c in facts.columns))
+        pairs = pairs.join(named.hint("merge"), end)
+    return pairs
+
+
+def _verified(pairs: DataFrame, signed: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of ``pairs(u, v)`` whose exact similarity reaches the threshold."""
-    left = sets.select(F.col("id").alias("u"), F.col("shingles").alias("sa"), F.col("counts").alias("ca"))
-    right = sets.select(F.col("id").alias("v"), F.col("shingles").alias("sb"), F.col("counts").alias("cb"))
-    both = pairs.join(left, "u").join(right, "v")
-    return both.filter(_similar("sa", "ca", "sb", "cb")).select("u", "v")
+    alike = F.pandas_udf(_alike, BooleanType())("u_signature", "v_signature")
+    hopeful = _both(pairs, signed.select("id", "signature")).filter(alike).select("u", "v")
+    similar = F.pandas_udf(_similar, BooleanType())("u_shingles", "u_counts", "v_shingles", "v_counts")
+    return _both(hopeful, sets).filter(similar).select("u", "v")
+
+
+def linked(left: list[tuple], right: list[tuple]) -> np.ndarray:
+    """Which of ``left`` and ``right``, weighted sets both, reach the threshold, as a matrix."""
+    voc = np.intersect1d(np.concatenate([x[0] for x in left]), np.concatenate([x[0] for x in right]))
+    size = [np.array([len(x[0]) for x in side], float) for side in (left, right)]
+    plain = [np.array([(x[1] == 1).all() for x in side]) for side in (left, right)]
+    shares = [np.zeros((len(left), len(right))) for _ in range(3)]
+    for k in range(0, len(voc), 4096):
+        part = voc[k : k + 4096]
+        has, weight = [], []
+        for side in (left, right):
+            a, w = np.zeros((len(side), len(part)), np.float32), np.zeros((len(side), len(part)), np.float32)
+            for i, (h, x) in enumerate(side):
+                at = np.searchsorted(part, h)
+                at[at == len(part)] = 0
+                some = part[at] == h
+                a[i, at[some]], w[i, at[some]] = 1, (x / x.sum())[some]
+            has.append(a)
+            weight.append(w)
+        shares[0] += has[0] @ has[1].T
+        shares[1] += weight[0] @ has[1].T
+        shares[2] += has[0] @ weight[1].T
+    common, by_left, by_right = shares
+    out = common >= SIMILARITY * (size[0][:, None] + size[1] - common) - 1e-9
+    out &= common > 0
+    # The shared part of either side bounds the similarity of sets with weights.
+    weighed = ~(plain[0][:, None] & plain[1])
+    out[weighed] = False
+    hopeful = weighed & (np.minimum(by_left, by_right) >= SIMILARITY - 1e-3)
+    for i, j in np.argwhere(hopeful):
+        out[i, j] = similarity(left[i], right[j]) >= SIMILARITY - 1e-12
+    return out
+
+
+def _compare(tile: pa.Table) -> pa.Table:
+    """(u, v): which members outside the main group belong to the group named v."""
+    side = tile["side"].to_numpy()
+    ids, labels = tile["id"].to_numpy(), tile["label"].to_numpy()
+    sets = [_unpack(*x) for x in zip(tile["shingles"].to_pylist(), tile["counts"].to_pylist())]
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    found: set[tuple[int, int]] = set()
+    if len(left) and len(right):
+        near = linked([sets[i] for i in left], [sets[j] for j in right])
+        for i, row in zip(left, near):
+            found |= {(int(ids[i]), int(v)) for v in np.unique(labels[right[row]]) if v != labels[i]}
+    u, v = zip(*sorted(found)) if found else ((), ())
+    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+
+def _blocks(members: DataFrame, label: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between members of one bucket that ``label`` has in different groups."""
+    bucket = ["band", "value"]
+    placed = members.join(label, "id", "left").select(
+        *bucket, "id", F.coalesce("component_id", "id").alias("label")
+    )
+    sizes = placed.groupBy(*bucket, "label").agg(F.count("*").alias("n"))
+    split = sizes.groupBy(*bucket).agg(
+        F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("labels")
+    ).filter("labels > 1").drop("labels")
+    open_ = materialise(
+        placed.join(split, bucket).select("main", "id", "label").distinct(), "open"
+    )
+    ways = open_.groupBy("main").agg(
+        F.ceil(F.count_if(F.col("label") != F.col("main")) / LEFT).cast("int").alias("ways"),
+        F.ceil(F.count("*") / RIGHT).cast("int").alias("parts"),
+    )
+    sides = open_.join(ways, "main")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    tiles = sides.filter("label != main").select(
+        "main", own("ways").alias("i"), every("parts").alias("j"), F.lit(0).alias("side"), "id", "label"
+    ).unionByName(sides.select(
+        "main", every("ways").alias("i"), own("parts").alias("j"), F.lit(1).alias("side"), "id", "label"
+    ))
+    return tiles.join(sets.hint("merge"), "id").groupBy("main", "i", "j").applyInArrow(
+        _compare, "u long, v long"
+    )
 
 
 def near_duplicates(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -176,56 +277,41 @@ def near_duplicates(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     rows = rows.filter("id is not null")
     signed = materialise(
-        rows.mapInArrow(_sign, "id long, key_a long, key_b long, bands array<long>"), "signatures"
+        rows.mapInArrow(_sign, "id long, key_a long, key_b long, bands array<long>, signature binary"), "signatures"
     )
     # Copies: one representative stands for each different sequence of words.
-    groups = signed.groupBy("key_a", "key_b").agg(
-        F.min("id").alias("first"), F.any_value("bands").alias("bands")
-    )
-    copies = signed.select("id", "key_a", "key_b").join(
-        groups.select("key_a", "key_b", "first"), ["key_a", "key_b"]
-    ).filter("id != first").select(F.col("id").alias("u"), F.col("first").alias("v"))
-    banded = groups.select("first", F.posexplode("bands").alias("band", "value"))
-    crowd = banded.groupBy("band", "value").agg(
-        F.min("first").alias("pivot"), F.max("first").alias("other")
-    ).filter("pivot != other").drop("other")
-    members = materialise(
-        banded.join(crowd, ["band", "value"]).select(
-            "band", "value", F.col("first").alias("id"), "pivot"
-        ), "buckets"
+    groups = signed.groupBy("key_a", "key_b").agg(F.min("id").alias("first"))
+    copies = materialise(
+        signed.select("id", "key_a", "key_b").join(groups, ["key_a", "key_b"]).filter("id != first")
+        .select(F.col("id").alias("u"), F.col("first").alias("v")), "copies"
     )
-    stars = materialise(
-        members.filter("id != pivot").select(F.col("id").alias("u"), F.col("pivot").alias("v"))
-        .distinct(), "pairs"
+    # An id of several texts stays if one of them is the first of its kind.
+    ones = signed.join(groups.select(F.col("first").alias("id")).distinct(), "id", "left_semi")
+    banded = ones.select("id", F.posexplode("bands").alias("band", "value"))
+    bucket = ["band", "value"]
+    crowd = banded.groupBy(*bucket).agg(F.count("*").alias("n")).filter("n > 1")
+    shared = materialise(banded.join(crowd, bucket), "buckets")
+    heard = shared.groupBy("id").agg(F.sum("n").alias("heard"))
+    pivots = shared.join(heard, "id").groupBy(*bucket).agg(
+        F.max_by("id", F.struct("heard", -F.col("id"))).alias("pivot")
     )
+    members = materialise(shared.join(pivots, bucket).select(*bucket, "id", "pivot"), "members")
+
+    def distinct(pairs: DataFrame) -> DataFrame:
+        ends = F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
+        return pairs.filter("u != v").select(*ends).distinct()
+
+    stars = distinct(members.select(F.col("id").alias("u"), F.col("pivot").alias("v")))
     wanted = members.select("id").distinct()
     sets = materialise(
-        rows.join(wanted, "id", "left_semi").mapInArrow(
+        rows.join(wanted.hint("merge"), "id", "left_semi").mapInArrow(
             _pack_sets, "id long, shingles binary, counts binary"
         ), "sets"
     )
-    links = materialise(_verified(stars, sets), "verified")
-
-    # What one check a member left open: pairs of a bucket that lie in different groups so far.
-    label = components(links.unionByName(copies))
-    placed = members.join(label, "id", "left").withColumn(
-        "label", F.coalesce("component_id", "id")
-    ).drop("component_id")
-    bucket = ["band", "value"]
-    sizes = placed.groupBy(*bucket, "label").agg(F.count("*").alias("n"))
-    split = sizes.groupBy(*bucket).agg(
-        F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("labels")
-    ).filter("labels > 1").drop("labels")
-    open_ = placed.join(split, bucket)
-    rest = open_.filter("label != main").select(
-        *bucket, F.col("id").alias("u"), F.col("label").alias("label_u"), "pivot"
-    )
-    more = rest.join(open_.select(*bucket, F.col("id").alias("v"), "label", "main"), bucket).filter(
-        "label != label_u and u != pivot and v != pivot and (label = main or u > v)"
-    ).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    more = materialise(more.join(stars, ["u", "v"], "left_anti"), "pairs")
-    found = _verified(more, sets)
-    last = components(links.unionByName(found).unionByName(copies))
+    links = materialise(_verified(stars, signed, sets).unionByName(copies), "verified")
+    more = materialise(_blocks(members, components(links), sets), "found")
+    links = links.unionByName(more)
+    last = components(links)
     return rows.select("id").distinct().join(last, "id", "left").select(
         "id", F.coalesce("component_id", "id").alias("class_id")
     )

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from orelode.llm.common import steps
 
@@ -50,6 +51,9 @@ SCHEMA = (
 
 # What the vocabulary's normaliser takes for white space.
 _WHITE = re.compile("[\t-\r \x85\xa0  -     　]+")
+# Letters that have no other form, then signs other than the apostrophe.
+_PLAIN = re.compile("([A-Za-zß-öø-ÿÀ-ÖØ-Þ]+)([!-&(-/:-@[-`{-~]*)")
+_LATIN = re.compile("[\x00-\x7e\xc0-\xff]*")
 
 
 class WordCodec:
@@ -68,20 +72,56 @@ class WordCodec:
         ]
         self.sentence_end = np.zeros(self.library.get_vocab_size() + 1, bool)
         self.sentence_end[ends] = True
+        # How the model spells the bytes of a letter.
+        spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelled = {c: spell(chr(c))[0][0] for c in range(0xC0, 0x100)}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        words = [[w for w in _WHITE.split(t) if w] if _odd(t) else t.split() for t in texts]
-        new = list(set().union(*words).difference(self.known))
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known.clear()
-            new = list(set().union(*words))
-        for k in range(0, len(new), 20_000):
-            part = new[k : k + 20_000]
-            found = self.library.encode_batch_fast(part, add_special_tokens=False)
-            for word, x in zip(part, found):
-                self.known[word] = np.array(x.ids, "<u4").tobytes()
-        get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, w)), "<u4") for w in words]
+        words = [_words(t) for t in texts]
+        known = self.known
+        new = {w for own in words for w in own if w not in known}
+        if len(known) + len(new) > CACHED_WORDS:
+            known.clear()
+            new = set().union(*words)
+        self._learn(new)
+        get = known.__getitem__
+        return [np.frombuffer(b"".join(map(get, own)), "<u4") for own in words]
+
+    def _learn(self, new: set[str]) -> None:
+        """Letters and a tail of signs are two matches of the vocabulary's pattern, whose ids add up.
+
+        A match of letters goes straight to the model; all else takes the library's whole way.
+        """
+        known, one, spelled, plain = self.known, self.library.model.tokenize, self.spelled, _PLAIN.fullmatch
+        other = []
+        for word in new:
+            match = plain(word)
+            if match is None:
+                other.append(word)
+                continue
+            stem, tail = match.groups()
+            ids = known.get(stem)
+            if ids is None:
+                low = stem.lower()
+                found = one(low if low.isascii() else low.translate(spelled))
+                ids = known[stem] = array("I", [t.id for t in found]).tobytes()
+            if tail:
+                end = known.get(tail)
+                if end is None:
+                    end = known[tail] = self._library(tail)
+                known[word] = ids + end
+        for word in other:
+            known[word] = self._library(word)
+
+    def _library(self, word: str) -> bytes:
+        return array("I", self.library.encode(word, add_special_tokens=False).ids).tobytes()
+
+
+def _words(text: str) -> list[str]:
+    """What white space separates; in lower case where that is one character for one."""
+    if _odd(text):
+        return [w for w in _WHITE.split(text) if w]
+    return (text.lower() if text.isascii() or _LATIN.fullmatch(text) else text).split()
 
 
 def _odd(text: str) -> bool:

@@ -10,39 +10,56 @@ from orelode.sources.paths import file_stream
 BRONZE_SCHEMA = "payload variant, ingestion_ts timestamp_ntz, source_file string"
 
 
+LAYOUTS = ("auto", "lines", "array")
+BLANK = " \t\r\n"
+
+
+def _parsed(raw: DataFrame) -> DataFrame:
+    """``raw`` with the one JSON value each ``value`` is as ``payload``, or NULL: nothing may follow it.
+
+    The parser stops after a first value. Inside brackets of our own it has to go on to the last of
+    them; a text with a closing bracket, which might be taken for ours, must also fit into an object.
+    """
+    inside = F.try_parse_json(F.concat(F.lit("["), "value", F.lit("]")))
+    member = F.try_parse_json(F.concat(F.lit('{"v":'), "value", F.lit("}")))
+    whole = F.expr("try_variant_get(_inside, '$[1]', 'variant')").isNull() & (
+        ~F.col("value").contains("]") | member.isNotNull()
+    )
+    payload = F.when(whole, F.expr("try_variant_get(_inside, '$[0]', 'variant')"))
+    return raw.withColumn("_inside", inside).withColumn("payload", payload).drop("_inside")
+
+
 def read_raw(
     spark: SparkSession,
     path: str,
-    layout: str = "lines",
+    layout: str = "auto",
     streaming: bool = False,
     max_files: int | None = None,
 ) -> DataFrame:
     """One row per JSON record: ``payload`` and ``source_file``. Unreadable records have no payload.
 
-    ``lines`` holds one object per line and splits inside files, which is what large loads want.
-    ``array`` holds one JSON array per file and strips the outer array; such files cannot be split,
-    and a broken file counts as one unreadable record.
+    The elements of an array are records of their own, in every layout. ``auto`` reads each file whole:
+    one JSON value (an array on one line or many, or an object), or else one value per line.
+    ``lines`` splits inside files, which is what large loads want. ``array`` takes a file that is not
+    one value for one unreadable record.
     """
-    if layout not in ("lines", "array"):
+    if layout not in LAYOUTS:
         raise ValueError(f"unknown layout {layout!r}")
     reader = file_stream(spark) if streaming else spark.read
     if streaming and max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     reader = reader.option("recursiveFileLookup", "true")
-    if layout == "array":
-        reader = reader.option("wholetext", "true")
-    raw = reader.text(path).select(
-        F.try_parse_json("value").alias("payload"),
-        F.col("_metadata.file_path").alias("source_file"),
-        (F.trim(F.col("value")) == "").alias("_blank"),
+    raw = reader.text(path, wholetext=layout != "lines").select("value", F.col("_metadata.file_path").alias("source_file"))
+    raw = _parsed(raw.where(F.trim("value", F.lit(BLANK)) != ""))
+    if layout == "auto":
+        # A file that is no single value is read line by line.
+        lines = F.when(F.col("payload").isNull(), F.split("value", "\r\n|\r|\n")).otherwise(F.array("value"))
+        raw = raw.select(F.explode(lines).alias("value"), "source_file")
+        raw = _parsed(raw.where(F.trim("value", F.lit(BLANK)) != ""))
+    elements = F.coalesce(
+        F.expr("try_variant_get(payload, '$', 'array<variant>')"), F.array("payload")
     )
-    raw = raw.where(~F.col("_blank")).drop("_blank")
-    if layout == "array":
-        elements = F.coalesce(
-            F.expr("try_variant_get(payload, '$', 'array<variant>')"), F.array("payload")
-        )
-        raw = raw.select(F.explode(elements).alias("payload"), "source_file")
-    return raw
+    return raw.select(F.explode(elements).alias("payload"), "source_file")
 
 
 def bronze_rows(raw: DataFrame, load_ts: Column) -> DataFrame:

@@ -270,7 +270,7 @@ class IngestEntry:
     entity: str
     path: str
     is_active: bool = True
-    layout: str = "lines"  # "lines": one JSON object per line; "array": one JSON array per file
+    layout: str = "auto"  # "lines" for large JSON lines, which then split inside files
 
 
 INGESTION: tuple[IngestEntry, ...] = tuple(IngestEntry(s.name, s.path) for s in ENTITIES.values())

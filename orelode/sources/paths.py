@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -14,15 +13,10 @@ MAX_FILE_AGE = "36500d"
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder under the cluster's shared checkpoint folder.
-
-    Only where none is configured and Spark runs on this machine alone is a local one made.
-    """
+    """A new folder under the cluster's shared checkpoint folder, or else under the warehouse."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="orelode-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{base.rstrip('/')}/orelode-{name}-{uuid.uuid4().hex}"
 
 
@@ -57,10 +51,9 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
+def remove(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.getContentSummary(target).getLength()
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def file_stream(spark: SparkSession) -> DataStreamReader:

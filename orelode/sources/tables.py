@@ -8,13 +8,14 @@ Every ``snapshot_every`` batches the state is written out whole under ``snapshot
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from orelode.operators.changes import BATCH, net_changes
 from orelode.operators.merge import ACTION, apply_changes
-from orelode.sources.paths import complete_batches, file_stream
+from orelode.sources.paths import complete_batches, file_stream, remove
 
 
 @dataclass(frozen=True)
@@ -75,30 +76,64 @@ class ChangeTable:
         """The table as of all committed batches, or those before a given one.
 
         ``touching`` (distinct values of one column) limits the state to rows with those values.
-        It meets the files first: where it measures small Spark broadcasts it, and neither the
-        snapshot nor the feed is shuffled.
+        Where the column is the key it meets the files first: if it measures small Spark broadcasts
+        it, and neither the snapshot nor the feed is shuffled. For any other column a row's newest
+        image decides, so first the keys are found that had such a value in any image.
         """
+        if touching is not None and touching.columns != [self.key]:
+            images = [df for df in self._images(before) if df is not None]
+            if not images:
+                return self.spark.createDataFrame([], self.schema)
+            column = touching.columns[0]
+            keys = reduce(DataFrame.unionByName, [df.select(self.key, column) for df in images])
+            keys = keys.join(touching, column, "left_semi").select(self.key).distinct()
+            return self.state(before, keys).join(touching, column, "left_semi").select(*self._columns)
+
+        def limited(df: DataFrame) -> DataFrame:
+            return df if touching is None else df.join(touching, self.key, "left_semi")
+
+        base, first, feed = self._images(before, split_first=not self.insert_only)
+        if base is None and first is not None:
+            base, first = first, None
+        if base is not None:
+            base = limited(base).select(*self._columns)
+        if feed is None:
+            return base if base is not None else self.spark.createDataFrame([], self.schema)
+        feed = limited(feed)
+        if not self.insert_only:
+            feed = net_changes(feed, self.key)
+        feed = feed.select(*self._columns)
+        return feed if base is None else apply_changes(base, feed, self.key)
+
+    def _images(
+        self, before: int | None, split_first: bool = False
+    ) -> tuple[DataFrame | None, DataFrame | None, DataFrame | None]:
+        """The newest snapshot, the first batch if it met an empty table, and the later feed."""
 
         def in_scope(n: int) -> bool:
             return before is None or n < before
 
-        def limited(df: DataFrame) -> DataFrame:
-            return df if touching is None else df.join(touching, touching.columns, "left_semi")
-
         snapshot = max(filter(in_scope, self._snapshots()), default=None)
         batches = [b for b in self._batches() if in_scope(b) and (snapshot is None or b > snapshot)]
-        base = None
+        base = first = None
         if snapshot is not None:
-            files = f"{self.path}/snapshot/_through={snapshot}"
-            base = limited(self.spark.read.schema(self.schema).parquet(files))
-        if base is None and batches and not self.insert_only:
-            # The first batch met an empty table: its rows are the state it left.
-            base = limited(self.feed(batches[:1])).select(*self._columns)
-            batches = batches[1:]
-        if not batches:
-            return base if base is not None else self.spark.createDataFrame([], self.schema)
-        feed = limited(self.feed(batches))
-        if not self.insert_only and len(batches) > 1:
-            feed = net_changes(feed, self.key)
-        feed = feed.select(*self._columns)
-        return feed if base is None else apply_changes(base, feed, self.key)
+            base = self.spark.read.schema(self.schema).parquet(f"{self.path}/snapshot/_through={snapshot}")
+        elif batches and split_first:
+            # It met an empty table: its rows are the state it left.
+            first, batches = self.feed(batches[:1]), batches[1:]
+        return base, first, self.feed(batches) if batches else None
+
+    def forget(self, before: int) -> list[str]:
+        """Remove what neither a state nor a reader needs: change folders below ``before`` that a
+        snapshot covers, and snapshots older than that. Returns the folders removed.
+
+        ``before`` is the first batch that some reader has yet to take.
+        """
+        kept = max((s for s in self._snapshots() if s < before), default=None)
+        if kept is None:
+            return []
+        old = [f"{self.path}/snapshot/_through={s}" for s in self._snapshots() if s < kept]
+        old += [f"{self.path}/changes/{BATCH}={b}" for b in self._batches() if b <= kept]
+        for folder in old:
+            remove(self.spark, folder)
+        return old

@@ -52,6 +52,17 @@ def classify(dim: DataFrame, source: DataFrame, spec: DimSpec) -> DataFrame:
     return joined.withColumn(STATE, state)
 
 
+def _opened(spec: DimSpec, c: str) -> Column:
+    """A column of the version a source row opens."""
+    if c == spec.surrogate:
+        return F.col("_new_key")
+    if c == "valid_to":
+        return ntz(END_OF_TIME)
+    if c == "is_current":
+        return F.lit(True)
+    return F.col(c)
+
+
 def scd2_changes(
     dim: DataFrame,
     source: DataFrame,
@@ -65,16 +76,20 @@ def scd2_changes(
     ``source`` has one row per natural key, with attributes, ``hash_value`` and ``valid_from``.
     ``versioned`` closes a changed version and opens the next in the same load. ``close_only``
     closes it and leaves the key without a current version until it next appears in a source.
+    ``versioned`` leaves out a source row older than the current version, so a key's intervals never
+    overlap; ``close_only`` takes it as it comes.
     A load adds at most one version per key, so a key's history is bounded by the number of loads.
     """
     if mode not in ("versioned", "close_only"):
         raise ValueError(f"unknown mode {mode!r}")
     opening = F.col(STATE) == NEW
+    late = F.lit(False)
     if mode == "versioned":
         opening = F.col(STATE) != SAME
+        late = F.coalesce(F.col("valid_from") < F.col("_t_valid_from"), F.lit(False))
     # Numbered before the join result is split, so that one pass yields both kinds of row.
     numbered = assign_keys(source, "_new_key", spec.natural_key, load_no, buckets, ("hash_value",))
-    marked = classify(dim, numbered, spec).where(F.col(STATE) != SAME)
+    marked = classify(dim, numbered, spec).where((F.col(STATE) != SAME) & ~late)
 
     def closed(c: str) -> Column:
         if c == "valid_to":
@@ -83,17 +98,8 @@ def scd2_changes(
             return F.lit(False)
         return F.col(f"_t_{c}")
 
-    def opened(c: str) -> Column:
-        if c == spec.surrogate:
-            return F.col("_new_key")
-        if c == "valid_to":
-            return ntz(END_OF_TIME)
-        if c == "is_current":
-            return F.lit(True)
-        return F.col(c)
-
     close_row = F.struct(*(closed(c).alias(c) for c in spec.columns), F.lit(UPDATE).alias(ACTION))
-    open_row = F.struct(*(opened(c).alias(c) for c in spec.columns), F.lit(INSERT).alias(ACTION))
+    open_row = F.struct(*(_opened(spec, c).alias(c) for c in spec.columns), F.lit(INSERT).alias(ACTION))
     rows = F.filter(
         F.array(F.when(F.col(STATE) == CHANGED, close_row), F.when(opening, open_row)),
         lambda r: r.isNotNull(),
@@ -124,6 +130,8 @@ def scd2_apply(
     has_old = F.col(f"_t_{spec.surrogate}").isNotNull()
     has_new = F.col("_new_key").isNotNull()
     changed = has_old & has_new & (F.col("hash_value") != F.col("_t_hash_value"))
+    if mode == "versioned":
+        changed &= ~F.coalesce(F.col("valid_from") < F.col("_t_valid_from"), F.lit(False))
     opening = ~has_old | changed if mode == "versioned" else ~has_old
 
     def old(c: str) -> Column:
@@ -133,19 +141,10 @@ def scd2_apply(
             return ~F.coalesce(changed, F.lit(False))
         return F.col(f"_t_{c}")
 
-    def opened(c: str) -> Column:
-        if c == spec.surrogate:
-            return F.col("_new_key")
-        if c == "valid_to":
-            return ntz(END_OF_TIME)
-        if c == "is_current":
-            return F.lit(True)
-        return F.col(c)
-
     rows = F.filter(
         F.array(
             F.when(has_old, F.struct(*(old(c).alias(c) for c in spec.columns))),
-            F.when(opening, F.struct(*(opened(c).alias(c) for c in spec.columns))),
+            F.when(opening, F.struct(*(_opened(spec, c).alias(c) for c in spec.columns))),
         ),
         lambda r: r.isNotNull(),
     )

@@ -57,13 +57,14 @@ class Step:
     rows: int = 0
     errors: int = 0
     info: dict = field(default_factory=dict)
+    fault: str | None = None  # what kept the load from success without stopping it
 
     def add(self, rows: int = 0, errors: int = 0, **info) -> None:
         self.rows += rows
         self.errors += errors
         for k, v in info.items():
             old = self.info.get(k)
-            self.info[k] = old + v if isinstance(v, (int, list)) and old is not None else v
+            self.info[k] = old + v if isinstance(v, int) and old is not None else v
 
 
 class AuditLog:
@@ -100,19 +101,20 @@ class AuditLog:
     ) -> Iterator[Step]:
         """Log START, then SUCCESS with what was counted, or FAIL and raise on."""
         begun = time.monotonic()
-        self.log(layer, process, target, "INIT", "START", "Starting load")
+        self.log(layer, process, target, "INIT", "START", "Load begins")
         report = Step()
         try:
             yield report
         except Exception as e:
             self.log(
-                layer, process, target, "FAILURE", "FAIL", str(e)[:2000],
+                layer, process, target, "FAILURE", "FAIL", str(e),
                 seconds=time.monotonic() - begun,
-                error_code=type(e).__name__, error_stack=traceback.format_exc()[-4000:],
+                error_code=type(e).__name__, error_stack=traceback.format_exc(),
                 info={"failed_at_step": process},
             )
             raise
         self.log(
-            layer, process, target, step, "SUCCESS", message, report.rows, report.errors,
-            time.monotonic() - begun, info={**(info or {}), **report.info} or None,
+            layer, process, target, step, "FAIL" if report.fault else "SUCCESS", report.fault or message,
+            report.rows, report.errors, time.monotonic() - begun,
+            info={**(info or {}), **report.info} or None,
         )

@@ -33,6 +33,7 @@ from orelode.specs import (
     FactSpec, IngestEntry,
 )
 
+BRONZE_COLUMNS = ("payload", "ingestion_ts", "source_file")
 BatchFn = Callable[[DataFrame, int], None]
 
 
@@ -46,7 +47,7 @@ class Options:
     scd2_mode: str = "versioned"
     one_default_address: bool = False
     parallel: int = 8  # loads of independent tables run at the same time
-    max_files: int = 1000  # raw files per bronze micro-batch; bounds the file list in the log
+    max_files: int = 1000  # raw files per bronze micro-batch
     snapshot_every: int = 16
 
 
@@ -126,12 +127,33 @@ class Medallion:
         )
         query.awaitTermination()
 
-    def _staged(self, df: DataFrame, name: str) -> DataFrame:
-        """A batch's intermediate table, replaced by the next batch."""
-        path = f"{self.root}/staging/{name}"
+    def _staged(self, df: DataFrame, name: str, batch_id: int) -> DataFrame:
+        """An intermediate table of one batch, replaced if the batch is run again."""
+        path = f"{self.root}/staging/{name}/{batch_id}"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def _fresh(self, batch: DataFrame, name: str, batch_id: int) -> DataFrame:
+        """The rows of upstream batches that no earlier batch of this reader has taken.
+
+        A file stream knows files; an upstream batch that was written again has new ones. So readers
+        go by batch number: what a batch takes is marked, under its own number, before it writes.
+        """
+        source = [c for c in ("_from", BATCH) if c in batch.columns]
+        if not source:
+            return batch
+        marks = f"{self.root}/consumed/{name}"
+        done = [b for b in complete_batches(self.spark, marks, "_reader") if b < batch_id]
+        taken = batch.select(*source).distinct()
+        if done:
+            # One row per upstream batch.
+            old = self.spark.read.schema(taken.schema).parquet(*(f"{marks}/_reader={b}" for b in done))
+            taken = taken.join(old, source, "left_anti")
+        own = f"{marks}/_reader={batch_id}"
+        taken.coalesce(1).write.mode("overwrite").parquet(own)
+        new = self.spark.read.schema(taken.schema).parquet(own)
+        return batch.join(new, source, "left_semi") if done else batch
+
     def _all(self, loads: list[Callable[[], None]]) -> None:
         """Run independent loads; the first failure is raised once the running ones are done."""
         if self.options.parallel <= 1:
@@ -203,9 +225,10 @@ class Medallion:
         info = {
             "load_strategy": "INGEST_COPY", "source_obj": path, "business_key": "filename",
             "description": "Raw file ingestion",
+            "manifest": f"{self.root}/common/manifest/{entry.entity}",
         }
-        with log.step("BRONZE", "LOAD_BRONZE", entry.entity.upper(), "COPY", "File Loaded", info) as step:
-            step.add(processed_files=[])
+        with log.step("BRONZE", "LOAD_BRONZE", entry.entity.upper(), "COPY", "Files landed", info) as step:
+            step.add(processed_files=0)
             if not exists(self.spark, path):
                 return
             raw = read_raw(self.spark, path, entry.layout, streaming=True, max_files=self.options.max_files)
@@ -224,10 +247,16 @@ class Medallion:
             files = f"{self.root}/common/manifest/{entry.entity}/{BATCH}={batch_id}"
             landed = batch.sparkSession.read.schema(BRONZE_SCHEMA).parquet(out)
             file_manifest(landed).write.mode("overwrite").parquet(files)
-            # At most max_files names: the stream admits no more files to a batch.
-            names = [r[0] for r in batch.sparkSession.read.parquet(files).select("source_file").collect()]
             counts = seen.get
-            step.add(rows=counts["good"], bad_records=counts["bad"], processed_files=sorted(names))
+            # The names stay in the manifest: the log holds their number.
+            loaded = batch.sparkSession.read.parquet(files).count()
+            step.add(rows=counts["good"], bad_records=counts["bad"], processed_files=loaded)
+            if counts["bad"]:
+                per_file = batch.groupBy("source_file").agg(F.count("payload").alias("n"))
+                lost = per_file.where("n = 0").count()
+                if lost:
+                    step.add(unreadable_files=lost)
+                    step.fault = f"{step.info['unreadable_files']} files without a readable record"
 
         return write
 
@@ -246,7 +275,7 @@ class Medallion:
         }
         name = spec.name.upper()
         step_name = "INSERT" if spec.insert_only else "MERGE"
-        with log.step("SILVER", name, name, step_name, "Table Merged", info) as step:
+        with log.step("SILVER", name, name, step_name, "Merge done", info) as step:
             path = self.bronze_path(spec.name)
             if not exists(self.spark, path):
                 return
@@ -258,7 +287,8 @@ class Medallion:
         rule = MergeRule.for_entity(spec)
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            tagged = tag(batch, spec, self.options.strict_quality)
+            batch = self._fresh(batch, f"silver/{spec.name}", batch_id)
+            tagged = tag(batch.select(*BRONZE_COLUMNS), spec, self.options.strict_quality)
             watched, verdicts = observe_verdicts(tagged, f"dq_{spec.name}_{batch_id}")
             errors = f"{self.root}/common/dq_errors/{spec.name}/{BATCH}={batch_id}"
             quarantined(watched, spec, run_id, ntz(load_ts)).write.mode("overwrite").parquet(errors)
@@ -269,7 +299,7 @@ class Medallion:
                 changes = insert_all(source, rule, ntz(load_ts))
             else:
                 # Stored, the source serves twice (keys to look for, rows to merge) at a known size.
-                source = self._staged(source, f"silver/{spec.name}")
+                source = self._staged(source, f"silver/{spec.name}", batch_id)
                 target = table.state(before=batch_id, touching=source.select(spec.key))
                 changes = merge_changes(target, source, rule, ntz(load_ts))
             changes, actions = observe_actions(changes, f"merge_{spec.name}_{batch_id}")
@@ -313,7 +343,7 @@ class Medallion:
             "description": description,
         }
         name = spec.name.upper()
-        return log.step("GOLD", name, name, "MERGE", "Dimension History Updated", info)
+        return log.step("GOLD", name, name, "MERGE", "Versions written", info)
 
     def _dim_products(self, log: AuditLog) -> None:
         silver = self.silver("products")
@@ -322,6 +352,7 @@ class Medallion:
                 return
 
             def write(batch: DataFrame, batch_id: int) -> None:
+                batch = self._fresh(batch, "dim_products", batch_id)
                 source = product_source(net_changes(batch, silver.key))
                 touched = batch.select("product_id").distinct()
                 self._write_dim(DIM_PRODUCTS, source, touched, batch_id, step)
@@ -335,12 +366,15 @@ class Medallion:
         ) as step:
             if not all(exists(self.spark, f"{t.path}/changes") for t in (customers, addresses)):
                 return
-            changed = customers.feed_stream().select("customer_id").union(
-                addresses.feed_stream().select("customer_id")
-            )
+            changed = customers.feed_stream().select(
+                "customer_id", BATCH, F.lit("customers").alias("_from")
+            ).union(addresses.feed_stream().select("customer_id", BATCH, F.lit("addresses").alias("_from")))
 
             def write(batch: DataFrame, batch_id: int) -> None:
-                ids = batch.where(F.col("customer_id").isNotNull()).distinct()
+                batch = self._fresh(batch, "dim_customers", batch_id)
+                ids = batch.where(F.col("customer_id").isNotNull()).select("customer_id").distinct()
+                # Stored, the ids are worked out once for all that asks for them.
+                ids = self._staged(ids, "dim_customers", batch_id)
                 profiles = customers.state(touching=ids)
                 homes = addresses.state(touching=ids)
                 if not self.options.one_default_address:
@@ -382,11 +416,12 @@ class Medallion:
         }
         name = spec.name.upper()
         step_name = "INSERT" if spec.insert_only else "MERGE"
-        with log.step("GOLD", name, name, step_name, "Fact Table Merged", info) as step:
+        with log.step("GOLD", name, name, step_name, "Facts merged", info) as step:
             if not exists(self.spark, f"{silver.path}/changes"):
                 return
 
             def write(batch: DataFrame, batch_id: int) -> None:
+                batch = self._fresh(batch, spec.name, batch_id)
                 net = batch if silver.insert_only else net_changes(batch, silver.key)
                 orders = None
                 if spec.name in ("fact_sales", "fact_shipments", "fact_payments"):
@@ -398,7 +433,9 @@ class Medallion:
                     self.gold("dim_products").state(),
                     self.gold("dim_customers").state(),
                 )
-                source = assign_keys(rows, spec.surrogate, spec.key, batch_id, self._buckets())
+                source = assign_keys(
+                    rows, spec.surrogate, spec.key, batch_id, self._buckets(), unique=True
+                )
                 table.compact(batch_id)
                 if table.is_new(batch_id):
                     changes = insert_all(source, rule, ntz(load_ts))

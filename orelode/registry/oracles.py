@@ -439,7 +439,24 @@ def _bronze_oracles() -> dict[str, str]:
     )
     q = Sql()
     out["bronze_bad_records"] = q.query(
-        f"SELECT order_id % 50 = 0 AS is_bad, count(*) AS n FROM {q.feed('orders')} GROUP BY 1"
+        f"SELECT order_id % 50 IN (0, 1, 2, 3) AS is_bad, count(*) AS n FROM {q.feed('orders')} GROUP BY 1"
+    )
+    q = Sql()
+    out["bronze_scan_array"] = q.query(
+        f"SELECT form, count(*) AS n, sum(order_id) AS ids, count(DISTINCT order_id) AS orders FROM "
+        f"{q.feed('orders')}, (VALUES ('one line'), ('indented'), ('lines')) f(form) GROUP BY form"
+    )
+    # Streets went with their addresses; a third of the profiles changed after that.
+    out["incremental_moved_addresses"] = (
+        "SELECT c_custkey AS customer_id, '+1' AS phone, concat(CAST(c_custkey AS VARCHAR), ' Main St') AS street, "
+        "c_custkey % 3 <> 0 AS is_current FROM customer UNION ALL "
+        "SELECT c_custkey, '+2', 'Unknown', true FROM customer WHERE c_custkey % 3 = 0"
+    )
+    out["scd2_products_late"] = (
+        "SELECT p_partkey AS product_id, v.name, CAST(v.valid_from AS TIMESTAMP) AS valid_from, "
+        "CAST(v.valid_to AS TIMESTAMP) AS valid_to FROM part, (VALUES "
+        "('first', '1995-01-01 00:00:00', '1995-03-01 00:00:00'), "
+        "('second', '1995-03-01 00:00:00', '9999-12-31 00:00:00')) v(name, valid_from, valid_to)"
     )
     q = Sql()
     out["bronze_incremental"] = q.query(
@@ -474,8 +491,8 @@ def _gold_oracles() -> dict[str, str]:
     )
     out["dim_date"] = q.query(
         "SELECT p.*, days.* FROM (SELECT CAST(strftime(created_at, '%Y%m%d') AS BIGINT) AS order_date_key, "
-        f"count(*) AS orders FROM {q.feed('orders')} WHERE batch_id = 1 GROUP BY 1) p "
-        f"LEFT JOIN {days} ON p.order_date_key = days.date_key",
+        f"count(*) AS orders FROM {q.feed('orders')} GROUP BY 1) p "
+        f"FULL JOIN {days} ON p.order_date_key = days.date_key",
         dates=("date_value",),
     )
     q = Sql()
@@ -588,11 +605,10 @@ def _load_oracles() -> dict[str, str]:
         )
     q = Sql()
     parts = []
-    for e in ENTITIES:
-        last = 2 if _has_second(e) else 1
+    for e, last in [(e, b) for e in ENTITIES for b in ((1, 2) if _has_second(e) else (1,))]:
         ch = q.changes(e, last)
         parts.append(
-            f"SELECT '{e}' AS entity, count(*) AS read, "
+            f"SELECT '{e}' AS entity, {last} AS batch, count(*) AS read, "
             "count(*) FILTER (WHERE verdict NOT IN ('accepted', 'undecided')) AS rejected, "
             "count(*) FILTER (WHERE verdict = 'accepted') AS accepted, "
             "count(*) FILTER (WHERE verdict = 'undecided') AS undecided, "

@@ -188,13 +188,13 @@ def bronze_file_manifest(spark: SparkSession, d: str) -> DataFrame:
 # Gold -------------------------------------------------------------------------------------------
 
 def dim_date_days(spark: SparkSession, d: str) -> DataFrame:
-    """Calendar attributes of every order day; days outside the dimension stay empty."""
-    orders = typed_feed(spark, d, "orders", 1)
+    """The whole calendar with the orders of each day; order days outside it stay without attributes."""
+    orders = typed_feed(spark, d, "orders")
     per_day = orders.groupBy(date_key(F.col("created_at").cast("date")).alias("order_date_key")).agg(
         F.count(F.lit(1)).alias("orders")
     )
     days = dim_date(spark)
-    return per_day.join(days, per_day.order_date_key == days.date_key, "left")
+    return per_day.join(days, per_day.order_date_key == days.date_key, "full_outer")
 
 
 def unknown_members(spark: SparkSession, d: str) -> DataFrame:
@@ -320,6 +320,7 @@ def kpi_orders_by_status(spark: SparkSession, d: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     found: dict[str, Query] = {
         "bronze_scan": loads.bronze_scan,
+        "bronze_scan_array": loads.bronze_scan_array,
         "bronze_bad_records": loads.bronze_bad_records,
         "bronze_incremental": loads.bronze_incremental,
         "bronze_config_active": bronze_config_active,
@@ -358,6 +359,8 @@ def all_queries() -> dict[str, Query]:
         "kpi_shipping": kpi_shipping,
         "kpi_orders_by_status": kpi_orders_by_status,
         "audit_counts": loads.audit_counts,
+        "incremental_moved_addresses": loads.moved_addresses,
+        "scd2_products_late": loads.late_products,
         "change_feed_net": loads.change_feed_net,
         "stream_silver_orders": loads.stream_silver_orders,
         "stream_retry_idempotent": loads.stream_retry_idempotent,

@@ -70,7 +70,7 @@ def test_bronze_sees_each_file_once(spark, tmp_path):
     assert [r.rows_affected for r in log] == [2, 0, 1]
     info = json.loads(log[0].additional_info)
     assert info["load_strategy"] == "INGEST_COPY" and info["bad_records"] == 1
-    assert len(info["processed_files"]) == 1
+    assert info["processed_files"] == 1 and info["manifest"].endswith("manifest/orders")
 
 
 def test_inactive_entries_are_left_alone(spark, tmp_path):
@@ -284,3 +284,83 @@ def test_a_load_that_died_halfway_is_made_good(spark, tmp_path, monkeypatch):
     m.load_silver("r3", T)
     assert [r.order_status for r in m.silver("orders").state().collect()] == ["SHIPPED"]
     assert sorted(r.record_key for r in m.dq_errors("orders").collect()) == ["2", "3"]
+
+
+def test_a_batch_written_again_upstream_is_not_read_again(spark, tmp_path):
+    """New file names for a bronze batch that silver has taken change nothing downstream."""
+    m = Medallion(spark, str(tmp_path), ingestion=ONLY_ORDERS)
+    land(tmp_path, "orders", "a.json", [order(1), order(2, order_total_amount="-1"), order(None)])
+    m.load_bronze("r1", T)
+    m.load_silver("r1", T)
+
+    def counts():
+        log = m.audit().where("layer = 'SILVER' AND process_name = 'ORDERS' AND status = 'SUCCESS'")
+        return (
+            m.silver("orders").state().count(), m.dq_errors("orders").count(),
+            log.agg(F.sum("rows_affected")).first()[0],
+        )
+
+    before = counts()
+    folder = f"{m.bronze_path('orders')}/_batch_id=0"
+    rows = spark.createDataFrame(m.bronze("orders").collect(), m.bronze("orders").schema)
+    rows.write.mode("overwrite").parquet(folder)
+    m.load_silver("r2", T)
+    assert counts() == before
+    land(tmp_path, "orders", "b.json", [order(3)])
+    m.load_bronze("r3", T)
+    m.load_silver("r3", T)
+    assert counts() == (before[0] + 1, before[1], before[2] + 1)
+
+
+def test_a_file_without_any_record_is_a_failure_in_the_log(spark, tmp_path):
+    m = Medallion(spark, str(tmp_path), ingestion=ONLY_ORDERS)
+    land(tmp_path, "orders", "a.json", [order(1)])
+    land(tmp_path, "orders", "b.json", ["no", "json"])
+    m.load_bronze("r1", T)
+    last = m.audit().where("process_name = 'LOAD_BRONZE' AND status IN ('SUCCESS', 'FAIL')").collect()
+    assert [(r.status, r.rows_affected) for r in last] == [("FAIL", 1)] and "1 files" in last[0].message
+
+
+def test_all_layouts_read_arrays_and_reject_what_follows_a_value(spark, tmp_path, at):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "indented.json").write_text(json.dumps([order(1), order(2)], indent=2))
+    (folder / "single.json").write_text(json.dumps(order(3), indent=2))
+    lines = [json.dumps(order(4)), json.dumps([order(5), order(6)]), '{"order_id":7}{"order_id":8}',
+             '{"order_id":9} oops', '{"order_id":10}] oops', '{"order_id":11},{"order_id":12}', '{"order_id":13}} x']
+    (folder / "lines.json").write_text("\n".join(lines))
+    raw = read_raw(spark, str(folder))
+    ids = bronze_rows(raw, at(T)).select(F.expr("variant_get(payload, '$.order_id', 'int')").alias("i"))
+    assert sorted(r.i for r in ids.collect()) == [1, 2, 3, 4, 5, 6]
+    assert sum(r.bad_records for r in bad_records(raw).collect()) == 5
+
+
+def test_a_fact_source_with_a_repeated_key_does_not_write(spark):
+    from orelode.operators.keys import AMBIGUOUS, assign_keys
+
+    df = spark.createDataFrame([(1,), (2,), (2,), (None,), (None,)], "k long")
+    assert assign_keys(df, "sk", "k", 0, 8).count() == 5
+    with pytest.raises(Exception, match=AMBIGUOUS):
+        assign_keys(df, "sk", "k", 0, 8, unique=True).collect()
+
+
+def test_state_by_another_column_takes_the_newest_image_first(spark, tmp_path):
+    table = ChangeTable(spark, str(tmp_path / "t"), "id long, owner long, v string", "id")
+    for n, rows in enumerate(([(1, 10, "a"), (2, 20, "b")], [(1, 20, "c")], [(3, 10, "d")])):
+        table.write_changes(spark.createDataFrame(rows, table.schema).withColumn("_action", F.lit("x")), n)
+    one = spark.createDataFrame([(10,)], "owner long")
+    assert [tuple(r) for r in table.state(touching=one).collect()] == [(3, 10, "d")]
+    two = spark.createDataFrame([(20,)], "owner long")
+    assert sorted(tuple(r) for r in table.state(touching=two).collect()) == [(1, 20, "c"), (2, 20, "b")]
+
+
+def test_forgetting_keeps_states_and_unread_feeds(spark, tmp_path):
+    table = ChangeTable(spark, str(tmp_path / "t"), "id long, v string", "id", snapshot_every=2)
+    for n in range(5):
+        table.compact(n)
+        rows = spark.createDataFrame([(n % 3, f"v{n}")], table.schema)
+        table.write_changes(rows.withColumn("_action", F.lit("update" if n > 2 else "insert")), n)
+    state, feed = snapshot_of(table.state()), snapshot_of(table.feed([4]))
+    assert table.forget(before=4)
+    assert snapshot_of(table.state()) == state and snapshot_of(table.feed([4])) == feed
+    assert table.forget(before=4) == []

@@ -6,9 +6,11 @@ import pytest
 from compare import duck, duck_rows, spark_rows
 from conftest import SF
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from orelode.registry.oracles import all_oracles
+from orelode.registry.queries import all_queries
 
-QUERIES, ORACLES = queries(), oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")

@@ -97,20 +97,21 @@ class Layers:
     def dim(self, spec: DimSpec, through: int = 2, mode: str = "versioned") -> DataFrame:
         """The dimension after its loads, the unknown member included."""
 
+        if through == 0:
+            return unknown_member(self.spark, spec)
+
         def build() -> DataFrame:
-            state = unknown_member(self.spark, spec)
-            for load in range(1, through + 1):
-                source = self.dim_source(spec.name, load)
-                state = scd2_apply(state, source, spec, load - 1, BUCKETS, mode)
-            return state
+            before = self.dim(spec, through - 1, mode)
+            source = self.dim_source(spec.name, through)
+            return scd2_apply(before, source, spec, through - 1, BUCKETS, mode)
 
         return self._keep((spec.name, through, mode), build)
 
     def fact_rows(self, name: str, changes: DataFrame, load: int) -> DataFrame:
-        """Merge source of one load. Dimensions are as of both their loads: facts run last."""
+        """Merge source of one load, with the dimensions as that load leaves them."""
         spec = FACTS[name]
-        products = self.dim(DIM_PRODUCTS) if name == "fact_sales" else None
-        customers = self.dim(DIM_CUSTOMERS) if name != "fact_order_status_history" else None
+        products = self.dim(DIM_PRODUCTS, load) if name == "fact_sales" else None
+        customers = self.dim(DIM_CUSTOMERS, load) if name != "fact_order_status_history" else None
         orders = None
         if name in ("fact_sales", "fact_shipments", "fact_payments"):
             orders = self.silver("orders", load)

@@ -7,7 +7,7 @@ log probabilities: ``buckets x languages``, whatever the size of the corpus.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -148,7 +148,7 @@ def train(docs: DataFrame, text: str, label: str) -> LanguageModel:
     return LanguageModel(names, log_prior, log_prob.astype(np.float32))
 
 
-def predictor(model: Broadcast) -> Column:
+def predictor(model: Broadcast) -> Callable[[Column], Column]:
     """A function of a text column that gives a struct of ``lang_pred`` and ``score``."""
 
     @F.pandas_udf("lang_pred string, score double")

@@ -18,6 +18,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,12 +30,12 @@ from orelode.sources.paths import materialise
 #: Bytes of a passage, and of the string that anchors it.
 WINDOW, ANCHOR = 200, 40
 _SPAN = WINDOW - ANCHOR + 1  # anchors a window may have
-#: An anchor that occurs more often is dealt out by windows.
-OFTEN = 1_000
-#: Bytes of different text that one suffix array covers.
-SHARD_BYTES = 3_000_000
+#: Bytes of different text that one suffix array covers, or so many again.
+SHARD_BYTES = 2_000_000
+#: An anchor that occurs more often, so that its windows' text might not fit, is dealt out by windows.
+OFTEN = SHARD_BYTES // (WINDOW + _SPAN)
 #: Bytes that one vectorised step takes, unless one text is longer.
-STEP_BYTES = 4_000_000
+STEP_BYTES = 1_500_000
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
@@ -71,9 +72,16 @@ def _texts(batch: pa.RecordBatch, column: int) -> list[bytes]:
     return batch.column(column).cast(pa.binary()).to_pylist()
 
 
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows a few at a time: as Python values they take far more room than in the batch."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, 256):
+            yield batch.slice(k, 256)
+
+
 def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(hash, key, place, first, last) of every anchor; the key is that of the text."""
-    for batch in batches:
+    for batch in _few(batches):
         keys, texts = batch.column(0).to_pylist(), _texts(batch, 1)
         begin = 0
         while begin < len(texts):
@@ -111,7 +119,7 @@ def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each text, for each listed anchor: the text of its windows, or one hash for each window."""
-    for batch in batches:
+    for batch in _few(batches):
         names, texts = batch.column(0).to_pylist(), _texts(batch, 1)
         lists = batch.column(2).to_pylist()
         for name, text, found in zip(names, texts, lists):
@@ -181,10 +189,17 @@ def repeats(regions: list[bytes]) -> list[np.ndarray]:
 
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of repeated windows (key, first, last), from regions that come sorted by hash."""
+    """Runs of repeated windows (key, first, last), from rows that come sorted by hash and window."""
     held: list[tuple[str, int, bytes]] = []
     size, last = 0, None
     seen: set[bytes] = set()
+    waiting = None  # the last of the single windows, whose equal may come next
+
+    def emit(keys, first, last_) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys, pa.string()), pa.array(first, pa.int64()), pa.array(last_, pa.int64())],
+            names=["key", "first", "last"],
+        )
 
     def found() -> pa.RecordBatch:
         keys, firsts, lasts = [], [], []
@@ -193,16 +208,26 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys += [key] * (len(edge) // 2)
             firsts.append(start + edge[::2])
             lasts.append(start + edge[1::2] - 1)
-        return pa.RecordBatch.from_arrays([
-            pa.array(keys, pa.string()), pa.array(np.concatenate(firsts), pa.int64()),
-            pa.array(np.concatenate(lasts), pa.int64()),
-        ], names=["key", "first", "last"])
+        return emit(keys, np.concatenate(firsts), np.concatenate(lasts))
 
     for batch in batches:
-        codes = batch.column(0).to_pylist()
-        for code, key, start, region in zip(
-            codes, batch.column(1).to_pylist(), batch.column(2).to_pylist(), _texts(batch, 3)
-        ):
+        single = pc.is_null(batch["region"])
+        windows = batch.filter(single)
+        if windows.num_rows:
+            one, two = windows["hash"].to_numpy(), windows["other"].to_numpy()
+            keys, start = windows["key"].to_pylist(), windows["start"].to_numpy()
+            same = (one[1:] == one[:-1]) & (two[1:] == two[:-1])
+            again = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+            if waiting is not None and waiting[0] == (one[0], two[0]):
+                again[0] = True
+                if not waiting[3]:
+                    yield emit([waiting[1]], [waiting[2]], [waiting[2]])
+            at = np.flatnonzero(again)
+            yield emit([keys[i] for i in at], start[at], start[at])
+            waiting = (one[-1], two[-1]), keys[-1], int(start[-1]), bool(again[-1])
+        rest = batch.filter(pc.invert(single))
+        columns = (rest[c].to_pylist() for c in ("hash", "key", "start", "region"))
+        for code, key, start, region in zip(*columns):
             if code != last and size > SHARD_BYTES:
                 yield found()
                 held, size, seen = [], 0, set()
@@ -233,20 +258,11 @@ def repeated_windows(docs: DataFrame, key: str, text: str) -> DataFrame:
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).groupBy("key").agg(
         F.any_value("text").alias("text")
     )
-    cut = materialise(
-        texts.join(wanted, "key").select("key", "text", "found").mapInArrow(
-            _cut, "hash long, other long, key string, start long, region binary"
-        ), "regions"
-    )
-    regions = cut.filter("region is not null").select("hash", "key", "start", "region")
-    sorted_ = regions.repartition("hash").sortWithinPartitions("hash")
-    searched = sorted_.mapInArrow(_search, "key string, first long, last long")
-    windows = cut.filter("region is null").select("hash", "other", "key", "start")
-    twice = windows.groupBy("hash", "other").agg(F.count("*").alias("n")).filter("n > 1")
-    counted = windows.join(twice, ["hash", "other"]).select(
-        "key", F.col("start").alias("first"), F.col("start").alias("last")
+    cut = texts.join(wanted, "key").select("key", "text", "found").mapInArrow(
+        _cut, "hash long, other long, key string, start long, region binary"
     )
-    return searched.unionByName(counted)
+    dealt = cut.repartition("hash").sortWithinPartitions("hash", "other")
+    return dealt.mapInArrow(_search, "key string, first long, last long")
 
 
 def covered(size: int, first: list[int] | np.ndarray, last: list[int] | np.ndarray) -> list[tuple[int, int]]:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Characters of text that one vectorised step takes at most, unless a single text is longer.
-STEP_CHARS = 2_000_000
+STEP_CHARS = 1_000_000
 
 
 def free_name(df: DataFrame, wanted: str) -> str:

@@ -249,9 +249,12 @@ def repeated_windows(docs: DataFrame, key: str, text: str) -> DataFrame:
         _find_anchors, "hash long, key string, place long, back short, ahead short"
     )
     spot = F.xxhash64("key", "place")
-    shared = anchored.groupBy("hash").agg(
-        F.min(spot).alias("low"), F.max(spot).alias("high"), F.count("*").alias("n")
-    ).filter("low != high").select("hash", (F.col("n") > OFTEN).alias("often"))
+    # Stored, so that the join below reads both sides from plain shuffles and a hot anchor can be split.
+    shared = materialise(
+        anchored.groupBy("hash").agg(
+            F.min(spot).alias("low"), F.max(spot).alias("high"), F.count("*").alias("n")
+        ).filter("low != high").select("hash", (F.col("n") > OFTEN).alias("often")), "anchors"
+    )
     wanted = anchored.join(shared, "hash").groupBy("key").agg(
         F.collect_set(F.struct("hash", "place", "back", "ahead", "often")).alias("found")
     )

@@ -106,14 +106,16 @@ def scan(
         )).alias("window"),
     ).select("license", "wanted", F.explode(slots(F.col("window"))).alias("slot")).distinct()
 
-    lowered = F.lower(F.col(text).cast("string"))
-    hopeful = F.lit(False)
-    for word in sorted(set().union(*(needed_words(t) for t in templates.values()))):
-        hopeful = hopeful | lowered.contains(word)
+    # Each step leaves through a generator: else the optimizer would work its expression out anew for
+    # every shingle that refers to it.
+    needed = sorted(set().union(*(needed_words(t) for t in templates.values())))
+    hopeful = F.lower(F.col(text).cast("string")).rlike("|".join(needed) or "$^")
     found = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    found = found.filter(hopeful).select("doc_id", words(F.col("text")).alias("words"))
-    found = found.select("doc_id", shingles(F.col("words")).alias("all")).filter(F.size("all") > 0)
-    starts = F.sequence(F.lit(0), F.size("all") - 1, F.lit(STRIDE))
+    found = found.filter(hopeful).select("doc_id", F.explode(F.array(words(F.col("text")))).alias("words"))
+    found = found.select("doc_id", F.explode(F.array(shingles(F.col("words")))).alias("all"))
+    starts = F.when(
+        F.size("all") > 0, F.sequence(F.lit(0), F.greatest(F.size("all") - 1, F.lit(0)), F.lit(STRIDE))
+    ).otherwise(F.array().cast("array<int>"))
     low = lambda s: F.greatest(s - reach, F.lit(0))
     windows = found.select("doc_id", F.explode(F.transform(starts, lambda s: F.struct(
         s.alias("start"), F.slice(F.col("all"), s + 1, WINDOW).alias("window"),

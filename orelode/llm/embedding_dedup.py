@@ -31,7 +31,7 @@ COSINE = 0.9
 #: Dimensions of a block.
 BLOCK = 8
 #: Vectors of a cell that one chunk takes, and rows and columns of one step within a task.
-CHUNK, STEP = 16_384, 1_024
+CHUNK, STEP = 16_384, 256
 SCALE = 1 << 20
 #: Squared distance added to each budget for rounding.
 SLACK = 1e-4
@@ -109,29 +109,43 @@ def _meet(kind: str):
         squares = [(turned[:, a:b] ** 2).sum(1) for a, b in spans]
         count = np.zeros(len(ids), np.int64)
         us, vs = [], []
-        first = np.flatnonzero(side == 0)
-        second = first if i == j else np.flatnonzero(side == 1)
+        a, b = spans[block]
+        here, limit = turned[:, a:b], limits[block]
+        # Neighbours in three coordinates lie together, so boxes of rows are small.
+        width = np.sqrt(limit) / 2
+        strips = [np.floor(here[:, min(k, b - a - 1)] / width) for k in (0, 1)]
+        order = np.lexsort((here[:, min(2, b - a - 1)], strips[1], strips[0]))
+        first = order[side[order] == 0]
+        second = first if i == j else order[side[order] == 1]
+        rough = (here / SCALE).astype(np.float32)
+        size, one = (rough * rough).sum(1, keepdims=True), np.ones((len(ids), 1), np.float32)
+        by_row, by_col = np.hstack([-2 * rough, size, one]), np.hstack([rough, one, size])
+        starts = np.arange(0, len(second), STEP)
+        least, most = (f.reduceat(here[second], starts) for f in (np.minimum, np.maximum))
         for p in range(0, len(first), STEP):
             r = first[p : p + STEP]
-            for q in range(p if i == j else 0, len(second), STEP):
-                c = second[q : q + STEP]
-                a, b = spans[block]
-                apart = squares[block][r][:, None] + squares[block][c] - 2 * (
-                    turned[r, a:b] @ turned[c, a:b].T
-                )
-                near = apart <= limits[block]
-                # Two visitors met in the cell they come from.
-                near &= ~(visits[r][:, None] & visits[c])
-                if i == j and p == q:
-                    near &= r[:, None] < c
-                some_r, some_c = near.any(1), near.any(0)
-                if not some_r.any():
-                    continue
-                if near.sum() > 20_000:
-                    linked = near & (own[r] @ own[c].T >= COSINE)
+            gap = np.maximum(0, np.maximum(here[r].min(0) - most, least - here[r].max(0)))
+            meets = np.flatnonzero((gap * gap).sum(1) <= limit)
+            meets = meets[meets >= p // STEP] if i == j else meets
+            for k in range(0, len(meets), 8):
+                c = np.concatenate([second[q * STEP : (q + 1) * STEP] for q in meets[k : k + 8]])
+                # In single precision with some slack, then exactly for what is left.
+                near = by_row[r] @ by_col[c].T <= np.float32(limit / SCALE**2 + 1e-5)
+                if i == j and k == 0:  # rows of one box, each pair once
+                    near[:, : len(r)] = np.triu(near[:, : len(r)], 1)
+                if np.count_nonzero(near) > 20_000:
+                    # Two visitors met in the cell they come from.
+                    near &= ~(visits[r][:, None] & visits[c])
+                    apart = squares[block][r][:, None] + squares[block][c] - 2 * (here[r] @ here[c].T)
+                    linked = near & (apart <= limit) & (own[r] @ own[c].T >= COSINE)
                 else:
                     linked = np.zeros_like(near)
                     x, y = np.nonzero(near)
+                    some = ~(visits[r[x]] & visits[c[y]])
+                    x, y = x[some], y[some]
+                    apart = ((here[r[x]] - here[c[y]]) ** 2).sum(1)
+                    some = apart <= limit
+                    x, y = x[some], y[some]
                     linked[x, y] = (own[r[x]] * own[c[y]]).sum(1) >= COSINE
                 some_r, some_c = linked.any(1), linked.any(0)
                 if not some_r.any():
@@ -142,10 +156,8 @@ def _meet(kind: str):
                 us += [ids[r2], ids[c2]]
                 vs += [ids[r2][left], ids[r2][right]]
                 for e in range(block):
-                    a, b = spans[e]
-                    before = squares[e][r2][:, None] + squares[e][c2] - 2 * (
-                        turned[r2, a:b] @ turned[c2, a:b].T
-                    )
+                    x, y = (turned[rows, slice(*spans[e])] for rows in (r2, c2))
+                    before = squares[e][r2][:, None] + squares[e][c2] - 2 * (x @ y.T)
                     linked &= before > limits[e]
                 np.add.at(count, r2, linked @ n[c2])
                 np.add.at(count, c2, n[r2] @ linked)

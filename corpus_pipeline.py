@@ -28,10 +28,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity is within the limit of their language."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     trusted = labels.filter("quality = 1 and toxic = 0").select("doc_id")
-    chosen = quality_lm.fit_filter(docs, trusted, "doc_id", "text", "lang")
-    column = free_name(docs, "_perplexity")
-    scored = quality_lm.perplexity(docs, "text", chosen.model, column)
-    return scored.filter(chosen.keeps(F.col(column), F.col("lang"))).select(docs.columns)
+    column, kept = free_name(docs, "_perplexity"), free_name(docs, "_kept")
+    found = quality_lm.judge(docs, trusted, "doc_id", "text", "lang", column, kept)
+    return found.filter(F.col(kept)).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,8 +11,9 @@ shard down the orders, and the answers go back to their blocks, where each docum
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +30,10 @@ ORDER = 4
 SYMBOLS, _BEFORE = 256, 255
 #: Characters of a block of documents, unless one text is longer.
 BLOCK_CHARS = 8_000_000
-#: Trusted documents the model is fitted on at most, by hash of their id: the bound of its broadcast.
-MOST_TRUSTED = 200_000
-#: One in so many trusted documents sets the thresholds and is not counted.
-CALIBRATE = 5
+#: Bits of the map that sets aside most documents without a trusted id before the join: 16 MB.
+MARK_BITS = 27
+#: Bits of one row of Spark's bitmap aggregates.
+_ROW_BITS = 32_768
 #: Share of a language's trusted documents that may lie above its threshold.
 QUANTILE = 0.995
 #: A perplexity is too high beyond this many times the quantile: texts of languages that the trusted
@@ -74,15 +75,33 @@ def _counted(codes: np.ndarray, times: np.ndarray | None = None) -> tuple[np.nda
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    codes, times = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    """(half, gram, c) from compressed texts and the half of the trusted documents each is in."""
+    open_ = zstandard.ZstdDecompressor().decompress
+    sums = {half: (np.zeros(0, np.uint32), np.zeros(0, np.int64)) for half in (0, 1)}
+    for batch in batches:
+        packed, halves = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist())
+        texts = [None if b is None else open_(b).decode("utf-8", "surrogatepass") for b in packed]
+        for half, (codes, times) in sums.items():
+            own = [texts[i] for i in np.flatnonzero(halves == half)]
+            for part in steps(own):
+                more, n = _counted(grams(own[part])[0])
+                codes, times = _counted(np.concatenate([codes, more]), np.concatenate([times, n]))
+            sums[half] = codes, times
+    for half, (codes, times) in sums.items():
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.full(len(codes), half, np.int32)), pa.array(codes.astype(np.int64)),
+            pa.array(times.astype(np.int64)),
+        ], names=["half", "gram", "c"])
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    squeeze = zstandard.ZstdCompressor(level=3).compress
     for batch in batches:
         texts = batch.column(0).to_pylist()
-        for part in steps(texts):
-            more, n = _counted(grams(texts[part])[0])
-            codes, times = _counted(np.concatenate([codes, more]), np.concatenate([times, n]))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(codes.astype(np.int64)), pa.array(times.astype(np.int64))], names=["gram", "c"]
-    )
+        packed = [None if t is None else squeeze(t.encode("utf-8", "surrogatepass")) for t in texts]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(packed, pa.binary()), *batch.columns[1:]], names=["packed", *batch.schema.names[1:]]
+        )
 
 
 def _discounts(ones: int, twos: int, threes: int, fours: int) -> tuple[float, float, float]:
@@ -123,8 +142,19 @@ class QualityModel:
 
 def fit(texts: DataFrame, text: str) -> QualityModel:
     """The model of all rows of ``texts``. Without any text every character is equally likely."""
-    top = texts.select(F.col(text).cast("string")).mapInArrow(_count, "gram long, c long")
-    tables = [materialise(top.groupBy("gram").agg(F.sum("c").alias("c")), "grams")]
+    own = texts.select(F.col(text).cast("string").alias("text"), F.lit(0).alias("half"))
+    packed = own.mapInArrow(_pack, "packed binary, half int")
+    return _model(materialise(_counts(packed), "grams"))
+
+
+def _counts(packed: DataFrame) -> DataFrame:
+    top = packed.mapInArrow(_count, "half int, gram long, c long")
+    return top.groupBy("half", "gram").agg(F.sum("c").alias("c"))
+
+
+def _model(counts: DataFrame) -> QualityModel:
+    """The model of ``(gram, c)``, in which a gram may stand more than once."""
+    tables = [materialise(counts.groupBy("gram").agg(F.sum("c").alias("c")), "grams")]
     for order in range(ORDER - 1, 0, -1):
         suffix = F.col("gram").bitwiseAND((1 << 8 * order) - 1).alias("gram")
         tables.insert(0, tables[0].groupBy(suffix).agg(F.count("*").alias("c")))
@@ -204,9 +234,9 @@ def _tag(at: int, names: list[str]):
 
 def _score(at: int, keep_text: bool, names: list[str]):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        """The rows of a block with their perplexity."""
+        """The rows of a block with their perplexity under each model."""
         codes = answers["gram"].to_numpy().astype(np.uint32)
-        logs = answers["logp"].to_numpy()
+        logs = np.stack([c.to_numpy() for c in answers.columns[2:]], 1)
         order = np.argsort(codes)
         codes, logs = codes[order], logs[order]
         open_ = zstandard.ZstdDecompressor().decompress
@@ -219,13 +249,15 @@ def _score(at: int, keep_text: bool, names: list[str]):
                 raise ValueError("the documents were not read in the same order twice: write them first")
             n = np.diff(begins)
             with np.errstate(invalid="ignore"):
-                found.append(np.where(n > 0, np.exp(-row_sums(logs[place], begins) / n), np.nan))
-        ppl = np.concatenate(found) if found else np.zeros(0)
+                each = np.exp(-row_sums(logs[place], begins) / n[:, None])
+            found.append(np.where(n[:, None] > 0, each, np.nan))
+        ppl = np.concatenate(found) if found else np.zeros((0, logs.shape[1]))
         columns = list(docs.columns[:-1])
         columns[at] = pa.array(texts, pa.string())
         if not keep_text:
             del columns[at]
-        return pa.table([*columns, pa.array(ppl, mask=np.isnan(ppl))], names=names)
+        values = [pa.array(v, mask=np.isnan(v)) for v in ppl.T]
+        return pa.table([*columns, *values], names=names)
 
     return run
 
@@ -238,6 +270,13 @@ def perplexity(
     ``docs`` must give the same rows in the same order whenever it is read, as tables do; the operator
     fails if it does not.
     """
+    return _perplexities(docs, text, {column: model}, keep_text)
+
+
+def _perplexities(
+    docs: DataFrame, text: str, models: Mapping[str, QualityModel], keep_text: bool
+) -> DataFrame:
+    """``perplexity`` under several models at once, each in the column it is named by."""
     docs = docs.withColumn(text, F.col(text).cast("string"))
     at = docs.columns.index(text)
     block = free_name(docs, "_block")
@@ -246,13 +285,16 @@ def perplexity(
     packed = [*ddl[:at], f"`{text}` binary", *ddl[at + 1 :], f"`{block}` long"]
     asked = docs.mapInArrow(_ask(at), "block long, gram long")
     asked = materialise(asked, "asked")
-    answers = asked.join(model.log_probs(asked.select("gram").distinct()), "gram")
-    answers = answers.select(F.col("block").alias(block), "gram", "logp")
+    wanted = asked.select("gram").distinct()
+    logs = [m.log_probs(wanted).withColumnRenamed("logp", f"logp{k}") for k, m in enumerate(models.values())]
+    known = reduce(lambda a, b: a.join(b, "gram"), logs)
+    answers = asked.join(known, "gram")
+    answers = answers.select(F.col("block").alias(block), "gram", *(f"logp{k}" for k in range(len(logs))))
     tagged = docs.mapInArrow(_tag(at, [*fields, block]), ", ".join(packed))
     out = [n for n in fields if keep_text or n != text]
-    schema = ", ".join([*(f"`{n}` {fields[n]}" for n in out), f"`{column}` double"])
+    schema = ", ".join([*(f"`{n}` {fields[n]}" for n in out), *(f"`{n}` double" for n in models)])
     return tagged.groupBy(block).cogroup(answers.groupBy(block)).applyInArrow(
-        _score(at, keep_text, [*out, column]), schema
+        _score(at, keep_text, [*out, *models]), schema
     )
 
 
@@ -270,33 +312,98 @@ class QualityFilter:
         return F.coalesce(value <= limit, F.lit(False))
 
 
-def fit_filter(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, language: str) -> QualityFilter:
-    """Model and thresholds from the documents whose ids are in ``trusted``.
+def _half(doc_id: Column) -> Column:
+    return (F.crc32(doc_id.cast("string")) % 2).cast("int")
+
+
+def _spot(doc_id: Column) -> Column:
+    """Where an id is marked, from 0."""
+    return F.pmod(F.xxhash64(doc_id.cast("string")), F.lit(1 << MARK_BITS))
+
+
+def _marked(ids: DataFrame) -> np.ndarray:
+    """A map of ``1 << MARK_BITS`` bits, of which those of the ids are set: one size for any table."""
+    at = _spot(F.col("id")) + 1
+    rows = ids.groupBy(F.bitmap_bucket_number(at).alias("row")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")
+    )
+    found = np.zeros((max(1, (1 << MARK_BITS) // _ROW_BITS), _ROW_BITS // 8), np.uint8)
+    # At most 4,096 rows of 4 KB.
+    for row, bits in rows.collect():
+        found[row - 1] = np.frombuffer(bits, np.uint8)
+    return found.reshape(-1)
+
+
+def _trusted_texts(docs: DataFrame, ids: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``(packed, half)`` of every document whose id is among ``ids``.
 
-    At most ``MOST_TRUSTED`` of them, chosen by a hash of the id, take part: one in ``CALIBRATE`` sets
-    the thresholds, the others are counted. A language's threshold is the ``QUANTILE`` of its
-    calibration documents; NULL and rare languages take that of all. Without trusted documents there
-    is no limit.
+    Few others get past the map of marks, so that the join, which decides, moves little text.
     """
-    ids = trusted.select(F.col(doc_id).alias("id")).filter("id is not null").distinct()
-    n = ids.count()
-    if n > MOST_TRUSTED:
-        share = int((1 << 30) * MOST_TRUSTED / n)
-        ids = ids.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share)
-    part = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(language).alias("lang"))
-    # Of a size bounded by MOST_TRUSTED.
-    part = part.join(F.broadcast(ids), "id", "left_semi")
-    aside = F.pmod(F.crc32(F.col("id").cast("string")), F.lit(CALIBRATE)) == 0
-    model = fit(part.filter(~aside), "text")
-    scored = materialise(
-        perplexity(part.filter(aside), "text", model, keep_text=False).filter("perplexity is not null"),
-        "calibration",
+    marks = docs.sparkSession.sparkContext.broadcast(_marked(ids))
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spots = batch.column(2).to_numpy(zero_copy_only=False)
+            hit = marks.value[spots >> 3] >> (spots & 7).astype(np.uint8) & 1
+            part = batch.filter(pa.array(hit.astype(bool)))
+            yield from _pack(iter([pa.RecordBatch.from_arrays(part.columns[:2], names=["text", "id"])]))
+
+    part = docs.filter(F.col(doc_id).isNotNull()).select(
+        F.col(text).cast("string").alias("text"), F.col(doc_id).alias("id"), _spot(F.col(doc_id)).alias("spot")
     )
+    kind = docs.schema[doc_id].dataType.simpleString()
+    part = part.mapInArrow(near, f"packed binary, id {kind}")
+    return part.join(ids, "id", "left_semi").select("packed", _half(F.col("id")).alias("half"))
+
+
+def _scored(
+    docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, language: str, column: str, keep_text: bool
+) -> tuple[DataFrame, QualityFilter]:
+    """The documents with their perplexity, written, and the filter that goes with it.
+
+    All trusted documents are counted, and all set the thresholds: each by its perplexity under the
+    counts of the half it is not in.
+    """
+    ids = trusted.select(F.col(doc_id).alias("id")).filter("id is not null").distinct()
+    counts = materialise(_counts(_trusted_texts(docs, ids, doc_id, text)), "counts")
+    model = _model(counts)
+    others = [free_name(docs, f"_under_{half}") for half in (0, 1)]
+    models = {column: model} | {n: _model(counts.filter(F.col("half") == k)) for k, n in enumerate(others)}
+    scored = materialise(_perplexities(docs, text, models, keep_text), "scored")
+    unseen = F.when(_half(F.col(doc_id)) == 0, F.col(others[1])).otherwise(F.col(others[0]))
+    known = scored.select(F.col(doc_id).alias("id"), F.col(language).alias("lang"), unseen.alias("perplexity"))
+    known = known.filter("perplexity is not null").join(ids, "id", "left_semi")
+    return scored.drop(*others), QualityFilter(model, *_limits(known))
+
+
+def _limits(known: DataFrame) -> tuple[dict[str, float], float]:
     limit = F.percentile_approx("perplexity", QUANTILE, 10_000)
-    overall = scored.agg(limit.alias("q")).first()["q"]
-    by_language = scored.filter("lang is not null").groupBy("lang").agg(
+    overall = known.agg(limit.alias("q")).first()["q"]
+    by_language = known.filter("lang is not null").groupBy("lang").agg(
         limit.alias("q"), F.count("*").alias("n")
     ).filter(F.col("n") >= FEWEST)
     # One row per language.
     limits = {r["lang"]: r["q"] for r in by_language.collect()}
-    return QualityFilter(model, limits, float("inf") if overall is None else overall)
+    return limits, float("inf") if overall is None else overall
+
+
+def fit_filter(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, language: str) -> QualityFilter:
+    """Model and thresholds from the documents whose ids are in ``trusted``, all of them.
+
+    A language's threshold is the ``QUANTILE`` of its trusted documents; NULL and rare languages take
+    that of all. Without trusted documents there is no limit.
+    """
+    own = docs.select(doc_id, text, language)
+    return _scored(own, trusted, doc_id, text, language, "perplexity", False)[1]
+
+
+def judge(
+    docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, language: str,
+    column: str = "perplexity", kept: str = "kept", keep_text: bool = True,
+) -> DataFrame:
+    """Every row of ``docs`` with its perplexity and whether it is within its language's limit.
+
+    What ``fit_filter``, ``perplexity`` and ``keeps`` give, with the documents scored once.
+    """
+    scored, chosen = _scored(docs, trusted, doc_id, text, language, column, keep_text)
+    return scored.withColumn(kept, chosen.keeps(F.col(column), F.col(language)))

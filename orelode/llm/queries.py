@@ -40,10 +40,8 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     trusted = _table(spark, sf_dir, "labels").filter("quality = 1 and toxic = 0").select("doc_id")
-    chosen = quality_lm.fit_filter(docs, trusted, "doc_id", "text", "lang")
-    scored = quality_lm.perplexity(docs, "text", chosen.model, keep_text=False)
-    kept = chosen.keeps(F.col("perplexity"), F.col("lang"))
-    return scored.select("doc_id", "lang", "perplexity", kept.alias("kept"))
+    found = quality_lm.judge(docs, trusted, "doc_id", "text", "lang", keep_text=False)
+    return found.select("doc_id", "lang", "perplexity", "kept")
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

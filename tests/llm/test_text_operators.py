@@ -245,6 +245,22 @@ def test_filter_without_trusted_documents_keeps_all_but_empty(spark):
     assert [r["doc_id"] for r in kept] == [0]
 
 
+def test_every_trusted_document_is_counted_and_sets_the_limits(spark, monkeypatch):
+    """However many there are, and though the map of marks lets others through."""
+    # Not a fitting size for any table: with 64 marks most ids collide.
+    monkeypatch.setattr(quality_lm, "MARK_BITS", 15)
+    monkeypatch.setattr(quality_lm, "MOST_TRUSTED", 50, raising=False)
+    n = 400
+    docs = spark.createDataFrame(rows([f"word{i} and some more {i * 7919}" for i in range(n)]), SCHEMA)
+    trusted = docs.filter("doc_id % 2 = 0").select("doc_id")
+    chosen = quality_lm.fit_filter(docs, trusted, "doc_id", "text", "lang")
+    whole = quality_lm.fit(docs.join(trusted, "doc_id", "left_semi"), "text")
+    one, two = (m.shares[-1].count() for m in (chosen.model, whole))
+    assert one == two
+    ids = trusted.select(F.col("doc_id").alias("id"))
+    assert quality_lm._trusted_texts(docs, ids, "doc_id", "text").count() == n // 2
+
+
 # Licence scan -------------------------------------------------------------------------------------
 
 

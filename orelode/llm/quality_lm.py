@@ -26,18 +26,18 @@ from orelode.llm.common import free_name, row_sums, steps
 from orelode.sources.paths import materialise
 
 ORDER = 4
-#: Symbols a character may have: ASCII as it is, all others hashed to 127 more, 255 before a text.
-SYMBOLS, _BEFORE = 256, 255
+#: Bits of a symbol, which is a UTF-16 unit: no two characters fall together. 0xffff stands before a text.
+BITS = 16
+SYMBOLS, _BEFORE = 1 << BITS, (1 << BITS) - 1
 #: Characters of a block of documents, unless one text is longer.
 BLOCK_CHARS = 8_000_000
 #: Bits of the map that sets aside most documents without a trusted id before the join: 16 MB.
 MARK_BITS = 27
 #: Bits of one row of Spark's bitmap aggregates.
 _ROW_BITS = 32_768
-#: Share of a language's trusted documents that may lie above its threshold.
+#: Share of a language's trusted documents that may lie above its upper limit, and below its lower one.
 QUANTILE = 0.995
-#: A perplexity is too high beyond this many times the quantile: texts of languages that the trusted
-#: set covers thinly lie a little above it, junk lies many times above.
+#: A text is too far off beyond this many times the quantile.
 MARGIN = 1.2
 #: Languages with fewer calibration documents take the threshold of all.
 FEWEST = 50
@@ -45,22 +45,19 @@ FEWEST = 50
 
 def grams(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Codes of the n-grams that end at each character, and where each text's begin."""
-    own = [t or "" for t in texts]
-    size = np.fromiter(map(len, own), np.int64, len(own))
-    points = np.frombuffer("".join(own).encode("utf-32-le", "surrogatepass"), "<u4")
-    high = points >= 128
-    symbols = points.astype(np.uint32)
-    symbols[high] = 128 + (points[high] * np.uint32(2654435761) >> np.uint32(16)) % 127
+    own = [(t or "").encode("utf-16-le", "surrogatepass") for t in texts]
+    size = np.fromiter(map(len, own), np.int64, len(own)) // 2
+    symbols = np.frombuffer(b"".join(own), "<u2").astype(np.uint64)
     begins = np.concatenate([[0], np.cumsum(size)])
-    codes = np.zeros(len(symbols), np.uint32)
+    codes = np.zeros(len(symbols), np.uint64)
     at = np.arange(len(symbols)) - np.repeat(begins[:-1], size)
     for k in range(ORDER):
-        shifted = np.full(len(symbols), _BEFORE, np.uint32)
+        shifted = np.full(len(symbols), _BEFORE, np.uint64)
         shifted[k:] = symbols[: len(symbols) - k]
         if k:
             shifted[at < k] = _BEFORE
-        codes |= shifted << np.uint32(8 * k)
-    return codes, begins
+        codes |= shifted << np.uint64(BITS * k)
+    return codes.view(np.int64), begins
 
 
 def _counted(codes: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -77,7 +74,7 @@ def _counted(codes: np.ndarray, times: np.ndarray | None = None) -> tuple[np.nda
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(half, gram, c) from compressed texts and the half of the trusted documents each is in."""
     open_ = zstandard.ZstdDecompressor().decompress
-    sums = {half: (np.zeros(0, np.uint32), np.zeros(0, np.int64)) for half in (0, 1)}
+    sums = {half: (np.zeros(0, np.int64), np.zeros(0, np.int64)) for half in (0, 1)}
     for batch in batches:
         packed, halves = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist())
         texts = [None if b is None else open_(b).decode("utf-8", "surrogatepass") for b in packed]
@@ -89,7 +86,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums[half] = codes, times
     for half, (codes, times) in sums.items():
         yield pa.RecordBatch.from_arrays([
-            pa.array(np.full(len(codes), half, np.int32)), pa.array(codes.astype(np.int64)),
+            pa.array(np.full(len(codes), half, np.int32)), pa.array(codes),
             pa.array(times.astype(np.int64)),
         ], names=["half", "gram", "c"])
 
@@ -125,14 +122,14 @@ class QualityModel:
         lower = None
         for order in range(1, ORDER + 1):
             need = wanted if order == ORDER else wanted.select(
-                F.col("gram").bitwiseAND((1 << 8 * order) - 1).alias("gram")
+                F.col("gram").bitwiseAND((1 << BITS * order) - 1).alias("gram")
             ).distinct()
             found = need.join(self.shares[order - 1], "gram", "left").withColumn(
-                "context", F.shiftright("gram", 8)
+                "context", F.shiftrightunsigned("gram", BITS)
             ).join(self.rests[order - 1], "context", "left")
             back = F.lit(1 / SYMBOLS)
             if lower is not None:
-                suffix = F.col("gram").bitwiseAND((1 << 8 * (order - 1)) - 1)
+                suffix = F.col("gram").bitwiseAND((1 << BITS * (order - 1)) - 1)
                 found = found.withColumn("suffix", suffix).join(lower, "suffix")
                 back = F.col("below")
             p = F.coalesce("share", F.lit(0.0)) + F.coalesce("rest", F.lit(1.0)) * back
@@ -156,14 +153,14 @@ def _model(counts: DataFrame) -> QualityModel:
     """The model of ``(gram, c)``, in which a gram may stand more than once."""
     tables = [materialise(counts.groupBy("gram").agg(F.sum("c").alias("c")), "grams")]
     for order in range(ORDER - 1, 0, -1):
-        suffix = F.col("gram").bitwiseAND((1 << 8 * order) - 1).alias("gram")
+        suffix = F.col("gram").bitwiseAND((1 << BITS * order) - 1).alias("gram")
         tables.insert(0, tables[0].groupBy(suffix).agg(F.count("*").alias("c")))
     shares, rests = [], []
     for table in tables:
         seen = table.agg(*(F.count_if(F.col("c") == k) for k in (1, 2, 3, 4))).first()
         d1, d2, d3 = _discounts(*seen)
         d = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
-        context = F.shiftright("gram", 8)
+        context = F.shiftrightunsigned("gram", BITS)
         sums = table.groupBy(context.alias("context")).agg(
             F.sum("c").alias("s"), (F.sum(d) / F.sum("c")).alias("rest")
         )
@@ -191,11 +188,11 @@ def _ask(at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(block, gram) for the different n-grams of each block."""
         state = [TaskContext.get().partitionId() << 20, 0]
-        now, codes = state[0], np.zeros(0, np.uint32)
+        now, codes = state[0], np.zeros(0, np.int64)
 
         def asked() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([
-                pa.array(np.full(len(codes), now, np.int64)), pa.array(codes.astype(np.int64)),
+                pa.array(np.full(len(codes), now, np.int64)), pa.array(codes),
             ], names=["block", "gram"])
 
         for batch in batches:
@@ -203,7 +200,7 @@ def _ask(at: int):
             for rows, block in _blocks(texts, state):
                 if block != now:
                     yield asked()
-                    now, codes = block, np.zeros(0, np.uint32)
+                    now, codes = block, np.zeros(0, np.int64)
                 own = texts[rows]
                 for part in steps(own):
                     codes = np.unique(np.concatenate([codes, _counted(grams(own[part])[0])[0]]))
@@ -235,7 +232,7 @@ def _tag(at: int, names: list[str]):
 def _score(at: int, keep_text: bool, names: list[str]):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         """The rows of a block with their perplexity under each model."""
-        codes = answers["gram"].to_numpy().astype(np.uint32)
+        codes = answers["gram"].to_numpy()
         logs = np.stack([c.to_numpy() for c in answers.columns[2:]], 1)
         order = np.argsort(codes)
         codes, logs = codes[order], logs[order]
@@ -247,7 +244,7 @@ def _score(at: int, keep_text: bool, names: list[str]):
             place = np.searchsorted(codes, own)
             if len(own) and (place.max() >= len(codes) or (codes[place] != own).any()):
                 raise ValueError("the documents were not read in the same order twice: write them first")
-            n = np.diff(begins)
+            n = np.fromiter((len(t) if t else 0 for t in texts[part]), np.int64)
             with np.errstate(invalid="ignore"):
                 each = np.exp(-row_sums(logs[place], begins) / n[:, None])
             found.append(np.where(n[:, None] > 0, each, np.nan))
@@ -298,18 +295,39 @@ def _perplexities(
     )
 
 
+@dataclass(frozen=True)
+class Limits:
+    """A language's usual log perplexity, and how far texts may lie off it on either side.
+
+    The mean over a text varies with the root of its length, so distances are taken times that root:
+    a long text has to lie near the centre, where a few words may be anything.
+    """
+
+    centre: float
+    low: float
+    high: float
+
+    def holds(self, value: Column, size: Column) -> Column:
+        off = (F.log(value) - self.centre) * F.sqrt(size)
+        return off.between(self.low * MARGIN, self.high * MARGIN)
+
+
 @dataclass(frozen=True)
 class QualityFilter:
     model: QualityModel
-    by_language: dict[str, float]
-    overall: float
+    by_language: dict[str, Limits]
+    overall: Limits | None
+
+    def keeps(self, value: Column, language: Column, size: Column | None = None) -> Column:
+        """Whether a perplexity is within its language's limits for so many characters; NULL is not.
 
-    def keeps(self, value: Column, language: Column) -> Column:
-        """Whether a perplexity is within its language's limit; NULL is not."""
-        limit = F.lit(self.overall * MARGIN)
-        for name, most in sorted(self.by_language.items()):
-            limit = F.when(language == name, most * MARGIN).otherwise(limit)
-        return F.coalesce(value <= limit, F.lit(False))
+        Without ``size`` the limits are those of a single character, the widest.
+        """
+        size = F.lit(1) if size is None else size
+        within = value.isNotNull() if self.overall is None else self.overall.holds(value, size)
+        for name, own in sorted(self.by_language.items()):
+            within = F.when(language == name, own.holds(value, size)).otherwise(within)
+        return F.coalesce(within, F.lit(False))
 
 
 def _half(doc_id: Column) -> Column:
@@ -358,8 +376,8 @@ def _trusted_texts(docs: DataFrame, ids: DataFrame, doc_id: str, text: str) -> D
 
 def _scored(
     docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, language: str, column: str, keep_text: bool
-) -> tuple[DataFrame, QualityFilter]:
-    """The documents with their perplexity, written, and the filter that goes with it.
+) -> tuple[DataFrame, QualityFilter, str]:
+    """The documents with perplexity and length, written, the filter, and the length's column.
 
     All trusted documents are counted, and all set the thresholds: each by its perplexity under the
     counts of the half it is not in.
@@ -369,29 +387,43 @@ def _scored(
     model = _model(counts)
     others = [free_name(docs, f"_under_{half}") for half in (0, 1)]
     models = {column: model} | {n: _model(counts.filter(F.col("half") == k)) for k, n in enumerate(others)}
-    scored = materialise(_perplexities(docs, text, models, keep_text), "scored")
+    size = free_name(docs, "_size")
+    sized = docs.withColumn(size, F.length(F.col(text).cast("string")))
+    scored = materialise(_perplexities(sized, text, models, keep_text), "scored")
     unseen = F.when(_half(F.col(doc_id)) == 0, F.col(others[1])).otherwise(F.col(others[0]))
-    known = scored.select(F.col(doc_id).alias("id"), F.col(language).alias("lang"), unseen.alias("perplexity"))
-    known = known.filter("perplexity is not null").join(ids, "id", "left_semi")
-    return scored.drop(*others), QualityFilter(model, *_limits(known))
+    known = scored.select(
+        F.col(doc_id).alias("id"), F.col(language).alias("lang"), F.log(unseen).alias("h"), F.col(size).alias("size")
+    ).filter("h is not null").join(ids, "id", "left_semi")
+    return scored.drop(*others), QualityFilter(model, *_limits(known)), size
+
+
+def _centred(known: DataFrame) -> DataFrame:
+    """A language's number of documents and log perplexity per character of all of them."""
+    return known.groupBy("lang").agg(
+        F.count("*").alias("n"), (F.sum(F.col("h") * F.col("size")) / F.sum("size")).alias("centre")
+    )
 
 
-def _limits(known: DataFrame) -> tuple[dict[str, float], float]:
-    limit = F.percentile_approx("perplexity", QUANTILE, 10_000)
-    overall = known.agg(limit.alias("q")).first()["q"]
-    by_language = known.filter("lang is not null").groupBy("lang").agg(
-        limit.alias("q"), F.count("*").alias("n")
-    ).filter(F.col("n") >= FEWEST)
+def _limits(known: DataFrame) -> tuple[dict[str, Limits], Limits | None]:
+    off = ((F.col("h") - F.col("centre")) * F.sqrt("size")).alias("off")
+    ends = F.percentile_approx("off", [1 - QUANTILE, QUANTILE], 10_000)
     # One row per language.
-    limits = {r["lang"]: r["q"] for r in by_language.collect()}
-    return limits, float("inf") if overall is None else overall
+    centres = {r["lang"]: r for r in _centred(known).collect()}
+    every = _centred(known.withColumn("lang", F.lit("all"))).collect()
+    if not every:
+        return {}, None
+    low, high = known.withColumn("centre", F.lit(every[0]["centre"])).select(off).agg(ends.alias("q")).first()["q"]
+    overall = Limits(every[0]["centre"], low, high)
+    near = known.join(_centred(known), "lang").select("lang", off).groupBy("lang").agg(ends.alias("q"))
+    found = {r["lang"]: Limits(centres[r["lang"]]["centre"], *r["q"]) for r in near.collect()}
+    return {k: v for k, v in found.items() if centres[k]["n"] >= FEWEST}, overall
 
 
 def fit_filter(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, language: str) -> QualityFilter:
     """Model and thresholds from the documents whose ids are in ``trusted``, all of them.
 
-    A language's threshold is the ``QUANTILE`` of its trusted documents; NULL and rare languages take
-    that of all. Without trusted documents there is no limit.
+    A language's limits are the ``QUANTILE`` of its trusted documents on either side; NULL and rare
+    languages take those of all. Without trusted documents there is no limit.
     """
     own = docs.select(doc_id, text, language)
     return _scored(own, trusted, doc_id, text, language, "perplexity", False)[1]
@@ -401,9 +433,10 @@ def judge(
     docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, language: str,
     column: str = "perplexity", kept: str = "kept", keep_text: bool = True,
 ) -> DataFrame:
-    """Every row of ``docs`` with its perplexity and whether it is within its language's limit.
+    """Every row of ``docs`` with its perplexity and whether it is within its language's limits.
 
     What ``fit_filter``, ``perplexity`` and ``keeps`` give, with the documents scored once.
     """
-    scored, chosen = _scored(docs, trusted, doc_id, text, language, column, keep_text)
-    return scored.withColumn(kept, chosen.keeps(F.col(column), F.col(language)))
+    scored, chosen, size = _scored(docs, trusted, doc_id, text, language, column, keep_text)
+    within = chosen.keeps(F.col(column), F.col(language), F.col(size))
+    return scored.withColumn(kept, within).drop(size)

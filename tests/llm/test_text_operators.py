@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from orelode.llm import bpe, lang_id, license_scan, packing, quality_lm
+from orelode.sources.paths import scratch_dir
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -261,6 +262,44 @@ def test_every_trusted_document_is_counted_and_sets_the_limits(spark, monkeypatc
     assert quality_lm._trusted_texts(docs, ids, "doc_id", "text").count() == n // 2
 
 
+def prose(rng, parts, n):
+    """Sentences of ``n`` words that are made of the given syllables."""
+    found = ["".join(rng.choice(parts, rng.integers(1, 4))) for _ in range(n)]
+    return ". ".join(" ".join(found[i : i + 8]).capitalize() for i in range(0, n, 8)) + "."
+
+
+@pytest.fixture(scope="module")
+def judged(spark):
+    """Clean and repeated documents of a common language, and clean ones of a rare one in other letters."""
+    rng = np.random.default_rng(5)
+    common, rare = ["the", "an", "er", "ing", "ed", "st", "o", "tion"], [*"одназиремутлкпвыбгшцфхжчщэюяёйъь"]
+    kinds = ["en"] * 400 + ["ru"] * 20 + ["junk"] * 20
+    size = lambda: int(rng.integers(5, 200))
+    texts = [
+        " ".join([prose(rng, common, 1)[:-1]] * (100 + size())) if k == "junk"
+        else prose(rng, common if k == "en" else rare, size()) for k in kinds
+    ]
+    docs = spark.createDataFrame(rows(texts, ["en" if k == "junk" else k for k in kinds]), SCHEMA)
+    # Every second rare document is trusted; the others are as clean.
+    trusted = docs.filter("doc_id < 400 or (doc_id < 420 and doc_id % 2 = 0)").select("doc_id")
+    path = scratch_dir(spark, "judged")
+    docs.coalesce(2).write.parquet(path)
+    out = quality_lm.judge(spark.read.parquet(path), trusted, "doc_id", "text", "lang")
+    return [(k, r["kept"]) for k, r in zip(kinds, sorted(out.collect(), key=lambda r: r["doc_id"]))]
+
+
+def test_repeated_words_go_and_clean_text_stays(judged):
+    kept = lambda kind: [k for name, k in judged if name == kind]
+    assert sum(kept("junk")) <= 1 and sum(kept("en")) >= 390
+
+
+def test_no_two_characters_fall_together():
+    every = "".join(map(chr, [*range(0x3040, 0x9FFF), *range(0x1F300, 0x1F600)]))
+    codes, begins = quality_lm.grams(list(every))
+    ends = codes[begins[1:] - 1]
+    assert len(np.unique(ends)) == len(every)
+
+
 # Licence scan -------------------------------------------------------------------------------------
 
 

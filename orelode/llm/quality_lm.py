@@ -35,12 +35,16 @@ BLOCK_CHARS = 8_000_000
 MARK_BITS = 27
 #: Bits of one row of Spark's bitmap aggregates.
 _ROW_BITS = 32_768
+#: Parts of the documents; one is judged by the counts of the trusted ones in the other parts.
+PARTS = 3
 #: Share of a language's trusted documents that may lie above its upper limit, and below its lower one.
 QUANTILE = 0.995
 #: A text is too far off beyond this many times the quantile.
 MARGIN = 1.2
-#: Languages with fewer calibration documents take the threshold of all.
-FEWEST = 50
+#: Documents that a language's limits are pulled towards those of all languages by, and these towards USUAL.
+WEIGHT = 100
+#: How far off texts lie at most where nothing is known of it.
+USUAL = 5.0
 
 
 def grams(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -72,23 +76,23 @@ def _counted(codes: np.ndarray, times: np.ndarray | None = None) -> tuple[np.nda
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(half, gram, c) from compressed texts and the half of the trusted documents each is in."""
+    """(part, gram, c) from compressed texts and the part each is in."""
     open_ = zstandard.ZstdDecompressor().decompress
-    sums = {half: (np.zeros(0, np.int64), np.zeros(0, np.int64)) for half in (0, 1)}
+    sums = {k: (np.zeros(0, np.int64), np.zeros(0, np.int64)) for k in range(PARTS)}
     for batch in batches:
-        packed, halves = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist())
+        packed, where = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist())
         texts = [None if b is None else open_(b).decode("utf-8", "surrogatepass") for b in packed]
-        for half, (codes, times) in sums.items():
-            own = [texts[i] for i in np.flatnonzero(halves == half)]
-            for part in steps(own):
-                more, n = _counted(grams(own[part])[0])
+        for k, (codes, times) in sums.items():
+            own = [texts[i] for i in np.flatnonzero(where == k)]
+            for rows in steps(own):
+                more, n = _counted(grams(own[rows])[0])
                 codes, times = _counted(np.concatenate([codes, more]), np.concatenate([times, n]))
-            sums[half] = codes, times
-    for half, (codes, times) in sums.items():
+            sums[k] = codes, times
+    for k, (codes, times) in sums.items():
         yield pa.RecordBatch.from_arrays([
-            pa.array(np.full(len(codes), half, np.int32)), pa.array(codes),
+            pa.array(np.full(len(codes), k, np.int32)), pa.array(codes),
             pa.array(times.astype(np.int64)),
-        ], names=["half", "gram", "c"])
+        ], names=["part", "gram", "c"])
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,14 +143,14 @@ class QualityModel:
 
 def fit(texts: DataFrame, text: str) -> QualityModel:
     """The model of all rows of ``texts``. Without any text every character is equally likely."""
-    own = texts.select(F.col(text).cast("string").alias("text"), F.lit(0).alias("half"))
-    packed = own.mapInArrow(_pack, "packed binary, half int")
+    own = texts.select(F.col(text).cast("string").alias("text"), F.lit(0).alias("part"))
+    packed = own.mapInArrow(_pack, "packed binary, part int")
     return _model(materialise(_counts(packed), "grams"))
 
 
 def _counts(packed: DataFrame) -> DataFrame:
-    top = packed.mapInArrow(_count, "half int, gram long, c long")
-    return top.groupBy("half", "gram").agg(F.sum("c").alias("c"))
+    top = packed.mapInArrow(_count, "part int, gram long, c long")
+    return top.groupBy("part", "gram").agg(F.sum("c").alias("c"))
 
 
 def _model(counts: DataFrame) -> QualityModel:
@@ -315,23 +319,28 @@ class Limits:
 @dataclass(frozen=True)
 class QualityFilter:
     model: QualityModel
-    by_language: dict[str, Limits]
-    overall: Limits | None
+    by_language: dict[str | None, Limits]
 
     def keeps(self, value: Column, language: Column, size: Column | None = None) -> Column:
-        """Whether a perplexity is within its language's limits for so many characters; NULL is not.
+        """As ``keeps``; without ``size`` the limits are those of a single character, the widest."""
+        return keeps(self.by_language, value, language, F.lit(1) if size is None else size)
 
-        Without ``size`` the limits are those of a single character, the widest.
-        """
-        size = F.lit(1) if size is None else size
-        within = value.isNotNull() if self.overall is None else self.overall.holds(value, size)
-        for name, own in sorted(self.by_language.items()):
-            within = F.when(language == name, own.holds(value, size)).otherwise(within)
-        return F.coalesce(within, F.lit(False))
 
+def keeps(limits: Mapping[str | None, Limits], value: Column, language: Column, size: Column) -> Column:
+    """Whether a perplexity is within its language's limits for so many characters; NULL is not.
+
+    A text in no trusted language, or in a NULL one, has to be within those of any language.
+    """
+    each = [(name, own.holds(value, size)) for name, own in limits.items()]
+    within = reduce(Column.__or__, (c for _, c in each)) if each else value.isNotNull()
+    for name, own in each:
+        if name is not None:
+            within = F.when(language == name, own).otherwise(within)
+    return F.coalesce(within, F.lit(False))
 
-def _half(doc_id: Column) -> Column:
-    return (F.crc32(doc_id.cast("string")) % 2).cast("int")
+
+def _part(doc_id: Column) -> Column:
+    return F.coalesce((F.crc32(doc_id.cast("string")) % PARTS).cast("int"), F.lit(0))
 
 
 def _spot(doc_id: Column) -> Column:
@@ -353,7 +362,7 @@ def _marked(ids: DataFrame) -> np.ndarray:
 
 
 def _trusted_texts(docs: DataFrame, ids: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``(packed, half)`` of every document whose id is among ``ids``.
+    """``(packed, part)`` of every document whose id is among ``ids``.
 
     Few others get past the map of marks, so that the join, which decides, moves little text.
     """
@@ -371,62 +380,70 @@ def _trusted_texts(docs: DataFrame, ids: DataFrame, doc_id: str, text: str) -> D
     )
     kind = docs.schema[doc_id].dataType.simpleString()
     part = part.mapInArrow(near, f"packed binary, id {kind}")
-    return part.join(ids, "id", "left_semi").select("packed", _half(F.col("id")).alias("half"))
+    return part.join(ids, "id", "left_semi").select("packed", _part(F.col("id")).alias("part"))
 
 
 def _scored(
     docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, language: str, column: str, keep_text: bool
-) -> tuple[DataFrame, QualityFilter, str]:
-    """The documents with perplexity and length, written, the filter, and the length's column.
+) -> tuple[DataFrame, DataFrame, dict[str | None, Limits], str]:
+    """The counts, the documents with perplexity and length, the limits, and the length's column.
 
-    All trusted documents are counted, and all set the thresholds: each by its perplexity under the
-    counts of the half it is not in.
+    All trusted documents are counted, and all set the limits. No document, trusted or not, meets
+    counts of its own part, so that both kinds are judged alike.
     """
     ids = trusted.select(F.col(doc_id).alias("id")).filter("id is not null").distinct()
     counts = materialise(_counts(_trusted_texts(docs, ids, doc_id, text)), "counts")
-    model = _model(counts)
-    others = [free_name(docs, f"_under_{half}") for half in (0, 1)]
-    models = {column: model} | {n: _model(counts.filter(F.col("half") == k)) for k, n in enumerate(others)}
+    under = [free_name(docs, f"_under_{k}") for k in range(PARTS)]
+    models = {n: _model(counts.filter(F.col("part") != k)) for k, n in enumerate(under)}
     size = free_name(docs, "_size")
     sized = docs.withColumn(size, F.length(F.col(text).cast("string")))
-    scored = materialise(_perplexities(sized, text, models, keep_text), "scored")
-    unseen = F.when(_half(F.col(doc_id)) == 0, F.col(others[1])).otherwise(F.col(others[0]))
+    found = _perplexities(sized, text, models, keep_text)
+    own = F.element_at(F.array(*under), _part(F.col(doc_id)) + 1)
+    scored = materialise(found.withColumn(column, own).drop(*under), "scored")
     known = scored.select(
-        F.col(doc_id).alias("id"), F.col(language).alias("lang"), F.log(unseen).alias("h"), F.col(size).alias("size")
+        F.col(doc_id).alias("id"), F.col(language).cast("string").alias("lang"), F.log(column).alias("h"),
+        F.col(size).alias("size"),
     ).filter("h is not null").join(ids, "id", "left_semi")
-    return scored.drop(*others), QualityFilter(model, *_limits(known)), size
+    return counts, scored, _limits(known), size
+
 
+def _limits(known: DataFrame) -> dict[str | None, Limits]:
+    """Each language's limits, which change little by little with its number of documents.
 
-def _centred(known: DataFrame) -> DataFrame:
-    """A language's number of documents and log perplexity per character of all of them."""
-    return known.groupBy("lang").agg(
+    Its centre is its own at any number. How far its texts may lie off it is what its own documents
+    say, as if ``WEIGHT`` more said what those of all languages say about their own centres.
+    """
+    centres = known.groupBy("lang").agg(
         F.count("*").alias("n"), (F.sum(F.col("h") * F.col("size")) / F.sum("size")).alias("centre")
     )
+    # One row per language.
+    centres = {r["lang"]: (r["n"], r["centre"]) for r in centres.collect()}
+    if not centres:
+        return {}
+    own = known.sparkSession.createDataFrame([(k, c) for k, (_, c) in centres.items()], "l string, centre double")
+    off = known.join(own, F.col("lang").eqNullSafe(F.col("l"))).select(
+        "lang", ((F.col("h") - F.col("centre")) * F.sqrt("size")).alias("off")
+    )
+    ends = F.percentile_approx("off", [1 - QUANTILE, QUANTILE], 10_000).alias("q")
+    total = sum(n for n, _ in centres.values())
 
+    def pulled(q: list[float], n: int, towards: list[float]) -> list[float]:
+        return [(n * a + WEIGHT * b) / (n + WEIGHT) for a, b in zip(q, towards)]
 
-def _limits(known: DataFrame) -> tuple[dict[str, Limits], Limits | None]:
-    off = ((F.col("h") - F.col("centre")) * F.sqrt("size")).alias("off")
-    ends = F.percentile_approx("off", [1 - QUANTILE, QUANTILE], 10_000)
-    # One row per language.
-    centres = {r["lang"]: r for r in _centred(known).collect()}
-    every = _centred(known.withColumn("lang", F.lit("all"))).collect()
-    if not every:
-        return {}, None
-    low, high = known.withColumn("centre", F.lit(every[0]["centre"])).select(off).agg(ends.alias("q")).first()["q"]
-    overall = Limits(every[0]["centre"], low, high)
-    near = known.join(_centred(known), "lang").select("lang", off).groupBy("lang").agg(ends.alias("q"))
-    found = {r["lang"]: Limits(centres[r["lang"]]["centre"], *r["q"]) for r in near.collect()}
-    return {k: v for k, v in found.items() if centres[k]["n"] >= FEWEST}, overall
+    pooled = pulled(off.agg(ends).first()["q"], total, [-USUAL, USUAL])
+    found = {r["lang"]: r["q"] for r in off.groupBy("lang").agg(ends).collect()}
+    return {k: Limits(c, *pulled(found[k], n, pooled)) for k, (n, c) in sorted(centres.items(), key=str)}
 
 
 def fit_filter(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, language: str) -> QualityFilter:
     """Model and thresholds from the documents whose ids are in ``trusted``, all of them.
 
-    A language's limits are the ``QUANTILE`` of its trusted documents on either side; NULL and rare
-    languages take those of all. Without trusted documents there is no limit.
+    A language's limits are the ``QUANTILE`` of its trusted documents on either side; see ``_limits``
+    for few. Without trusted documents there is no limit.
     """
     own = docs.select(doc_id, text, language)
-    return _scored(own, trusted, doc_id, text, language, "perplexity", False)[1]
+    counts, _, limits, _ = _scored(own, trusted, doc_id, text, language, "perplexity", False)
+    return QualityFilter(_model(counts), limits)
 
 
 def judge(
@@ -435,8 +452,8 @@ def judge(
 ) -> DataFrame:
     """Every row of ``docs`` with its perplexity and whether it is within its language's limits.
 
-    What ``fit_filter``, ``perplexity`` and ``keeps`` give, with the documents scored once.
+    The perplexity is that under the trusted documents of the parts that this one is not in.
     """
-    scored, chosen, size = _scored(docs, trusted, doc_id, text, language, column, keep_text)
-    within = chosen.keeps(F.col(column), F.col(language), F.col(size))
+    _, scored, limits, size = _scored(docs, trusted, doc_id, text, language, column, keep_text)
+    within = keeps(limits, F.col(column), F.col(language), F.col(size))
     return scored.withColumn(kept, within).drop(size)

@@ -300,6 +300,24 @@ def test_no_two_characters_fall_together():
     assert len(np.unique(ends)) == len(every)
 
 
+def test_a_rare_language_has_limits_of_its_own(judged):
+    kept = [k for name, k in judged if name == "ru"]
+    assert sum(kept) >= 19
+
+
+def test_limits_change_little_by_little(spark):
+    """No number of documents from which on a language is judged otherwise."""
+    rng = np.random.default_rng(3)
+    own = [(float(h), 400, lang) for lang, at in (("en", 1.6), ("ru", 2.6)) for h in rng.normal(at, 0.05, 300)]
+    tops = []
+    for n in (1, 2, 20, 49, 50, 51, 200, 201):
+        part = own[:300] + own[300 : 300 + n]
+        found = quality_lm._limits(spark.createDataFrame(part, "h double, size int, lang string"))
+        assert abs(found["ru"].centre - 2.6) < 0.15
+        tops.append(found["ru"].high)
+    assert abs(tops[3] - tops[4]) < 0.1 and abs(tops[4] - tops[5]) < 0.1 and abs(tops[6] - tops[7]) < 0.1
+
+
 # Licence scan -------------------------------------------------------------------------------------
 
 

@@ -14,11 +14,13 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orelode.llm.notices import ROWS
+
 SHINGLE = 5
 CONTAINMENT = 0.8
 #: Shingles of a window, and from one window to the next.
@@ -69,9 +71,13 @@ def slots(window: Column) -> Column:
     )
 
 
+def _split(template: str) -> list[str]:
+    return [w for w in re.split(r"[\W_]+", template.lower()) if w]
+
+
 def needed_words(template: str) -> set[str]:
     """Words such that any four fifths of the template's shingles hold one; longest first."""
-    own = [w for w in re.split(r"[\W_]+", template.lower()) if w]
+    own = _split(template)
     parts = {tuple(own[i : i + SHINGLE]) for i in range(len(own) - SHINGLE + 1)}
     enough = math.ceil(CONTAINMENT * len(parts) - 1e-9)
     chosen: set[str] = set()
@@ -83,7 +89,7 @@ def needed_words(template: str) -> set[str]:
 
 
 def scan(
-    docs: DataFrame, doc_id: str, text: str, templates: Mapping[str, str] | None = None
+    docs: DataFrame, doc_id: str, text: str, templates: Mapping[str, str | Sequence[str]] | None = None
 ) -> DataFrame:
     """``(doc_id, license, containment, first_shingle, windows)`` for each notice in a document.
 
@@ -91,13 +97,18 @@ def scan(
     0.8 or more; ``first_shingle`` is where the first such window starts, ``windows`` their number.
     NULL and empty texts, and texts of fewer than five words, have none. Rows that share an id, NULL
     included, are one document. Templates of fewer than five words are never found. The templates are
-    a parameter held by the driver.
+    a parameter held by the driver, one or several for a license; by default ``TEMPLATES`` and ``ROWS``.
     """
     spark = docs.sparkSession
-    templates = TEMPLATES if templates is None else templates
-    given = spark.createDataFrame(list(templates.items()) or [("", "")], "license string, template string")
+    if templates is None:
+        pairs = [*TEMPLATES.items(), *ROWS]
+    else:
+        pairs = [(k, t) for k, own in templates.items() for t in ([own] if isinstance(own, str) else own)]
+    # One of each wording.
+    pairs = [(k, " ".join(own)) for k, own in dict.fromkeys((k, tuple(_split(t))) for k, t in pairs)]
+    given = spark.createDataFrame(pairs or [("", "")], "license string, template string")
     known = given.select("license", shingles(words(F.col("template"))).alias("all")).filter(F.size("all") > 0)
-    reach = max((len(re.split(r"[\W_]+", t)) for t in templates.values()), default=0)
+    reach = max((len(_split(t)) for _, t in pairs), default=0)
     index = known.select(
         "license", F.array_distinct("all").alias("wanted"),
         F.explode(F.transform(
@@ -108,7 +119,7 @@ def scan(
 
     # Each step leaves through a generator: else the optimizer would work its expression out anew for
     # every shingle that refers to it.
-    needed = sorted(set().union(*(needed_words(t) for t in templates.values())))
+    needed = sorted(set().union(*(needed_words(t) for _, t in pairs)))
     hopeful = F.lower(F.col(text).cast("string")).rlike("|".join(needed) or "$^")
     found = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     found = found.filter(hopeful).select("doc_id", F.explode(F.array(words(F.col("text")))).alias("words"))

@@ -359,3 +359,42 @@ def test_licence_scan_is_whole(spark, sf_dir):
             if len(parts(t) & own) / len(parts(t)) >= 0.8:
                 want.add((r["doc_id"], name))
     assert found == want and want
+
+
+def test_common_licences_are_told_apart(spark):
+    """Usual notices are found, under the name of their licence alone."""
+    cases = {
+        "MIT": ["Licensed under the MIT License", "Permission is hereby granted, free of charge, to any person "
+                "obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in "
+                "the Software without restriction, including without limitation the rights to use"],
+        "GPL-3.0": ["This program is licensed under the GNU General Public License v3"],
+        "GPL-2.0": ["you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+                    "published by the Free Software Foundation; either version 2 of the License, or (at your option)"],
+        "LGPL-2.1": ["under the terms of the GNU Lesser General Public License as published by the Free Software "
+                     "Foundation; either version 2.1 of the License, or (at your option) any later version."],
+        "AGPL-3.0": ["released under the GNU Affero General Public License version 3"],
+        "BSD-2-Clause": ["Distributed under the BSD 2-Clause License."],
+        "ISC": ["licensed under the ISC License"], "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0 license"],
+        "CC0-1.0": ["The author has waived all copyright and related or neighboring rights to this work"],
+        "Unlicense": ["This is free and unencumbered software released into the public domain. Anyone is free to "
+                      "copy, modify, publish, use, compile, sell, or distribute this software"],
+    }
+    flat = [(name, t) for name, own in cases.items() for t in own]
+    df = spark.createDataFrame(rows([f"some words before it. {t} and words after" for _, t in flat]), SCHEMA)
+    found = {(r["doc_id"], r["license"]) for r in license_scan.scan(df, "doc_id", "text").collect()}
+    assert found == {(i, name) for i, (name, _) in enumerate(flat)}
+
+
+def test_no_wording_holds_that_of_another_licence():
+    from orelode.llm.notices import ROWS
+
+    def parts(text):
+        own = license_scan._split(text)
+        return {tuple(own[i : i + 5]) for i in range(len(own) - 4)}
+
+    every = [(name, t, parts(t)) for name, t in (*license_scan.TEMPLATES.items(), *ROWS)]
+    wrong = [
+        (t, u) for name, t, a in every for other, u, b in every
+        if name != other and a and len(a & b) >= license_scan.CONTAINMENT * len(a)
+    ]
+    assert not wrong, wrong[:12]

@@ -21,6 +21,8 @@ from orelode.specs import DIM_CUSTOMERS, DIM_PRODUCTS, DIMENSIONS, ENTITIES, FAC
 from orelode.streaming.medallion import Medallion
 
 BATCHES = (1, 2)
+#: Keys of one array file: the files' number grows with the table, their size does not.
+FILE_KEYS = 10_000
 
 
 def _land(spark: SparkSession, d: str, entity: str, batch: int, landing: str) -> None:
@@ -47,7 +49,7 @@ def bronze_scan_array(spark: SparkSession, d: str) -> DataFrame:
     """Orders as one-line arrays, as indented arrays and as lines, read alike by the default layout."""
     landing = scratch_dir(spark, "arrays")
     record = json_feed(spark, d, "orders").select(
-        "value", (F.get_json_object("value", "$.order_id").cast("bigint") % 64).alias("part")
+        "value", F.floor(F.get_json_object("value", "$.order_id").cast("bigint") / FILE_KEYS).alias("part")
     )
     one = record.groupBy("part").agg(F.collect_list("value").alias("records"))
     indented = F.transform("records", lambda r: F.regexp_replace(r, r'([{,])"', '$1\n    "'))
@@ -59,7 +61,7 @@ def bronze_scan_array(spark: SparkSession, d: str) -> DataFrame:
     parts = []
     for form, text in forms.items():
         # One record of text per file, as an array file is one value.
-        out = text.toDF("value") if form == "lines" else text.toDF("value").repartitionByRange(64, "value")
+        out = text.toDF("value")
         folder = f"{landing}/{form.replace(' ', '_')}"
         out.write.option("maxRecordsPerFile", 0 if form == "lines" else 1).text(folder)
         ids = read_raw(spark, folder).select(

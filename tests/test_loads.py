@@ -364,3 +364,16 @@ def test_forgetting_keeps_states_and_unread_feeds(spark, tmp_path):
     assert table.forget(before=4)
     assert snapshot_of(table.state()) == state and snapshot_of(table.feed([4])) == feed
     assert table.forget(before=4) == []
+
+
+def test_array_files_hold_a_bounded_number_of_orders(spark, sf_dir, tmp_path, monkeypatch):
+    """More orders give more files, not larger ones."""
+    from orelode.registry import loads
+
+    monkeypatch.setattr(loads, "FILE_KEYS", 50, raising=False)
+    monkeypatch.setattr(loads, "scratch_dir", lambda spark, name: str(tmp_path / name))
+    forms = {r["form"]: (r["n"], r["ids"], r["orders"]) for r in loads.bronze_scan_array(spark, sf_dir).collect()}
+    assert len(forms) == 3 and len(set(forms.values())) == 1
+    files = [p.read_text() for p in (tmp_path / "arrays" / "one_line").rglob("*.txt")]
+    sizes = [len({r["order_id"] for r in json.loads(t)}) for t in files if t]
+    assert sum(sizes) == forms["one line"][2] and max(sizes) <= 50

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orelode.llm import ann, bpe, embedding_dedup, lang_id, license_scan, minhash_dedup, packing
-from orelode.llm import quality_lm, suffix_dedup, url_filter
+from orelode.llm import personal_data, quality_lm, suffix_dedup, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -101,12 +101,26 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", kept)
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", personal_data.finder()("text").alias("found"))
+    base = F.filter("found", lambda s: s["kind"].isin(*personal_data.BASE))
+    count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
+    listed = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["begin"], s["end"])), ","
+    )
+    return found.select(
+        "doc_id", *(count(k).alias(f"n_{k}") for k in personal_data.BASE),
+        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("found")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_nearest_neighbours, op2_license_scan, op3_language_id, op4_quality,
         op5_suffix_dedup, op6_packing, op7_near_duplicates, op8_url_rules,
-        op9_byte_bpe, op10_near_vectors,
+        op9_byte_bpe, op10_near_vectors, op13_personal_data,
     )
 }
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orelode.llm import ann, bpe, embedding_dedup, lang_id, license_scan, minhash_dedup, packing
-from orelode.llm import personal_data, quality_lm, suffix_dedup, url_filter
+from orelode.llm import personal_data, quality_lm, spelling, suffix_dedup, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -101,6 +101,10 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", kept)
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = docs.select("doc_id", personal_data.finder()("text").alias("found"))
@@ -120,7 +124,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_nearest_neighbours, op2_license_scan, op3_language_id, op4_quality,
         op5_suffix_dedup, op6_packing, op7_near_duplicates, op8_url_rules,
-        op9_byte_bpe, op10_near_vectors, op13_personal_data,
+        op9_byte_bpe, op10_near_vectors, op12_spelling_variants, op13_personal_data,
     )
 }
 

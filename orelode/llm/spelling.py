@@ -19,6 +19,7 @@ Three things keep the frontier small and spread out:
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import reduce
 
@@ -41,7 +42,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344], np.uint64)
 #: Characters hashed in one step, unless one word is longer.
 STEP = 500_000
-STEPS = "word string, side int, position int, node long, next int, starts boolean, ends boolean"
+STEPS = "key string, side int, position int, node long, next int, starts boolean, ends boolean"
 
 
 def occurrences(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -105,7 +106,7 @@ def _nodes(words: list[str]) -> Iterator[pa.RecordBatch]:
         node = mix(sums + _SEEDS[side] * (position.astype(np.uint64) + np.uint64(1)))
         ends = position == size[owner]
         follow = np.where(ends, -1, codes[np.minimum(first[owner] + position, len(codes) - 1)].astype(np.int64))
-        keys = pa.array(words, pa.string())
+        keys = pa.array([_short(w) for w in words], pa.string())
         yield pa.RecordBatch.from_arrays(
             [
                 keys.take(pa.array(owner)),
@@ -116,7 +117,7 @@ def _nodes(words: list[str]) -> Iterator[pa.RecordBatch]:
                 pa.array(position == half[owner]),
                 pa.array(ends),
             ],
-            names=["word", "side", "position", "node", "next", "starts", "ends"],
+            names=["key", "side", "position", "node", "next", "starts", "ends"],
         )
 
 
@@ -129,11 +130,15 @@ def _key(word: Column) -> Column:
     return F.when(F.length(word) <= 32, word).otherwise(F.md5(word))
 
 
+def _short(word: str) -> str:
+    """What :func:`_key` gives."""
+    return word if len(word) <= 32 else hashlib.md5(word.encode()).hexdigest()
+
+
 def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The edges ``(node, label, child, end_word)`` and the starts ``(word, side, position, node)``."""
     spelled = words.select("word")
-    steps = spelled.mapInArrow(_walked, STEPS).withColumn("word", _key(F.col("word")))
-    steps = materialise(steps, "trie-steps")
+    steps = materialise(spelled.mapInArrow(_walked, STEPS), "trie-steps")
     # Where words part, end, or a walk starts.
     stops = (
         steps.groupBy("node")
@@ -147,11 +152,11 @@ def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     # An array per word and side: as long as the word at most.
     paths = (
         steps.join(stops, "node")
-        .groupBy("word", "side")
+        .groupBy("key", "side")
         .agg(F.sort_array(F.collect_list(F.struct("position", "node", "starts", "ends"))).alias("path"))
     )
     whole = spelled.select(_key(F.col("word")).alias("key"), "word")
-    paths = paths.withColumnRenamed("word", "key").join(whole, "key").drop("key")
+    paths = paths.join(whole, "key").drop("key")
     paths = materialise(paths.withColumn("spelled", _spelled(F.col("word"), F.col("side"))), "trie-paths")
 
     pairs = F.arrays_zip(

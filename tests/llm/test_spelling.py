@@ -86,7 +86,7 @@ def test_dense_words(spark):
 
 
 def test_odd_rows(spark):
-    long = "xy" * 20_000
+    long = "xy" * 1_000
     rows = [(None, "Wonderful wonderful"), (2, None), (3, ""), (4, "wonderfull wonderfull " * 2), (4, "wonderfull"),
             (5, "one-two 12 ×÷×÷×÷×÷ short"), (6, f"{long} {long}"), (7, f"{long}z {long}z"), (None, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
@@ -95,6 +95,16 @@ def test_odd_rows(spark):
     assert spelling.variants(df.limit(0)).count() == 0
 
 
+def test_very_long_runs(spark):
+    long = "xy" * 50_000
+    words = spark.createDataFrame([(long, 30), (long + "z", 3), (long[:500] + long[501:], 2)], "word string, n long")
+    out = as_dict(spelling.group_words(words))
+    assert out == {
+        long: (30, 2, None, None, long), long + "z": (3, 1, long, 30, long),
+        long[:500] + long[501:]: (2, 1, long, 30, long),
+    }
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text("ab", min_size=1, max_size=6), st.text("ab", min_size=1, max_size=6))
 def test_plain_one_edit(a, b):

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orelode.llm import ann, bpe, embedding_dedup, lang_id, license_scan, minhash_dedup, packing
-from orelode.llm import personal_data, quality_lm, spelling, suffix_dedup, url_filter
+from orelode.llm import personal_data, quality_lm, spelling, suffix_dedup, token_alignment
+from orelode.llm import url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -101,6 +102,11 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", kept)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return token_alignment.align(_table(spark, sf_dir, "documents"), *paths, "doc_id", "text")
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(_table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -124,7 +130,8 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_nearest_neighbours, op2_license_scan, op3_language_id, op4_quality,
         op5_suffix_dedup, op6_packing, op7_near_duplicates, op8_url_rules,
-        op9_byte_bpe, op10_near_vectors, op12_spelling_variants, op13_personal_data,
+        op9_byte_bpe, op10_near_vectors, op11_token_alignment,
+        op12_spelling_variants, op13_personal_data,
     )
 }
 

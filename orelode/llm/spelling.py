@@ -136,7 +136,7 @@ def _short(word: str) -> str:
 
 
 def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The edges ``(node, label, child, end_word)`` and the starts ``(word, side, position, node)``."""
+    """The edges ``(node, first, label, child, end_word, onward)`` and the starts ``(word, side, position, node)``."""
     spelled = words.select("word")
     steps = materialise(spelled.mapInArrow(_walked, STEPS), "trie-steps")
     # Where words part, end, or a walk starts.
@@ -170,6 +170,10 @@ def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     # Words that share an edge all spell it; the word that ends at its child is one of them.
     edges = edges.groupBy("node", "label", "child").agg(F.max("end_word").alias("end_word"))
+    edges = materialise(edges.withColumn("first", F.substring("label", 1, 1)), "trie-edges")
+    # What the edges of the child begin with: at most the alphabet.
+    onward = edges.groupBy(F.col("node").alias("child")).agg(F.collect_set("first").alias("onward"))
+    edges = materialise(edges.join(onward, "child", "left"), "trie-onward")
     starts = paths.select("word", "side", F.explode(F.filter("path", lambda p: p["starts"])).alias("p"))
     return edges, starts.select("word", "side", F.col("p.position").alias("position"), F.col("p.node").alias("node"))
 
@@ -188,11 +192,10 @@ def _one_edit(a: Column, b: Column) -> Column:
     return F.when(F.least(n, m) <= 64, F.levenshtein(a, b, 1) == 1).otherwise(long)
 
 
-def _read(rest: Column, label: Column, edits: Column) -> Column:
-    """Ways to read ``label`` from ``rest`` with one edit altogether: characters read, edits spent."""
+def _edited(rest: Column, label: Column) -> Column:
+    """Ways to read ``label`` from ``rest`` with at most one edit: characters read, edits spent."""
     n = F.length(label)
     way = lambda more, spent: F.struct((n + more).alias("read"), F.lit(spent).alias("spent"))
-    none = F.array().cast("array<struct<read int, spent int>>")
     one_off = lambda more: (
         (F.length(rest) >= n + more) & _one_edit(label, F.substr(rest, F.lit(1), n + more))
     )
@@ -200,11 +203,7 @@ def _read(rest: Column, label: Column, edits: Column) -> Column:
     with_edit = F.filter(
         F.array(*(F.when(one_off(more), way(more, 1)) for more in (-1, 0, 1))), lambda w: w.isNotNull()
     )
-    return (
-        F.when(F.startswith(rest, label), F.array(way(0, 0)))
-        .when(edits == 0, with_edit)
-        .otherwise(none)
-    )
+    return F.when(F.startswith(rest, label), F.array(way(0, 0))).otherwise(with_edit)
 
 
 def neighbours(words: DataFrame) -> DataFrame:
@@ -214,24 +213,39 @@ def neighbours(words: DataFrame) -> DataFrame:
     table gives an empty one.
     """
     edges, starts = trie(words)
-    edges = materialise(edges, "trie-edges")
     frontier = starts.withColumn("edits", F.lit(0))
     found = []
     while True:
-        rest = F.substr("word", F.col("position") + 1)
         spelled = _spelled(F.col("word"), F.col("side"))
-        met = frontier.withColumn("rest", F.substr(spelled, F.col("position") + 1)).join(edges, "node")
-        ways = met.withColumn("way", F.explode(_read(F.col("rest"), F.col("label"), F.col("edits"))))
-        after = ways.select(
+        frontier = frontier.withColumn("rest", F.substr(spelled, F.col("position") + 1))
+        # A row with its edit ahead tries all edges of its node; one that has spent it fits one at most.
+        free = frontier.filter("edits = 0").join(edges, "node").withColumn(
+            "way", F.explode(_edited(F.col("rest"), F.col("label")))
+        )
+        spent = (
+            frontier.filter("edits = 1")
+            .withColumn("first", F.substring("rest", 1, 1))
+            .join(edges, ["node", "first"])
+            .filter(F.startswith("rest", "label"))
+            .withColumn("way", F.struct(F.length("label").alias("read"), F.lit(0).alias("spent")))
+        )
+        after = free.unionByName(spent, allowMissingColumns=True).select(
             "word", "side", (F.col("position") + F.col("way.read")).alias("position"),
-            F.col("child").alias("node"), (F.col("edits") + F.col("way.spent")).alias("edits"), "end_word",
+            F.col("child").alias("node"), (F.col("edits") + F.col("way.spent")).alias("edits"),
+            "end_word", "onward", F.substr("rest", F.col("way.read") + 1, F.lit(1)).alias("following"),
         )
         # A last character left over is the one edit of a row that has spent none.
         left = F.length("word") - F.col("position")
         near = F.when((left + F.col("edits") == 1) & (F.col("end_word") != F.col("word")), F.col("end_word"))
-        after = materialise(after.withColumn("near", near).drop("end_word"), "trie-frontier")
+        fits = F.when(F.col("edits") == 1, F.array_contains("onward", F.col("following"))).otherwise(
+            F.col("onward").isNotNull()
+        )
+        after = after.select(
+            "word", "side", "position", "node", "edits", near.alias("near"), F.coalesce(fits, F.lit(False)).alias("walks")
+        )
+        after = materialise(after.filter("walks or near is not null"), "trie-frontier")
         found.append(after.filter("near is not null").select("word", "near"))
-        frontier = after.drop("near")
+        frontier = after.filter("walks").drop("near", "walks")
         if frontier.isEmpty():
             break
     pairs = reduce(DataFrame.unionByName, found).distinct()

@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -39,14 +40,16 @@ from orelode.sources.paths import materialise
 
 #: Characters of a block, unless one text is longer, and its rows.
 BLOCK_CHARS, BLOCK_ROWS = 6_000_000, 20_000
-#: Characters that a tokenizer gets at once, where a text has a place to cut it.
-PIECE_CHARS = 65_536
+#: Words that a worker remembers, and their characters, beside those of the texts it is at.
+KNOWN_WORDS, KNOWN_CHARS = 300_000, 4_000_000
+#: Where a blank stands between two signs that are no white space, both tokenizers begin anew: A's pattern
+#: takes the blank with what follows, and no piece of B runs from another sign into a blank.
+WORDS = re.compile(r"(?<=\S) (?=\S)")
 #: Records that the runs of one radix hold together, about.
 RADIX_RECORDS = 2_000_000
 #: Ids stay below this, so a pair is one number.
 _BITS = np.uint64(24)
 _LOW = np.uint64((1 << 24) - 1)
-_LETTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
 BLOCKS = (
     "block long, part int, ids binary, n_pairs long, pairs binary, counts binary, rows binary, "
     "links binary, times binary"
@@ -79,79 +82,100 @@ class Aligner:
         self.sizes_a, self.sizes_b = (
             np.array([len(x) for x in table], np.int64) for table in (self.bytes_a, self.bytes_b)
         )
-        self.decimals = _decimals(max(len(self.bytes_a), len(self.bytes_b)))
-
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Ids of each text by A, with a blank in front, and by B, which adds one itself."""
-        cut = [_pieces(t) for t in texts]
-        flat = [p for own in cut for p in own]
-        of_a = [e.ids for e in self.a.encode_batch_fast([f" {p}" for p in flat], add_special_tokens=False)]
-        of_b = self.b.encode(flat, num_threads=1)
-        out_a, out_b, at = [], [], 0
-        for own in cut:
-            stop = at + len(own)
-            out_a.append([i for ids in of_a[at:stop] for i in ids] if len(own) > 1 else of_a[at])
-            out_b.append([i for ids in of_b[at:stop] for i in ids] if len(own) > 1 else of_b[at])
-            at = stop
-        return out_a, out_b
-
-    def align(self, texts: list[str | None]) -> tuple[dict[str, np.ndarray], np.ndarray, list[str]]:
-        """Per text the four numbers; all links as (text, pair); per text the digest of its groups."""
-        numbers = {name: np.zeros(len(texts), np.int64) for name in _COUNTED}
-        digests = [""] * len(texts)
-        asked = [i for i, t in enumerate(texts) if t]
-        of_a, of_b = self.encode([texts[i] for i in asked]) if asked else ([], [])
-        whole, ids_a, ids_b = [], [], []
-        for i, a, b in zip(asked, of_a, of_b):
-            data = b" " + texts[i].encode()
+        self.forget()
+
+    def align(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """Per text the four numbers; all links as (text, pair); per text the digest of its groups.
+
+        Tokens of both vocabularies end where words do, so a text's links and groups are those of its
+        words. Each different word is aligned once and remembered.
+        """
+        words = [WORDS.split(t) if t else [] for t in texts]
+        known = self.known
+        new = list(dict.fromkeys(w for own in words for w in own if w not in known))
+        if new:
+            if len(known) + len(new) > KNOWN_WORDS or self.chars > KNOWN_CHARS:
+                self.forget()
+                new = list(dict.fromkeys(w for own in words for w in own))
+            self._learn(new)
+        get, table = self.known.__getitem__, np.concatenate(self.numbers) if len(self.numbers) > 1 else self.numbers[0]
+        self.numbers = [table]
+        numbers, digests, links, owner = np.zeros((len(texts), 4), np.int64), [""] * len(texts), [], []
+        for i, own in enumerate(words):
+            slots = list(map(get, own))
+            sums = table[slots].sum(0) if own else None
+            if own and not sums[4]:
+                numbers[i] = sums[:4]
+                digests[i] = hashlib.sha256(";".join([self.groups[s] for s in slots]).encode()).hexdigest()
+                links += [self.links[s] for s in slots]
+                owner.append((i, sums[3]))
+        rows = np.repeat(*np.array(owner, np.int64).reshape(-1, 2).T)
+        pairs = np.frombuffer(b"".join(links), np.uint64)
+        return numbers, np.column_stack([rows.astype(np.uint64), pairs]), digests
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.links: list[bytes] = []
+        self.groups: list[str] = []
+        self.numbers = [np.zeros((0, 5), np.int64)]
+        self.chars = 0
+
+    def _learn(self, words: list[str]) -> None:
+        """Aligns words; the fifth number of each says whether a vocabulary does not spell it."""
+        of_a = [e.ids for e in self.a.encode_batch_fast([f" {w}" for w in words], add_special_tokens=False)]
+        of_b = self.b.encode(words, num_threads=1)
+        numbers = np.zeros((len(words), 5), np.int64)
+        links, groups = [b""] * len(words), [""] * len(words)
+        whole = []
+        for i, (word, a, b) in enumerate(zip(words, of_a, of_b)):
+            data = b" " + word.encode()
             if b"".join(map(self.bytes_a.__getitem__, a)) == data == b"".join(map(self.bytes_b.__getitem__, b)):
                 whole.append(i)
-                ids_a.append(a)
-                ids_b.append(b)
-        if not whole:
-            return numbers, np.zeros((0, 2), np.uint64), digests
-        rows = np.array(whole)
-        n_a, n_b = (np.array([len(x) for x in ids]) for ids in (ids_a, ids_b))
-        a, b = (np.fromiter((i for own in ids for i in own), np.int64) for ids in (ids_a, ids_b))
-        # Byte offsets over all texts one after the other: the ends of texts are ends of both.
-        end_a, end_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
-        text_end = end_a[np.cumsum(n_a) - 1]
-        common = np.intersect1d(end_a, end_b, assume_unique=True)
-        # Between two neighbouring ends lies exactly one overlap of an A and a B token.
-        ends = np.union1d(end_a, end_b)
-        at_a, at_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
-        owner = np.searchsorted(text_end, ends)
-        numbers["n_a"][rows], numbers["n_b"][rows] = n_a, n_b
-        numbers["n_groups"][rows] = np.bincount(np.searchsorted(text_end, common), minlength=len(rows))
-        numbers["n_links"][rows] = np.bincount(owner, minlength=len(rows))
-        pair = (a[at_a].astype(np.uint64) << _BITS) | b[at_b].astype(np.uint64)
-        links = np.column_stack([rows[owner].astype(np.uint64), pair])
-        for i, digest in zip(whole, self._digests(a, b, end_a, end_b, common, text_end)):
-            digests[i] = digest
-        return numbers, links, digests
-
-    def _digests(self, a, b, end_a, end_b, common, text_end) -> list[str]:
-        """SHA-256 of each text's groups, written as ``a1,a2|b1;a3|b2,b3``."""
-        group_a, group_b = np.searchsorted(common, end_a), np.searchsorted(common, end_b)
-        group, side = np.concatenate([group_a, group_b]), np.repeat([0, 1], [len(a), len(b)])
-        order = np.lexsort((side, group))  # stable: ids stay in order within group and side
-        group, side, ids = group[order], side[order], np.concatenate([a, b])[order]
-        signs = np.full(len(ids), ord(";"), np.uint8)
-        signs[:-1][group[1:] == group[:-1]] = ord(",")
-        signs[:-1][(group[1:] == group[:-1]) & (side[1:] != side[:-1])] = ord("|")
-        digits, size = self.decimals
-        width = digits.shape[1]
-        written = np.empty((len(ids), width + 1), np.uint8)
-        written[:, :width] = digits[ids]
-        written[np.arange(len(ids)), size[ids]] = signs
-        flat = written[np.arange(width + 1) <= size[ids][:, None]].tobytes()
-        stops = np.cumsum(size[ids] + 1)
-        last = np.searchsorted(text_end[np.searchsorted(text_end, common[group])], text_end, side="right") - 1
-        out, begin = [], 0
-        for stop in stops[last].tolist():
-            out.append(hashlib.sha256(flat[begin : stop - 1]).hexdigest())
-            begin = stop
-        return out
+        numbers[:, 4] = 1
+        rows = np.array(whole, np.int64)
+        numbers[rows, 4] = 0
+        if whole:
+            n_a, n_b = (np.array([len(ids[i]) for i in whole]) for ids in (of_a, of_b))
+            a, b = (np.array([x for i in whole for x in ids[i]], np.int64) for ids in (of_a, of_b))
+            # Byte offsets over all words one after the other: the ends of words are ends of both.
+            end_a, end_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
+            word_end = end_a[np.cumsum(n_a) - 1]
+            common = np.intersect1d(end_a, end_b, assume_unique=True)
+            # Between two neighbouring ends lies exactly one overlap of an A and a B token.
+            ends = np.union1d(end_a, end_b)
+            n_links = np.bincount(np.searchsorted(word_end, ends), minlength=len(rows))
+            n_groups = np.bincount(np.searchsorted(word_end, common), minlength=len(rows))
+            numbers[rows, :4] = np.column_stack([n_a, n_b, n_groups, n_links])
+            pair = a[np.searchsorted(end_a, ends)].astype(np.uint64) << _BITS
+            flat = (pair | b[np.searchsorted(end_b, ends)].astype(np.uint64)).tobytes()
+            stops = (np.cumsum(n_links) * 8).tolist()
+            for i, begin, stop in zip(whole, [0, *stops], stops):
+                links[i] = flat[begin:stop]
+            last = (np.cumsum(n_a + n_b) - 1).tolist()
+            for i, written in zip(whole, _written(a, b, end_a, end_b, common, last)):
+                groups[i] = written
+        first = len(self.links)
+        self.known |= {w: first + i for i, w in enumerate(words)}
+        self.links += links
+        self.groups += groups
+        self.numbers.append(numbers)
+        self.chars += sum(map(len, words))
+
+
+def _written(a, b, end_a, end_b, common, last: list[int]) -> list[str]:
+    """The groups of each word as ``a1,a2|b1;a3|b2,b3``; ``last`` has the words' last tokens."""
+    group = np.concatenate([np.searchsorted(common, end_a), np.searchsorted(common, end_b)])
+    side, ids = np.repeat([0, 1], [len(a), len(b)]), np.concatenate([a, b])
+    order = np.lexsort((side, group))  # stable: ids stay in order within group and side
+    group, side, ids = group[order], side[order], ids[order]
+    same = group[1:] == group[:-1]
+    signs = np.where(same, np.where(side[1:] == side[:-1], ",", "|"), ";").tolist()
+    parts = [x for pair in zip(map(str, ids.tolist()), [*signs, ""]) for x in pair]
+    out, begin = [], 0
+    for k in last:
+        out.append("".join(parts[begin : 2 * k + 1]))
+        begin = 2 * k + 2
+    return out
 
 
 def _byte_level(tokenizer: Tokenizer) -> list[bytes]:
@@ -170,34 +194,6 @@ def _byte_level(tokenizer: Tokenizer) -> list[bytes]:
     return out
 
 
-def _decimals(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The decimal digits of 0 to n - 1, one row of bytes each, and their numbers of digits."""
-    width = len(str(n - 1))
-    text = np.array([str(i).ljust(width) for i in range(n)], f"S{width}")
-    return text.view(np.uint8).reshape(n, width), np.array([len(str(i)) for i in range(n)])
-
-
-def _pieces(text: str) -> list[str]:
-    """``text`` cut where a blank stands between two letters, less that blank.
-
-    Both tokenizers begin anew there: A's pattern takes the blank with the letters after it, and no
-    piece of B runs from a letter into a blank. A blank goes in front of each piece anyway. Without such a
-    place, a piece is as long as it takes.
-    """
-    out, begin = [], 0
-    while len(text) - begin > PIECE_CHARS:
-        at = begin + PIECE_CHARS
-        while (at := text.find(" ", at)) >= 0 and not (
-            text[at - 1] in _LETTERS and at + 1 < len(text) and text[at + 1] in _LETTERS
-        ):
-            at += 1
-        if at < 0:
-            break
-        out.append(text[begin:at])
-        begin = at + 1
-    return [*out, text[begin:]]
-
-
 @lru_cache(maxsize=2)
 def _aligner(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
@@ -232,7 +228,7 @@ def _block(held: list, part: int, number: int) -> pa.RecordBatch:
     for own_ids, numbers, own_links, own_digests in held:
         ids += own_ids
         digests += own_digests
-        rows.append(np.column_stack([numbers[name] for name in _COUNTED]))
+        rows.append(numbers)
         # Different (document, pair) in order, with how many links each stands for.
         order = np.lexsort((own_links[:, 1], own_links[:, 0]))
         ordered = own_links[order]

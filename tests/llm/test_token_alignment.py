@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -110,13 +111,17 @@ def test_rows_without_id_and_repeated(spark, vocabularies):
     assert out == sorted(zip([0, 0, 1, 1], want))
 
 
-def test_pieces_change_nothing(vocabularies, monkeypatch):
-    text = "Some words of a text, don't cut 'em; naïve café 12 a b  c\n\nd e " * 40
-    whole = token_alignment.Aligner(A, B)
-    want = whole.align([text, "x", None, text])
-    monkeypatch.setattr(token_alignment, "PIECE_CHARS", 7)
-    got = whole.align([text, "x", None, text])
-    assert all((want[0][k] == got[0][k]).all() for k in want[0]) and (want[1] == got[1]).all() and want[2] == got[2]
+def test_words_change_nothing(vocabularies, monkeypatch):
+    """Aligning word by word, remembered or not, gives what aligning whole texts gives."""
+    text = "Some words of a text, don't cut 'em; naïve café 12 a b  c\n\nd e \x1c f\x85 g\u3000 h .. . , ' s" * 40
+    own = token_alignment.Aligner(A, B)
+    want = own.align([text, "x", None, text])
+    monkeypatch.setattr(token_alignment, "KNOWN_WORDS", 3)
+    again = own.align([text, "x", None, text])
+    own.forget()
+    monkeypatch.setattr(token_alignment, "WORDS", re.compile("(?!)"))
+    for got in (again, own.align([text, "x", None, text])):
+        assert (want[0] == got[0]).all() and (want[1] == got[1]).all() and want[2] == got[2]
 
 
 def test_no_piece_runs_from_a_letter_into_a_blank():
@@ -128,6 +133,7 @@ def test_no_piece_runs_from_a_letter_into_a_blank():
 def test_blocks_and_radixes_change_nothing(spark, vocabularies, monkeypatch):
     monkeypatch.setattr(token_alignment, "BLOCK_ROWS", 3)
     monkeypatch.setattr(token_alignment, "STEP_CHARS", 20)
+    monkeypatch.setattr(token_alignment, "KNOWN_CHARS", 50)
     monkeypatch.setattr(token_alignment, "RADIX_RECORDS", 10)
     df = spark.createDataFrame(list(enumerate(ODD * 3)), "doc_id long, text string").repartition(5)
     out = {r["doc_id"]: values(r) for r in token_alignment.align(df, A, B).collect()}

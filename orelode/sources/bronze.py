@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orelode.sources.paths import file_stream
+from orelode.sources.objects import read_pieces, split_records
+from orelode.sources.paths import file_stream, materialise
 
 BRONZE_SCHEMA = "payload variant, ingestion_ts timestamp_ntz, source_file string"
 
@@ -29,36 +30,65 @@ def _parsed(raw: DataFrame) -> DataFrame:
     return raw.withColumn("_inside", inside).withColumn("payload", payload).drop("_inside")
 
 
-def read_raw(
-    spark: SparkSession,
-    path: str,
-    layout: str = "auto",
-    streaming: bool = False,
-    max_files: int | None = None,
-) -> DataFrame:
+def _text(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return spark.read.option("recursiveFileLookup", "true").text(path)
+
+
+def file_names(spark: SparkSession, path: str, max_files: int) -> DataFrame:
+    """The files that arrive under ``path`` as a stream, without their contents."""
+    stream = file_stream(spark).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files)
+    schema = "path string, modificationTime timestamp, length bigint, content binary"
+    return stream.schema(schema).format("binaryFile").load(path).select("path")
+
+
+def read_raw(spark: SparkSession, path: str | list[str], layout: str = "auto") -> DataFrame:
     """One row per JSON record: ``payload`` and ``source_file``. Unreadable records have no payload.
 
-    The elements of an array are records of their own, in every layout. ``auto`` reads each file whole:
-    one JSON value (an array on one line or many, or an object), or else one value per line.
-    ``lines`` splits inside files, which is what large loads want. ``array`` takes a file that is not
-    one value for one unreadable record.
+    Every layout splits inside files. ``lines`` has one value a line; the elements of an array are records
+    of their own. ``array`` takes files for objects in arrays, however indented, or one after the other: each
+    object is a record, see :func:`split_records`. ``auto`` looks at each file: one that begins with an
+    object and most of whose lines are objects is read by lines, any other by objects.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"unknown layout {layout!r}")
-    reader = file_stream(spark) if streaming else spark.read
-    if streaming and max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    reader = reader.option("recursiveFileLookup", "true")
-    raw = reader.text(path, wholetext=layout != "lines").select("value", F.col("_metadata.file_path").alias("source_file"))
-    raw = _parsed(raw.where(F.trim("value", F.lit(BLANK)) != ""))
-    if layout == "auto":
-        # A file that is no single value is read line by line.
-        lines = F.when(F.col("payload").isNull(), F.split("value", "\r\n|\r|\n")).otherwise(F.array("value"))
-        raw = raw.select(F.explode(lines).alias("value"), "source_file")
-        raw = _parsed(raw.where(F.trim("value", F.lit(BLANK)) != ""))
-    elements = F.coalesce(
-        F.expr("try_variant_get(payload, '$', 'array<variant>')"), F.array("payload")
+    if layout == "array":
+        return split_records(read_pieces(spark, path))
+    lines = _text(spark, path).select("value", F.col("_metadata.file_path").alias("source_file"))
+    lines = lines.where(F.trim("value", F.lit(BLANK)) != "")
+    if layout == "lines":
+        return _elements(lines)
+    kinds = materialise(_kinds(spark, path), "file-kinds")
+    by_line = kinds.where("by_line").select("source_file")
+    by_object = kinds.where("not by_line").select("source_file")
+    raw = _elements(lines.join(by_line, "source_file", "left_semi"))
+    if by_object.isEmpty():
+        return raw
+    pieces = read_pieces(spark, path).join(by_object, "source_file", "left_semi")
+    return raw.unionByName(split_records(pieces))
+
+
+def _kinds(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Whether each file is one of lines, from one pass over its lines that keeps two numbers and a sign."""
+    line = F.trim("value", F.lit(BLANK))
+    at = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    lines = _text(spark, path).select(
+        F.col("_metadata.file_path").alias("source_file"), at.alias("at"), line.alias("line")
+    ).where(F.col("line") != "")
+    one = F.col("line").startswith("{") & (F.col("line").endswith("}") | (F.length("line") > 2))
+    found = lines.groupBy("source_file").agg(
+        F.min_by(F.substring("line", 1, 1), "at").alias("first"), F.count(F.when(one, 1)).alias("objects"),
+        F.count(F.lit(1)).alias("lines"),
     )
+    by_line = (F.col("first") != "[") & (2 * F.col("objects") >= F.col("lines"))
+    # Scalars or other text on lines of their own are lines as well.
+    plain = ~F.col("first").isin("[", "{")
+    return found.select("source_file", (by_line | plain).alias("by_line"))
+
+
+def _elements(lines: DataFrame) -> DataFrame:
+    """The records of lines: their values, or the elements of those that are arrays."""
+    raw = _parsed(lines)
+    elements = F.coalesce(F.expr("try_variant_get(payload, '$', 'array<variant>')"), F.array("payload"))
     return raw.select(F.explode(elements).alias("payload"), "source_file")
 
 

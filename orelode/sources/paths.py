@@ -46,6 +46,15 @@ def complete_batches(spark: SparkSession, path: str, prefix: str) -> list[int]:
     return found
 
 
+def numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers n of the sub-folders ``prefix=n`` of ``path``, in order."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [status.getPath().getName() for status in fs.listStatus(root)] if fs.exists(root) else []
+    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{prefix}="))
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

@@ -2,20 +2,33 @@
 
 A batch appends its after-images under ``changes/_batch_id=n`` and touches nothing else, so its
 cost follows the batch, a retry overwrites its own folder, and no file being read is ever replaced.
-Every ``snapshot_every`` batches the state is written out whole under ``snapshot/_through=n``.
+Every ``snapshot_every`` batches the state is written out under ``snapshot/_through=n``.
+
+With ``buckets`` both are laid out by a hash of the key. A batch then reads only the folders of the buckets
+its keys fall into, and a snapshot rewrites only the buckets that changed since the one before: each
+bucket has a newest snapshot of its own, and the feed after it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from orelode.operators.changes import BATCH, net_changes
 from orelode.operators.merge import ACTION, apply_changes
-from orelode.sources.paths import complete_batches, file_stream, remove
+from orelode.sources.paths import complete_batches, file_stream, numbered, remove
+
+BUCKET = "_bucket"
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    """The bucket of a key: the same on every run; NULL has one as well."""
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
 
 
 @dataclass(frozen=True)
@@ -26,6 +39,7 @@ class ChangeTable:
     key: str
     insert_only: bool = False
     snapshot_every: int = 16
+    buckets: int = 0
 
     @property
     def feed_schema(self) -> str:
@@ -45,32 +59,59 @@ class ChangeTable:
         """No batch before this one wrote anything."""
         return not any(n < batch_id for n in (*self._snapshots(), *self._batches()))
 
+    def _write(self, rows: DataFrame, path: str) -> None:
+        if self.buckets:
+            # Adaptive execution cuts a large bucket into several files and puts small ones together.
+            rows = rows.withColumn(BUCKET, bucket_of(self.key, self.buckets)).hint("rebalance", BUCKET)
+            rows.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+        else:
+            rows.write.mode("overwrite").parquet(path)
+
     def write_changes(self, changes: DataFrame, batch_id: int) -> None:
-        changes.write.mode("overwrite").parquet(f"{self.path}/changes/{BATCH}={batch_id}")
+        self._write(changes, f"{self.path}/changes/{BATCH}={batch_id}")
 
     def write_snapshot(self, state: DataFrame, through: int) -> None:
-        state.write.mode("overwrite").parquet(f"{self.path}/snapshot/_through={through}")
+        self._write(state, f"{self.path}/snapshot/_through={through}")
 
     def compact(self, batch_id: int) -> None:
-        """Snapshot everything before ``batch_id`` once enough batches have gathered."""
-        if self.insert_only:
-            return
+        """Snapshot what changed before ``batch_id`` once enough batches have gathered."""
         done = max((s for s in self._snapshots() if s < batch_id), default=None)
         since = [b for b in self._batches() if (done is None or b > done) and b < batch_id]
-        if len(since) >= self.snapshot_every:
-            self.write_snapshot(self.state(before=batch_id), since[-1])
-
-    def feed(self, batches: list[int]) -> DataFrame:
-        """The change rows of the given batches, with their batch number."""
-        reader = self.spark.read.schema(f"{self.feed_schema}, {BATCH} bigint")
+        if len(since) < self.snapshot_every:
+            return
+        changed = None
+        if self.buckets:
+            changed = {b for n in since for b in self._buckets_in("changes", BATCH, n)}
+        self.write_snapshot(self._state(batch_id, changed), since[-1])
+
+    def _buckets_in(self, kind: str, prefix: str, n: int) -> list[int]:
+        return numbered(self.spark, f"{self.path}/{kind}/{prefix}={n}", BUCKET)
+
+    def touched(self, keys: DataFrame) -> set[int] | None:
+        """The buckets that ``keys`` (a column of key values) fall into: so many numbers at most."""
+        if not self.buckets:
+            return None
+        return {r[0] for r in keys.select(bucket_of(keys.columns[0], self.buckets)).distinct().collect()}
+
+    def feed(self, batches: list[int], buckets: list[tuple[int, int]] | None = None) -> DataFrame:
+        """The change rows of the given batches, with their batch number; or of (batch, bucket) pairs."""
         root = f"{self.path}/changes"
-        return reader.option("basePath", root).parquet(*(f"{root}/{BATCH}={b}" for b in batches))
+        reader = self.spark.read.schema(f"{self.feed_schema}, {BATCH} bigint{self._layout}")
+        if buckets is None:
+            paths = [f"{root}/{BATCH}={b}" for b in batches]
+        else:
+            paths = [f"{root}/{BATCH}={n}/{BUCKET}={b}" for n, b in buckets]
+        return reader.option("basePath", root).parquet(*paths).drop(BUCKET)
+
+    @property
+    def _layout(self) -> str:
+        return f", {BUCKET} int" if self.buckets else ""
 
     def feed_stream(self) -> DataFrame:
         """The change feed as a stream; every batch is seen once per checkpoint."""
-        return file_stream(self.spark).schema(f"{self.feed_schema}, {BATCH} bigint").parquet(
+        return file_stream(self.spark).schema(f"{self.feed_schema}, {BATCH} bigint{self._layout}").parquet(
             f"{self.path}/changes"
-        )
+        ).drop(BUCKET)
 
     def state(self, before: int | None = None, touching: DataFrame | None = None) -> DataFrame:
         """The table as of all committed batches, or those before a given one.
@@ -89,10 +130,15 @@ class ChangeTable:
             keys = keys.join(touching, column, "left_semi").select(self.key).distinct()
             return self.state(before, keys).join(touching, column, "left_semi").select(*self._columns)
 
+        return self._state(before, None if touching is None else self.touched(touching), touching)
+
+    def _state(
+        self, before: int | None, buckets: set[int] | None, touching: DataFrame | None = None
+    ) -> DataFrame:
         def limited(df: DataFrame) -> DataFrame:
             return df if touching is None else df.join(touching, self.key, "left_semi")
 
-        base, first, feed = self._images(before, split_first=not self.insert_only)
+        base, first, feed = self._images(before, not self.insert_only, buckets)
         if base is None and first is not None:
             base, first = first, None
         if base is not None:
@@ -103,16 +149,20 @@ class ChangeTable:
         if not self.insert_only:
             feed = net_changes(feed, self.key)
         feed = feed.select(*self._columns)
-        return feed if base is None else apply_changes(base, feed, self.key)
+        if base is None:
+            return feed
+        return base.unionByName(feed) if self.insert_only else apply_changes(base, feed, self.key)
 
     def _images(
-        self, before: int | None, split_first: bool = False
+        self, before: int | None, split_first: bool = False, buckets: set[int] | None = None
     ) -> tuple[DataFrame | None, DataFrame | None, DataFrame | None]:
         """The newest snapshot, the first batch if it met an empty table, and the later feed."""
 
         def in_scope(n: int) -> bool:
             return before is None or n < before
 
+        if self.buckets:
+            return self._bucket_images(in_scope, buckets)
         snapshot = max(filter(in_scope, self._snapshots()), default=None)
         batches = [b for b in self._batches() if in_scope(b) and (snapshot is None or b > snapshot)]
         base = first = None
@@ -123,6 +173,30 @@ class ChangeTable:
             first, batches = self.feed(batches[:1]), batches[1:]
         return base, first, self.feed(batches) if batches else None
 
+    def _newest(self, in_scope: Callable[[int], bool]) -> dict[int, int]:
+        """Each bucket's newest snapshot."""
+        snapshots = sorted(filter(in_scope, self._snapshots()))
+        return {b: s for s in snapshots for b in self._buckets_in("snapshot", "_through", s)}
+
+    def _bucket_images(
+        self, in_scope: Callable[[int], bool], buckets: set[int] | None
+    ) -> tuple[DataFrame | None, None, DataFrame | None]:
+        """Only the folders of ``buckets`` are listed and read, each from its own newest snapshot on."""
+        newest = {b: s for b, s in self._newest(in_scope).items() if buckets is None or b in buckets}
+        through = max(filter(in_scope, self._snapshots()), default=-1)
+        # What a snapshot did not rewrite had not changed, so the feed counts from the last one.
+        batches = [n for n in self._batches() if in_scope(n) and n > through]
+        parts = [
+            (n, b) for n in batches for b in self._buckets_in("changes", BATCH, n) if buckets is None or b in buckets
+        ]
+        base = None
+        if newest:
+            root = f"{self.path}/snapshot"
+            reader = self.spark.read.schema(f"{self.schema}, _through bigint{self._layout}")
+            paths = [f"{root}/_through={s}/{BUCKET}={b}" for b, s in sorted(newest.items())]
+            base = reader.option("basePath", root).parquet(*paths).drop("_through", BUCKET)
+        return base, None, self.feed([], parts) if parts else None
+
     def forget(self, before: int) -> list[str]:
         """Remove what neither a state nor a reader needs: change folders below ``before`` that a
         snapshot covers, and snapshots older than that. Returns the folders removed.
@@ -132,7 +206,8 @@ class ChangeTable:
         kept = max((s for s in self._snapshots() if s < before), default=None)
         if kept is None:
             return []
-        old = [f"{self.path}/snapshot/_through={s}" for s in self._snapshots() if s < kept]
+        needed = set(self._newest(lambda s: s <= kept).values()) if self.buckets else {kept}
+        old = [f"{self.path}/snapshot/_through={s}" for s in self._snapshots() if s < kept and s not in needed]
         old += [f"{self.path}/changes/{BATCH}={b}" for b in self._batches() if b <= kept]
         for folder in old:
             remove(self.spark, folder)

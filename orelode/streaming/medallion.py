@@ -12,7 +12,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orelode.functions.dates import ntz
@@ -25,8 +25,8 @@ from orelode.plans.audit import AuditLog, Step, observe_actions, observe_verdict
 from orelode.plans.gold import customer_source, dim_date, fact_source, product_source
 from orelode.plans.silver import silver_source, tag
 from orelode.plans.views import publish_views
-from orelode.sources.bronze import BRONZE_SCHEMA, bronze_rows, file_manifest, read_raw
-from orelode.sources.paths import complete_batches, exists, file_stream
+from orelode.sources.bronze import BRONZE_SCHEMA, bronze_rows, file_manifest, file_names, read_raw
+from orelode.sources.paths import complete_batches, exists, file_stream, remove
 from orelode.sources.tables import ChangeTable
 from orelode.specs import (
     DIM_CUSTOMERS, DIM_PRODUCTS, DIMENSIONS, ENTITIES, FACTS, INGESTION, DimSpec, EntitySpec,
@@ -49,6 +49,21 @@ class Options:
     parallel: int = 8  # loads of independent tables run at the same time
     max_files: int = 1000  # raw files per bronze micro-batch
     snapshot_every: int = 16
+    buckets: int = 0  # key buckets that tables are laid out by; 0: none
+
+
+_RANGES = "_from string, _low bigint, _high bigint"
+
+
+def _joined(ranges: DataFrame) -> DataFrame:
+    """Ranges of whole numbers per table, those that touch made one."""
+    w = Window.partitionBy("_from").orderBy("_low")
+    before = F.max("_high").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    marked = ranges.withColumn("_new", F.coalesce((F.col("_low") > before + 1).cast("int"), F.lit(1)))
+    marked = marked.withColumn("_range", F.sum("_new").over(w))
+    return marked.groupBy("_from", "_range").agg(
+        F.min("_low").alias("_low"), F.max("_high").alias("_high")
+    ).drop("_range")
 
 
 class Medallion:
@@ -81,7 +96,7 @@ class Medallion:
         s = ENTITIES[entity]
         return ChangeTable(
             self.spark, f"{self.root}/silver/{entity}", s.schema, s.key, s.insert_only,
-            self.options.snapshot_every,
+            self.options.snapshot_every, self.options.buckets,
         )
 
     def gold(self, name: str) -> ChangeTable:
@@ -90,6 +105,7 @@ class Medallion:
         return ChangeTable(
             self.spark, f"{self.root}/gold/{name}", spec.schema, key,
             name in FACTS and FACTS[name].insert_only, self.options.snapshot_every,
+            self.options.buckets,
         )
 
     def dim_date(self) -> DataFrame:
@@ -142,16 +158,22 @@ class Medallion:
         source = [c for c in ("_from", BATCH) if c in batch.columns]
         if not source:
             return batch
+        table = F.col("_from") if "_from" in source else F.lit("")
         marks = f"{self.root}/consumed/{name}"
         done = [b for b in complete_batches(self.spark, marks, "_reader") if b < batch_id]
-        taken = batch.select(*source).distinct()
+        taken = batch.select(table.alias("_from"), BATCH).distinct()
         if done:
-            # One row per upstream batch.
-            old = self.spark.read.schema(taken.schema).parquet(*(f"{marks}/_reader={b}" for b in done))
-            taken = taken.join(old, source, "left_anti")
-        own = f"{marks}/_reader={batch_id}"
-        taken.coalesce(1).write.mode("overwrite").parquet(own)
-        new = self.spark.read.schema(taken.schema).parquet(own)
+            # All that earlier batches took, as ranges of numbers: a row or two per upstream table.
+            old = self.spark.read.schema(_RANGES).parquet(f"{marks}/_reader={done[-1]}")
+            o = old.select(F.col("_from").alias("_o"), "_low", "_high")
+            covered = (F.col("_from") == F.col("_o")) & F.col(BATCH).between(F.col("_low"), F.col("_high"))
+            taken = taken.join(o, covered, "left_anti")
+        new = self._staged(taken.coalesce(1), f"taken/{name}", batch_id)
+        ranges = new.select("_from", F.col(BATCH).alias("_low"), F.col(BATCH).alias("_high"))
+        _joined(old.unionByName(ranges) if done else ranges).coalesce(1).write.mode("overwrite").parquet(f"{marks}/_reader={batch_id}")
+        # A batch run again reads the marks before its own, so the last two folders are needed.
+        for n in done[:-2]:
+            remove(self.spark, f"{marks}/_reader={n}")
         return batch.join(new, source, "left_semi") if done else batch
 
     def _all(self, loads: list[Callable[[], None]]) -> None:
@@ -231,11 +253,13 @@ class Medallion:
             step.add(processed_files=0)
             if not exists(self.spark, path):
                 return
-            raw = read_raw(self.spark, path, entry.layout, streaming=True, max_files=self.options.max_files)
-            self._run(raw, self._bronze_batch(entry, step, load_ts), f"bronze_{entry.entity}")
+            names = file_names(self.spark, path, self.options.max_files)
+            self._run(names, self._bronze_batch(entry, step, load_ts), f"bronze_{entry.entity}")
 
     def _bronze_batch(self, entry: IngestEntry, step: Step, load_ts: str) -> BatchFn:
-        def write(batch: DataFrame, batch_id: int) -> None:
+        def write(names: DataFrame, batch_id: int) -> None:
+            # As many names as a batch may have files.
+            batch = read_raw(names.sparkSession, [r[0] for r in names.collect()], entry.layout)
             seen = Observation(f"bronze_{entry.entity}_{batch_id}")
             watched = batch.observe(
                 seen,

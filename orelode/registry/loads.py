@@ -18,7 +18,7 @@ from orelode.sources.bronze import BRONZE_SCHEMA, read_raw
 from orelode.sources.feeds import LOAD_TS, bronze_feed, json_feed
 from orelode.sources.paths import scratch_dir
 from orelode.specs import DIM_CUSTOMERS, DIM_PRODUCTS, DIMENSIONS, ENTITIES, FACTS, ORDERS
-from orelode.streaming.medallion import Medallion
+from orelode.streaming.medallion import Medallion, Options
 
 BATCHES = (1, 2)
 #: Keys of one array file: the files' number grows with the table, their size does not.
@@ -108,8 +108,10 @@ def _bronze_batch(spark: SparkSession, d: str, m: Medallion, entity: str, batch:
     ).parquet(f"{m.bronze_path(entity)}/{BATCH}={batch - 1}")
 
 
-def _silver_batches(spark: SparkSession, d: str, name: str, retry: bool) -> DataFrame:
-    m = Medallion(spark, scratch_dir(spark, name))
+def _silver_batches(
+    spark: SparkSession, d: str, name: str, retry: bool, options: Options = Options()
+) -> DataFrame:
+    m = Medallion(spark, scratch_dir(spark, name), options=options)
     for batch in BATCHES:
         _bronze_batch(spark, d, m, "orders", batch)
         m.load_entity("orders", f"run-{batch}", LOAD_TS[batch])

@@ -637,7 +637,7 @@ def _load_oracles() -> dict[str, str]:
         f"FROM {second}) AS s",
         money, dates,
     )
-    for name in ("stream_silver_orders", "stream_retry_idempotent"):
+    for name in ("stream_silver_orders", "stream_retry_idempotent", "merge_pruned_buckets"):
         q = Sql()
         out[name] = q.query(
             f"SELECT s.* EXCLUDE (_action), e.dq_errors FROM {q.silver('orders')} s LEFT JOIN "
@@ -680,5 +680,69 @@ def _load_oracles() -> dict[str, str]:
     return out
 
 
+def _order_states(q: Sql) -> tuple[str, str, str]:
+    """The orders after each of three batches; the third takes some back and deletes some."""
+    shown = "order_id, order_status, order_total_amount, currency"
+    first, second = q.silver("orders", 1), q.silver("orders")
+    q.define("orders_1", f"SELECT {shown} FROM {first}")
+    q.define("orders_2", f"SELECT {shown} FROM {second}")
+    q.define(
+        "orders_3",
+        "SELECT * FROM orders_1 WHERE order_id % 14 = 0 AND order_id % 15 <> 0 AND order_id % 97 <> 0 UNION ALL "
+        "SELECT * FROM orders_2 WHERE order_id % 15 <> 0 AND order_id % 97 <> 0 "
+        "AND NOT (order_id % 14 = 0 AND order_id IN (SELECT order_id FROM orders_1))",
+    )
+    return "orders_1", "orders_2", "orders_3"
+
+
+def _history_oracles() -> dict[str, str]:
+    out = {}
+    q = Sql()
+    out["bronze_scan_split_array"] = q.query(
+        "SELECT CASE WHEN good THEN order_id END AS order_id, CASE WHEN good THEN order_status END AS order_status, "
+        "CASE WHEN good THEN CAST(order_total_amount AS VARCHAR) END AS order_total_amount, "
+        "CASE WHEN good THEN 'a \"quoted\" } brace { \\' END AS note "
+        f"FROM (SELECT *, order_id % 50 <> 0 AS good FROM {q.feed('orders')}) AS f"
+    )
+    q = Sql()
+    one, _, three = _order_states(q)
+    out["change_feed_images"] = q.query(
+        "SELECT coalesce(a.order_id, b.order_id) AS order_id, CASE WHEN a.order_id IS NULL THEN 'insert' "
+        "WHEN b.order_id IS NULL THEN 'delete' ELSE 'update' END AS _action, a.order_status AS before_order_status, "
+        "a.order_total_amount AS before_order_total_amount, b.order_status AS after_order_status, "
+        f"b.order_total_amount AS after_order_total_amount FROM {one} a FULL JOIN {three} b ON a.order_id = b.order_id "
+        "WHERE a.order_id IS NULL OR b.order_id IS NULL OR (a.order_status, a.order_total_amount, a.currency) "
+        "IS DISTINCT FROM (b.order_status, b.order_total_amount, b.currency)",
+        ("before_order_total_amount", "after_order_total_amount"),
+    )
+    q = Sql()
+    out["kpi_incremental"] = q.query(
+        " UNION ALL ".join(
+            f"SELECT order_status, currency, count(*) AS rows, sum(order_total_amount) AS order_total_amount, {n} AS batch "
+            f"FROM {state} GROUP BY 1, 2"
+            for n, state in enumerate(_order_states(q), 1)
+        ),
+        ("order_total_amount",),
+    )
+    q = Sql()
+    items, orders = q.silver("order_items", 1), q.silver("orders", 1)
+    out["dq_orphans_redrive"] = q.query(
+        "SELECT i.order_item_id, i.order_id, CASE WHEN i.order_id IS NULL THEN 1 WHEN o.order_id IS NULL THEN NULL "
+        f"WHEN o.order_id % 2 = 0 THEN 2 ELSE 1 END AS load FROM {items} i LEFT JOIN {orders} o ON i.order_id = o.order_id"
+    )
+    out["pit_lookup_long_history"] = (
+        "WITH prices AS (SELECT l_suppkey AS supplier, l_shipdate AS since, "
+        "max((l_extendedprice, l_orderkey)) AS v FROM lineitem GROUP BY 1, 2), "
+        "spans AS (SELECT *, lead(since) OVER (PARTITION BY supplier ORDER BY since) AS until FROM prices), "
+        "facts AS (SELECT l_orderkey AS order_id, l_linenumber AS line, "
+        "CASE WHEN l_linenumber <> 7 THEN l_suppkey END AS supplier, l_shipdate + to_days(l_linenumber - 4) AS at FROM lineitem) "
+        "SELECT f.*, v[1] AS price, v[2] AS price_order FROM facts f LEFT JOIN spans s ON f.supplier = s.supplier "
+        "AND f.at >= s.since AND (f.at < s.until OR s.until IS NULL)"
+    )
+    return out
+
+
 def all_oracles() -> dict[str, str]:
-    return _bronze_oracles() | _silver_oracles() | _gold_oracles() | _load_oracles()
+    return (
+        _bronze_oracles() | _silver_oracles() | _gold_oracles() | _load_oracles() | _history_oracles()
+    )

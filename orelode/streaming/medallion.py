@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from orelode.functions.dates import ntz
 from orelode.operators.changes import BATCH, net_changes
+from orelode.operators.dedup import latest_per_key
 from orelode.operators.keys import assign_keys
 from orelode.operators.merge import MergeRule, duplicate_keys, insert_all, merge_changes
 from orelode.operators.quality import DQ_SCHEMA, quarantined
@@ -33,6 +34,13 @@ from orelode.specs import (
     FactSpec, IngestEntry,
 )
 
+#: The parent that an entity's rows need, and the column that names it in both.
+PARENTS = {
+    "order_items": ("orders", "order_id"),
+    "payments": ("orders", "order_id"),
+    "shipments": ("orders", "order_id"),
+    "addresses": ("customers", "customer_id"),
+}
 BRONZE_COLUMNS = ("payload", "ingestion_ts", "source_file")
 BatchFn = Callable[[DataFrame, int], None]
 
@@ -49,6 +57,7 @@ class Options:
     parallel: int = 8  # loads of independent tables run at the same time
     max_files: int = 1000  # raw files per bronze micro-batch
     snapshot_every: int = 16
+    hold_orphans: bool = False  # children wait outside silver until their parent is there
     buckets: int = 0  # key buckets that tables are laid out by; 0: none
 
 
@@ -288,8 +297,10 @@ class Medallion:
 
     def load_silver(self, run_id: str, load_ts: str) -> None:
         log = self._log(run_id)
+        held = PARENTS if self.options.hold_orphans else {}
+        groups = [[s for n, s in ENTITIES.items() if n not in held], [ENTITIES[n] for n in held]]
         self._layer(
-            "SILVER", log, [[lambda s=s: self._silver(s, log, run_id, load_ts) for s in ENTITIES.values()]]
+            "SILVER", log, [[lambda s=s: self._silver(s, log, run_id, load_ts) for s in group] for group in groups]
         )
 
     def _silver(self, spec: EntitySpec, log: AuditLog, run_id: str, load_ts: str) -> None:
@@ -304,6 +315,13 @@ class Medallion:
             if not exists(self.spark, path):
                 return
             stream = file_stream(self.spark).schema(f"{BRONZE_SCHEMA}, {BATCH} bigint").parquet(path)
+            if self.options.hold_orphans and spec.name in PARENTS:
+                parent = self.silver(PARENTS[spec.name][0])
+                stream = stream.withColumn("_from", F.lit(spec.name))
+                if exists(self.spark, f"{parent.path}/changes"):
+                    # New parents make a batch too, be there new children or not.
+                    arrived = parent.feed_stream().select(BATCH, F.lit("parents").alias("_from"))
+                    stream = stream.unionByName(arrived, allowMissingColumns=True)
             self._run(stream, self.silver_batch(spec, step, run_id, load_ts), f"silver_{spec.name}")
 
     def silver_batch(self, spec: EntitySpec, step: Step, run_id: str, load_ts: str) -> BatchFn:
@@ -312,6 +330,8 @@ class Medallion:
 
         def write(batch: DataFrame, batch_id: int) -> None:
             batch = self._fresh(batch, f"silver/{spec.name}", batch_id)
+            if "_from" in batch.columns:
+                batch = batch.where(F.col("_from") == spec.name)
             tagged = tag(batch.select(*BRONZE_COLUMNS), spec, self.options.strict_quality)
             watched, verdicts = observe_verdicts(tagged, f"dq_{spec.name}_{batch_id}")
             errors = f"{self.root}/common/dq_errors/{spec.name}/{BATCH}={batch_id}"
@@ -319,6 +339,8 @@ class Medallion:
             table.compact(batch_id)
             # Read a second time rather than cached: a first load may exceed the executors' disks.
             source = silver_source(tagged, spec)
+            if self.options.hold_orphans and spec.name in PARENTS:
+                source = self._with_parents(source, spec, batch_id)
             if table.is_new(batch_id):
                 changes = insert_all(source, rule, ntz(load_ts))
             else:
@@ -336,6 +358,33 @@ class Medallion:
 
         return write
 
+    def waiting(self, entity: str, before: int | None = None) -> DataFrame:
+        """The rows of an entity that wait for their parent, as of its last batch or one before ``before``."""
+        path = f"{self.root}/waiting/{entity}"
+        done = [b for b in complete_batches(self.spark, path, BATCH) if before is None or b < before]
+        schema = self.silver(entity).schema
+        if not done:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{path}/{BATCH}={done[-1]}")
+
+    def _with_parents(self, source: DataFrame, spec: EntitySpec, batch_id: int) -> DataFrame:
+        """New and waiting rows whose parent is there; the others are written to wait for the next batch.
+
+        Of a new and a waiting image of one key the newer stays, as within a batch. A row without reference
+        waits for nobody. Each batch replaces the rows that wait, so one that is accepted is accepted once.
+        """
+        parent, column = PARENTS[spec.name]
+        rows = latest_per_key(source.unionByName(self.waiting(spec.name, batch_id).select(*source.columns)), spec)
+        rows = self._staged(rows, f"candidates/{spec.name}", batch_id)
+        wanted = rows.where(F.col(column).isNotNull()).select(column).distinct()
+        known = self.silver(parent).state(touching=wanted).select(column)
+        orphans = rows.where(F.col(column).isNotNull()).join(known, column, "left_anti").select(*source.columns)
+        orphans.write.mode("overwrite").parquet(f"{self.root}/waiting/{spec.name}/{BATCH}={batch_id}")
+        held = self.waiting(spec.name, batch_id + 1).select(spec.key)
+        # Against what was written to wait, by key: a row is in one of the two, whatever arrives meanwhile.
+        same = F.col(spec.key).eqNullSafe(F.col("_held"))
+        return rows.join(held.withColumnRenamed(spec.key, "_held"), same, "left_anti")
+
     # Gold -----------------------------------------------------------------------------------
 
     def load_gold(self, run_id: str, load_ts: str) -> None:

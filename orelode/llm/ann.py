@@ -59,9 +59,9 @@ class Settings:
         return np.array(moves)
 
 
-def _codes(cells: np.ndarray) -> np.ndarray:
-    """One number per cell, of coordinates along the last axis."""
-    code = np.zeros(cells.shape[:-1], np.uint64)
+def _codes(cells: np.ndarray, dimension: int) -> np.ndarray:
+    """One number per cell, of coordinates along the last axis; vectors of two dimensions share none."""
+    code = mix(np.full(cells.shape[:-1], dimension, np.uint64))
     for k in range(cells.shape[-1]):
         code = mix(code + cells[..., k].astype(np.uint64) + np.uint64(k + 1))
     return code.view(np.int64)
@@ -86,7 +86,7 @@ def _hashed(settings: Settings, query: bool, single: bool):
     def filed(batch, rows, part, places, cells):
         n, t = cells.shape[:2]
         yield emit(batch, np.repeat(rows, t), np.repeat(part, t, 0),
-                   np.tile(np.arange(t), n), _codes(cells).ravel())
+                   np.tile(np.arange(t), n), _codes(cells, part.shape[1]).ravel())
 
     def probed(batch, rows, part, places, cells):
         low = (places - cells) ** 2  # squared distance to the lower wall, then to the upper
@@ -96,7 +96,7 @@ def _hashed(settings: Settings, query: bool, single: bool):
         count = min(settings.probes, len(moves))
         best = np.argpartition(cost, count - 1, axis=2)[:, :, :count]
         n, t = cells.shape[:2]
-        codes = _codes(cells[:, :, None, :] + moves[best])
+        codes = _codes(cells[:, :, None, :] + moves[best], part.shape[1])
         yield emit(batch, np.repeat(rows, t * count), np.repeat(part, t * count, 0),
                    np.tile(np.repeat(np.arange(t), count), n), codes.ravel())
 
@@ -117,12 +117,15 @@ def nearest(
     """``(query_id, rank, vec_id, score)``: the ``k`` nearest found of each row that ``queries`` picks.
 
     ``queries`` is SQL over ``vec_id``. The measure is the cosine in double precision, ties go to the
-    smaller id, a row is never its own neighbour; rows that share an id are one row. NULL ids, and
+    smaller id, a row is never its own neighbour; rows that share an id are one row, of which the smallest vector
+    (compared component by component) counts. NULL ids, and
     vectors that are NULL, zero, empty or not finite, take no part. Vectors of different dimensions are
     never compared. Queries without any candidate have no rows, so an empty table gives none.
     """
     settings = settings or Settings()
-    rows = vector_rows(rows, vec_id, vector).dropDuplicates(["vec_id"])
+    rows = vector_rows(rows, vec_id, vector)
+    # One vector an id, the same whichever row comes first.
+    rows = rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
     single = is_single(rows)
     kind = "<f4" if single else "<f8"
     order = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))

@@ -64,7 +64,7 @@ class WordCodec:
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
         ends = [
             i for word, i in self.library.get_vocab().items()
@@ -77,7 +77,9 @@ class WordCodec:
         self.spelled = {c: spell(chr(c))[0][0] for c in range(0xC0, 0x100)}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        words = [_words(t) for t in texts]
+        # The library looks for added tokens before it lowers letters: such texts go to it whole.
+        whole = {i for i, t in enumerate(texts) if any(a in t.lower() for a in self.added)}
+        words = [[] if i in whole else _words(t) for i, t in enumerate(texts)]
         known = self.known
         new = {w for own in words for w in own if w not in known}
         if len(known) + len(new) > CACHED_WORDS:
@@ -85,7 +87,10 @@ class WordCodec:
             new = set().union(*words)
         self._learn(new)
         get = known.__getitem__
-        return [np.frombuffer(b"".join(map(get, own)), "<u4") for own in words]
+        return [
+            np.frombuffer(self._library(texts[i]) if i in whole else b"".join(map(get, own)), "<u4")
+            for i, own in enumerate(words)
+        ]
 
     def _learn(self, new: set[str]) -> None:
         """Letters and a tail of signs are two matches of the vocabulary's pattern, whose ids add up.

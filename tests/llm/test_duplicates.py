@@ -296,3 +296,21 @@ def test_recall(spark, sf_dir):
         hits += len(best & {r["vec_id"] for r in found if r["query_id"] == ids[q]})
         total += 5
     assert hits >= 0.9 * total
+
+
+def test_nearest_of_mixed_dimensions_and_repeated_ids(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.standard_normal(3 if i % 2 else 5).tolist()) for i in range(60)]
+    # Two vectors of one id: the smaller counts, in whichever order they come.
+    twice = [(0, [9.0, 0.0, 0.0, 0.0, 0.0]), (7, [-9.0, 0.5, 0.5])]
+    want = None
+    for order in (rows + twice, twice + rows[::-1]):
+        df = spark.createDataFrame(order, "vec_id long, embedding array<double>").repartition(4)
+        got = sorted(map(tuple, ann.nearest(df, "vec_id", "embedding", "vec_id % 10 = 0 or vec_id = 7").collect()))
+        assert want is None or got == want
+        want = got
+    vectors = dict(rows) | {7: min(rows[7][1], [-9.0, 0.5, 0.5])}
+    assert all(len(vectors[q]) == len(vectors[v]) for q, _, v, _ in got) and got
+    for q, _, v, score in got:
+        a, b = np.array(vectors[q]), np.array(vectors[v])
+        assert abs(score - a @ b / np.sqrt((a @ a) * (b @ b))) < 1e-12

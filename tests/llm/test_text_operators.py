@@ -76,7 +76,6 @@ def test_bpe_columns(spark):
 
 def library_ids(texts):
     t = Tokenizer.from_file(WORDS)
-    t.encode_special_tokens = True
     return [
         np.array([*t.encode(x or "", add_special_tokens=False).ids, 2], "<u4") for x in texts
     ]
@@ -101,7 +100,8 @@ def check_packing(out, texts, most):
 
 
 def test_packing_cases(spark):
-    texts = [*ODD, "same one.", "same one.", "wörd " * 9_000, "a." * 5_000, "Long " + "x" * 9_000]
+    texts = [*ODD, "same one.", "same one.", "wörd " * 9_000, "a." * 5_000, "Long " + "x" * 9_000,
+             "a <|endoftext|> b", "A<|startoftext|>b <|ENDOFTEXT|> <|x|>", "<|endoftext|>"]
     df = spark.createDataFrame(rows(texts), SCHEMA)
     for most in (4096, 100):
         check_packing(packing.pack(df, "doc_id", "text", WORDS, most).collect(), texts, most)

@@ -106,36 +106,51 @@ def scan(
         pairs = [(k, t) for k, own in templates.items() for t in ([own] if isinstance(own, str) else own)]
     # One of each wording.
     pairs = [(k, " ".join(own)) for k, own in dict.fromkeys((k, tuple(_split(t))) for k, t in pairs)]
-    given = spark.createDataFrame(pairs or [("", "")], "license string, template string")
-    known = given.select("license", shingles(words(F.col("template"))).alias("all")).filter(F.size("all") > 0)
+    numbered = [(n, *pair) for n, pair in enumerate(pairs)]
+    given = spark.createDataFrame(numbered or [(0, "", "")], "wording int, license string, template string")
+    known = given.select(
+        "wording", "license", shingles(words(F.col("template"))).alias("all")
+    ).filter(F.size("all") > 0)
+    wanted = known.select("wording", "license", F.array_distinct("all").alias("wanted"))
     reach = max((len(_split(t)) for _, t in pairs), default=0)
     index = known.select(
-        "license", F.array_distinct("all").alias("wanted"),
+        "wording",
         F.explode(F.transform(
             F.sequence(F.lit(0), F.greatest(F.size("all") - WINDOW, F.lit(0))),
             lambda i: F.slice(F.col("all"), i + 1, WINDOW),
         )).alias("window"),
-    ).select("license", "wanted", F.explode(slots(F.col("window"))).alias("slot")).distinct()
+    ).select("wording", F.explode(slots(F.col("window"))).alias("slot")).distinct()
 
     # Each step leaves through a generator: else the optimizer would work its expression out anew for
     # every shingle that refers to it.
     needed = sorted(set().union(*(needed_words(t) for _, t in pairs)))
     hopeful = F.lower(F.col(text).cast("string")).rlike("|".join(needed) or "$^")
-    found = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    found = found.filter(hopeful).select("doc_id", F.explode(F.array(words(F.col("text")))).alias("words"))
-    found = found.select("doc_id", F.explode(F.array(shingles(F.col("words")))).alias("all"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).filter(hopeful)
+    # 128 bits for an id with its text: equal rows are one.
+    name = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string"), F.lit("\n")), F.lit("-"))
+    rows = rows.withColumn("key", F.substring(F.sha2(F.concat(name, "text").cast("binary"), 256), 1, 32))
+    found = rows.select("key", F.explode(F.array(words(F.col("text")))).alias("words"))
+    found = found.select("key", F.explode(F.array(shingles(F.col("words")))).alias("all"))
     starts = F.when(
         F.size("all") > 0, F.sequence(F.lit(0), F.greatest(F.size("all") - 1, F.lit(0)), F.lit(STRIDE))
     ).otherwise(F.array().cast("array<int>"))
-    low = lambda s: F.greatest(s - reach, F.lit(0))
-    windows = found.select("doc_id", F.explode(F.transform(starts, lambda s: F.struct(
+    windows = found.select("key", F.explode(F.transform(starts, lambda s: F.struct(
         s.alias("start"), F.slice(F.col("all"), s + 1, WINDOW).alias("window"),
-        F.slice(F.col("all"), low(s) + 1, s - low(s) + WINDOW + reach).alias("around"),
-    ))).alias("w")).select("doc_id", "w.*")
-    banded = windows.select("doc_id", "start", "around", F.explode(slots(F.col("window"))).alias("slot"))
+    ))).alias("w")).select("key", "w.*")
+    # Only places and band hashes meet the index; a text comes again for the few windows that do.
+    banded = windows.select("key", "start", F.explode(slots(F.col("window"))).alias("slot"))
+    met = banded.join(index, "slot").groupBy("key").agg(F.collect_set(F.struct("start", "wording")).alias("met"))
+    again = rows.dropDuplicates(["key"]).join(met, "key")
+    again = again.select("doc_id", "met", F.explode(F.array(words(F.col("text")))).alias("words"))
+    again = again.select("doc_id", "met", F.explode(F.array(shingles(F.col("words")))).alias("all"))
+    low = lambda s: F.greatest(s - reach, F.lit(0))
+    checked = again.select("doc_id", F.explode(F.transform("met", lambda m: F.struct(
+        m["wording"].alias("wording"), m["start"].alias("start"),
+        F.slice(F.col("all"), low(m["start"]) + 1, m["start"] - low(m["start"]) + WINDOW + reach).alias("around"),
+    ))).alias("m")).select("doc_id", "m.*")
     share = F.size(F.array_intersect("around", "wanted")) / F.size("wanted")
     return (
-        banded.join(index, "slot")
+        checked.join(wanted, "wording")
         .select("doc_id", "license", "start", share.alias("containment"))
         .filter(F.col("containment") >= CONTAINMENT)
         .groupBy("doc_id", "license")

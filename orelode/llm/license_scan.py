@@ -63,6 +63,10 @@ def shingles(own: Column) -> Column:
     ).otherwise(F.array().cast("array<bigint>"))
 
 
+#: Entries of the index up to which it is sent to all executors (about 30 MB there); more are joined by shuffles.
+BROADCAST_ENTRIES = 1_000_000
+
+
 def slots(window: Column) -> Column:
     """The hash of each band: which one, and the least of the window's values under it."""
     return F.transform(
@@ -137,6 +141,10 @@ def scan(
     windows = found.select("key", F.explode(F.transform(starts, lambda s: F.struct(
         s.alias("start"), F.slice(F.col("all"), s + 1, WINDOW).alias("window"),
     ))).alias("w")).select("key", "w.*")
+    # Twelve bytes an entry; the wordings are in the driver's hands, so their number is known.
+    entries = BANDS * sum(max(len(_split(t)) - SHINGLE - WINDOW + 2, 1) for _, t in pairs)
+    if entries <= BROADCAST_ENTRIES:
+        index = F.broadcast(index)
     # Only places and band hashes meet the index; a text comes again for the few windows that do.
     banded = windows.select("key", "start", F.explode(slots(F.col("window"))).alias("slot"))
     met = banded.join(index, "slot").groupBy("key").agg(F.collect_set(F.struct("start", "wording")).alias("met"))

@@ -116,14 +116,18 @@ def _discounts(ones: int, twos: int, threes: int, fours: int) -> tuple[float, fl
 
 @dataclass(frozen=True)
 class QualityModel:
-    """For each order the n-grams with their discounted share, and the contexts with what is left."""
+    """One model or several, side by side in the columns of the same tables.
+
+    For each order the n-grams with their discounted shares, and the contexts with what is left.
+    """
 
     shares: tuple[DataFrame, ...]
     rests: tuple[DataFrame, ...]
+    models: int = 1
 
     def log_probs(self, wanted: DataFrame) -> DataFrame:
-        """``(gram, logp)`` for each row of ``wanted``, whose grams are all different."""
-        lower = None
+        """``(gram, logp0, logp1, ...)`` for each row of ``wanted``, whose grams are all different."""
+        each, lower = range(self.models), None
         for order in range(1, ORDER + 1):
             need = wanted if order == ORDER else wanted.select(
                 F.col("gram").bitwiseAND((1 << BITS * order) - 1).alias("gram")
@@ -131,14 +135,14 @@ class QualityModel:
             found = need.join(self.shares[order - 1], "gram", "left").withColumn(
                 "context", F.shiftrightunsigned("gram", BITS)
             ).join(self.rests[order - 1], "context", "left")
-            back = F.lit(1 / SYMBOLS)
             if lower is not None:
                 suffix = F.col("gram").bitwiseAND((1 << BITS * (order - 1)) - 1)
                 found = found.withColumn("suffix", suffix).join(lower, "suffix")
-                back = F.col("below")
-            p = F.coalesce("share", F.lit(0.0)) + F.coalesce("rest", F.lit(1.0)) * back
-            lower = found.select(F.col("gram").alias("suffix"), p.alias("below"))
-        return lower.select(F.col("suffix").alias("gram"), F.log("below").cast("float").alias("logp"))
+            back = [F.lit(1 / SYMBOLS) if lower is None else F.col(f"below{k}") for k in each]
+            p = [F.coalesce(f"share{k}", F.lit(0.0)) + F.coalesce(f"rest{k}", F.lit(1.0)) * back[k] for k in each]
+            lower = found.select(F.col("gram").alias("suffix"), *(p[k].alias(f"below{k}") for k in each))
+        logs = (F.log(f"below{k}").cast("float").alias(f"logp{k}") for k in each)
+        return lower.select(F.col("suffix").alias("gram"), *logs)
 
 
 def fit(texts: DataFrame, text: str) -> QualityModel:
@@ -153,25 +157,38 @@ def _counts(packed: DataFrame) -> DataFrame:
     return top.groupBy("part", "gram").agg(F.sum("c").alias("c"))
 
 
-def _model(counts: DataFrame) -> QualityModel:
-    """The model of ``(gram, c)``, in which a gram may stand more than once."""
-    tables = [materialise(counts.groupBy("gram").agg(F.sum("c").alias("c")), "grams")]
+def _model(counts: DataFrame, without: Sequence[int | None] = (None,)) -> QualityModel:
+    """A model for each of ``without``: of all ``(part, gram, c)``, or of those outside that part.
+
+    A gram that one of the models lacks counts 0 in its column.
+    """
+    each = range(len(without))
+    own = [F.col("c") if part is None else F.when(F.col("part") != part, F.col("c")) for part in without]
+    top = counts.groupBy("gram").agg(*(F.coalesce(F.sum(own[k]), F.lit(0)).alias(f"c{k}") for k in each))
+    tables = [materialise(top, "grams")]
     for order in range(ORDER - 1, 0, -1):
         suffix = F.col("gram").bitwiseAND((1 << BITS * order) - 1).alias("gram")
-        tables.insert(0, tables[0].groupBy(suffix).agg(F.count("*").alias("c")))
+        tables.insert(0, tables[0].groupBy(suffix).agg(*(F.count_if(F.col(f"c{k}") > 0).alias(f"c{k}") for k in each)))
     shares, rests = [], []
     for table in tables:
-        seen = table.agg(*(F.count_if(F.col("c") == k) for k in (1, 2, 3, 4))).first()
-        d1, d2, d3 = _discounts(*seen)
-        d = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
+        # Four numbers a model.
+        seen = table.agg(*(F.count_if(F.col(f"c{k}") == n) for k in each for n in (1, 2, 3, 4))).first()
+        d = []
+        for k in each:
+            c, (d1, d2, d3) = F.col(f"c{k}"), _discounts(*seen[4 * k : 4 * k + 4])
+            d.append(F.when(c == 0, 0.0).when(c == 1, d1).when(c == 2, d2).otherwise(d3))
         context = F.shiftrightunsigned("gram", BITS)
+        # A context that a model has not seen leaves it NULL.
         sums = table.groupBy(context.alias("context")).agg(
-            F.sum("c").alias("s"), (F.sum(d) / F.sum("c")).alias("rest")
+            *(F.nullif(F.sum(f"c{k}"), F.lit(0)).alias(f"s{k}") for k in each),
+            *(F.sum(d[k]).alias(f"d{k}") for k in each),
         )
-        share = table.withColumn("context", context).join(sums, "context")
-        shares.append(materialise(share.select("gram", ((F.col("c") - d) / F.col("s")).alias("share")), "shares"))
-        rests.append(materialise(sums.select("context", "rest"), "rests"))
-    return QualityModel(tuple(shares), tuple(rests))
+        rest = [(F.col(f"d{k}") / F.col(f"s{k}")).alias(f"rest{k}") for k in each]
+        share = [((F.col(f"c{k}") - d[k]) / F.col(f"s{k}")).alias(f"share{k}") for k in each]
+        joined = table.withColumn("context", context).join(sums, "context")
+        shares.append(materialise(joined.select("gram", *share), "shares"))
+        rests.append(materialise(sums.select("context", *rest), "rests"))
+    return QualityModel(tuple(shares), tuple(rests), len(without))
 
 
 def _blocks(texts: list[str | None], state: list[int]) -> Iterator[tuple[slice, int]]:
@@ -271,13 +288,13 @@ def perplexity(
     ``docs`` must give the same rows in the same order whenever it is read, as tables do; the operator
     fails if it does not.
     """
-    return _perplexities(docs, text, {column: model}, keep_text)
+    return _perplexities(docs, text, model, [column], keep_text)
 
 
 def _perplexities(
-    docs: DataFrame, text: str, models: Mapping[str, QualityModel], keep_text: bool
+    docs: DataFrame, text: str, model: QualityModel, named: Sequence[str], keep_text: bool
 ) -> DataFrame:
-    """``perplexity`` under several models at once, each in the column it is named by."""
+    """``perplexity`` under each of the models of ``model``, in the columns ``named``."""
     docs = docs.withColumn(text, F.col(text).cast("string"))
     at = docs.columns.index(text)
     block = free_name(docs, "_block")
@@ -286,16 +303,14 @@ def _perplexities(
     packed = [*ddl[:at], f"`{text}` binary", *ddl[at + 1 :], f"`{block}` long"]
     asked = docs.mapInArrow(_ask(at), "block long, gram long")
     asked = materialise(asked, "asked")
-    wanted = asked.select("gram").distinct()
-    logs = [m.log_probs(wanted).withColumnRenamed("logp", f"logp{k}") for k, m in enumerate(models.values())]
-    known = reduce(lambda a, b: a.join(b, "gram"), logs)
+    known = model.log_probs(asked.select("gram").distinct())
     answers = asked.join(known, "gram")
-    answers = answers.select(F.col("block").alias(block), "gram", *(f"logp{k}" for k in range(len(logs))))
+    answers = answers.select(F.col("block").alias(block), "gram", *(f"logp{k}" for k in range(len(named))))
     tagged = docs.mapInArrow(_tag(at, [*fields, block]), ", ".join(packed))
     out = [n for n in fields if keep_text or n != text]
-    schema = ", ".join([*(f"`{n}` {fields[n]}" for n in out), *(f"`{n}` double" for n in models)])
+    schema = ", ".join([*(f"`{n}` {fields[n]}" for n in out), *(f"`{n}` double" for n in named)])
     return tagged.groupBy(block).cogroup(answers.groupBy(block)).applyInArrow(
-        _score(at, keep_text, [*out, *models]), schema
+        _score(at, keep_text, [*out, *named]), schema
     )
 
 
@@ -394,10 +409,10 @@ def _scored(
     ids = trusted.select(F.col(doc_id).alias("id")).filter("id is not null").distinct()
     counts = materialise(_counts(_trusted_texts(docs, ids, doc_id, text)), "counts")
     under = [free_name(docs, f"_under_{k}") for k in range(PARTS)]
-    models = {n: _model(counts.filter(F.col("part") != k)) for k, n in enumerate(under)}
+    model = _model(counts, range(PARTS))
     size = free_name(docs, "_size")
     sized = docs.withColumn(size, F.length(F.col(text).cast("string")))
-    found = _perplexities(sized, text, models, keep_text)
+    found = _perplexities(sized, text, model, under, keep_text)
     own = F.element_at(F.array(*under), _part(F.col(doc_id)) + 1)
     scored = materialise(found.withColumn(column, own).drop(*under), "scored")
     known = scored.select(

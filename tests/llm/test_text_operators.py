@@ -237,6 +237,26 @@ def test_perplexity_is_that_of_the_definition(spark):
     assert quality_lm.perplexity(df.limit(0), "text", model).count() == 0
 
 
+def test_models_side_by_side_equal_models_of_their_own(spark):
+    """A model without a part is that of the other parts; one of no text at all is uniform."""
+    rows = [(0, "abab abc"), (0, "zz"), (1, "abab"), (2, "the abc")]
+    texts = spark.createDataFrame(rows, "part int, text string").select("text", "part")
+    counts = quality_lm._counts(texts.mapInArrow(quality_lm._pack, "packed binary, part int"))
+    asked = quality_lm.grams(["abab", "zz q", "the", "\u4e2d"])[0]
+    wanted = spark.createDataFrame([(int(g),) for g in sorted(set(asked.tolist()))], "gram long")
+    both = quality_lm._model(counts, range(3)).log_probs(wanted)
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") < 50
+    found = {r[0]: r[1:] for r in both.collect()}
+    assert len(found) == wanted.count()
+    for k in range(3):
+        own = quality_lm._model(counts.filter(f"part <> {k}")).log_probs(wanted)
+        for gram, logp in own.collect():
+            assert found[gram][k] == pytest.approx(logp, rel=1e-6)
+    none = quality_lm._model(counts.filter("part = 0"), range(2)).log_probs(wanted)
+    assert all(r.logp0 == pytest.approx(-math.log(quality_lm.SYMBOLS)) for r in none.collect())
+
+
 def test_filter_without_trusted_documents_keeps_all_but_empty(spark):
     df = spark.createDataFrame(rows(["some text", None, ""]), SCHEMA)
     none = spark.createDataFrame([], "doc_id long")

@@ -742,7 +742,40 @@ def _history_oracles() -> dict[str, str]:
     return out
 
 
+def _reload_oracles() -> dict[str, str]:
+    out = {}
+    q = Sql()
+    out["bronze_reload_changed"] = q.query(
+        f"SELECT ingestion_ts, count(*) AS n, count(DISTINCT order_id) AS orders FROM {q.feed('orders')} GROUP BY 1"
+    )
+    q = Sql()
+    first, second = q.silver("orders", 1), q.changes("orders", 2)
+    late = q.define(
+        "late_orders",
+        f"SELECT order_id FROM {second} WHERE order_id IS NULL "
+        f"OR order_id NOT IN (SELECT order_id FROM {first} WHERE order_id IS NOT NULL)",
+    )
+    keys = q.define(
+        "order_keys",
+        f"SELECT order_id, row_number() OVER (ORDER BY order_id NULLS FIRST) AS fact_order_key FROM {first} UNION ALL "
+        f"SELECT order_id, (SELECT count(*) FROM {first}) + row_number() OVER (ORDER BY order_id NULLS FIRST) FROM {late}",
+    )
+    out["surrogate_keys_dense"] = q.query(
+        f"SELECT k.fact_order_key, k.order_id, s.order_status FROM {keys} k "
+        f"LEFT JOIN {q.silver('orders')} s ON k.order_id = s.order_id"
+    )
+    q = Sql()
+    silver = q.silver("customers")
+    out["masked_by_session_role"] = q.query(
+        "SELECT customer_id, CASE WHEN role_name = 'ETL_ROLE' THEN email ELSE '***MASKED***' END AS email, "
+        "CASE WHEN role_name = 'ETL_ROLE' THEN phone ELSE '***MASKED***' END AS phone, last_name, role_name "
+        f"FROM {silver} CROSS JOIN (VALUES ('ANALYST'), ('ETL_ROLE')) AS r(role_name)"
+    )
+    return out
+
+
 def all_oracles() -> dict[str, str]:
     return (
         _bronze_oracles() | _silver_oracles() | _gold_oracles() | _load_oracles() | _history_oracles()
+        | _reload_oracles()
     )

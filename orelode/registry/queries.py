@@ -20,7 +20,7 @@ from orelode.plans.silver import tag
 from orelode.plans.views import (
     orders_by_status, publish_views, revenue_by_month, shipping_by_carrier,
 )
-from orelode.registry import histories, loads
+from orelode.registry import histories, loads, reloads
 from orelode.registry.layers import Layers, present
 from orelode.sources.bronze import file_manifest
 from orelode.sources.feeds import bronze_feed, json_feed, typed_feed
@@ -366,6 +366,7 @@ def all_queries() -> dict[str, Query]:
         "stream_retry_idempotent": loads.stream_retry_idempotent,
         "medallion_end_to_end": loads.medallion_end_to_end,
         **histories.QUERIES,
+        **reloads.QUERIES,
     }
     return {name: _presented(q) for name, q in found.items()}
 

@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from orelode.functions.dates import ntz
 from orelode.operators.changes import BATCH, net_changes
 from orelode.operators.dedup import latest_per_key
+from orelode.operators.dense import dense_keys
 from orelode.operators.keys import assign_keys
-from orelode.operators.merge import MergeRule, duplicate_keys, insert_all, merge_changes
+from orelode.operators.merge import ACTION, INSERT, MergeRule, duplicate_keys, insert_all, merge_changes
 from orelode.operators.quality import DQ_SCHEMA, quarantined
 from orelode.operators.scd2 import scd2_changes, unknown_member
 from orelode.plans.audit import AuditLog, Step, observe_actions, observe_verdicts
@@ -27,6 +28,7 @@ from orelode.plans.gold import customer_source, dim_date, fact_source, product_s
 from orelode.plans.silver import silver_source, tag
 from orelode.plans.views import publish_views
 from orelode.sources.bronze import BRONZE_SCHEMA, bronze_rows, file_manifest, file_names, read_raw
+from orelode.sources.history import HISTORY_SCHEMA, unloaded_files
 from orelode.sources.paths import complete_batches, exists, file_stream, remove
 from orelode.sources.tables import ChangeTable
 from orelode.specs import (
@@ -59,6 +61,8 @@ class Options:
     snapshot_every: int = 16
     hold_orphans: bool = False  # children wait outside silver until their parent is there
     buckets: int = 0  # key buckets that tables are laid out by; 0: none
+    dense_keys: bool = False  # facts are numbered without gaps, new rows only
+    load_history: bool = False  # raw files are known by name, time and length, not by name alone
 
 
 _RANGES = "_from string, _low bigint, _high bigint"
@@ -138,6 +142,17 @@ class Medallion:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*(f"{path}/{BATCH}={b}" for b in done))
 
+    def loaded_files(self, entity: str) -> DataFrame:
+        """The raw files that were loaded, as they were then, where ``load_history`` is set."""
+        path = self._history_path(entity)
+        done = complete_batches(self.spark, path, BATCH)
+        if not done:
+            return self.spark.createDataFrame([], HISTORY_SCHEMA)
+        return self.spark.read.schema(HISTORY_SCHEMA).parquet(*(f"{path}/{BATCH}={b}" for b in done))
+
+    def _history_path(self, entity: str) -> str:
+        return f"{self.root}/common/load_history/{entity}"
+
     def audit(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/common/etl_logs")
 
@@ -262,9 +277,29 @@ class Medallion:
             step.add(processed_files=0)
             if not exists(self.spark, path):
                 return
+            if self.options.load_history:
+                self._load_unloaded(entry, step, load_ts, path)
+                return
             names = file_names(self.spark, path, self.options.max_files)
             self._run(names, self._bronze_batch(entry, step, load_ts), f"bronze_{entry.entity}")
 
+    def _load_unloaded(self, entry: IngestEntry, step: Step, load_ts: str, path: str) -> None:
+        """Load files that the history does not hold as they are, a batch at a time.
+
+        The history is written last: what died before it is done again under the same number. A file that
+        changes after it was listed stands in the history as listed, so it loads once more.
+        """
+        write, history = self._bronze_batch(entry, step, load_ts), self._history_path(entry.entity)
+        while True:
+            done = complete_batches(self.spark, history, BATCH)
+            batch_id = done[-1] + 1 if done else 0
+            new = unloaded_files(self.spark, path, self.loaded_files(entry.entity), self.options.max_files)
+            files = self._staged(new, f"files/{entry.entity}", batch_id)
+            if files.isEmpty():
+                return
+            write(files.select("path"), batch_id)
+            files.write.mode("overwrite").parquet(f"{history}/{BATCH}={batch_id}")
+
     def _bronze_batch(self, entry: IngestEntry, step: Step, load_ts: str) -> BatchFn:
         def write(names: DataFrame, batch_id: int) -> None:
             # As many names as a batch may have files.
@@ -506,9 +541,12 @@ class Medallion:
                     self.gold("dim_products").state(),
                     self.gold("dim_customers").state(),
                 )
-                source = assign_keys(
-                    rows, spec.surrogate, spec.key, batch_id, self._buckets(), unique=True
-                )
+                if self.options.dense_keys:
+                    source = rows.withColumn(spec.surrogate, F.lit(None).cast("bigint"))
+                else:
+                    source = assign_keys(
+                        rows, spec.surrogate, spec.key, batch_id, self._buckets(), unique=True
+                    )
                 table.compact(batch_id)
                 if table.is_new(batch_id):
                     changes = insert_all(source, rule, ntz(load_ts))
@@ -516,6 +554,8 @@ class Medallion:
                     touched = batch.select(spec.key).distinct()
                     target = table.state(before=batch_id, touching=touched)
                     changes = merge_changes(target, source, rule, ntz(load_ts))
+                if self.options.dense_keys:
+                    changes = self._numbered(changes, spec, batch_id)
                 changes, actions = observe_actions(changes, f"{spec.name}_{batch_id}")
                 table.write_changes(changes, batch_id)
                 a = actions.get
@@ -524,3 +564,16 @@ class Medallion:
                 )
 
             self._run(silver.feed_stream(), write, spec.name)
+
+    def _numbered(self, changes: DataFrame, spec: FactSpec, batch_id: int) -> DataFrame:
+        """A fact's changes, of which the inserted rows get the numbers after the last; others keep theirs."""
+        changes = self._staged(changes, f"unnumbered/{spec.name}", batch_id)
+        twice = duplicate_keys(changes.where(F.col(spec.key).isNotNull()), spec.key).take(1)
+        if twice:
+            raise AmbiguousSource(f"{spec.name}: {spec.key} {twice[0][0]} occurs more than once in the source")
+        table = self.gold(spec.name)
+        last = 0
+        if not table.is_new(batch_id):
+            last = table.state(before=batch_id).agg(F.max(spec.surrogate)).first()[0] or 0
+        inserted = dense_keys(changes.where(F.col(ACTION) == INSERT), spec.surrogate, spec.key, last)
+        return inserted.unionByName(changes.where(F.col(ACTION) != INSERT))

@@ -116,6 +116,11 @@ def scan(
         "wording", "license", shingles(words(F.col("template"))).alias("all")
     ).filter(F.size("all") > 0)
     wanted = known.select("wording", "license", F.array_distinct("all").alias("wanted"))
+    # Any four fifths of a wording's shingles hold one of these; the wordings bound their number.
+    spare = F.size("wanted") - F.ceil(F.size("wanted") * F.lit(CONTAINMENT) - F.lit(1e-9)).cast("int") + 1
+    telling = [str(r[0]) for r in wanted.select(F.explode(F.slice("wanted", F.lit(1), spare))).distinct().collect()]
+    tells = F.split(F.lit(",".join(telling)), ",") if telling else F.array()
+    tells = tells.cast("array<bigint>")
     reach = max((len(_split(t)) for _, t in pairs), default=0)
     index = known.select(
         "wording",
@@ -135,6 +140,7 @@ def scan(
     rows = rows.withColumn("key", F.substring(F.sha2(F.concat(name, "text").cast("binary"), 256), 1, 32))
     found = rows.select("key", F.explode(F.array(words(F.col("text")))).alias("words"))
     found = found.select("key", F.explode(F.array(shingles(F.col("words")))).alias("all"))
+    found = found.filter(F.arrays_overlap("all", tells))
     starts = F.when(
         F.size("all") > 0, F.sequence(F.lit(0), F.greatest(F.size("all") - 1, F.lit(0)), F.lit(STRIDE))
     ).otherwise(F.array().cast("array<int>"))

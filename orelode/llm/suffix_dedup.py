@@ -7,18 +7,21 @@ always meet. A shard sorts the suffixes of its text by induced sorting and compu
 prefixes; suffixes that share 200 bytes or more are repeats.
 
 Equal texts are one text. An anchor that occurs very often (a line that is on a third of all pages)
-would fill a shard by itself; its windows are dealt out by their own 128-bit hash instead and counted.
-Hashes of 40 bytes only choose what is compared, so their collisions cost time and change nothing.
+would fill a shard by itself. Equal texts around it are one text with a count there, which settles the
+copies; what differs is anchored anew by more of its bytes: the windows that hold the anchor at offsets
+of one half of a range share a longer string than those of the whole range, and meet by that. Halves are
+halved until what differs fits a shard; at a single offset the string is the window, which is one text.
+Hashes only choose what is compared, so their collisions cost time and change nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +35,7 @@ WINDOW, ANCHOR = 200, 40
 _SPAN = WINDOW - ANCHOR + 1  # anchors a window may have
 #: Bytes of different text that one suffix array covers, or so many again.
 SHARD_BYTES = 2_000_000
-#: An anchor that occurs more often, so that its windows' text might not fit, is dealt out by windows.
+#: An anchor with more texts, which might not fit a shard, is replaced by longer ones.
 OFTEN = SHARD_BYTES // (WINDOW + _SPAN)
 #: Bytes that one vectorised step takes, unless one text is longer.
 STEP_BYTES = 1_500_000
@@ -109,7 +112,7 @@ def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     p, who = place[a], own[a]
                     yield pa.RecordBatch.from_arrays([
                         pa.array(codes[p].view(np.int64)),
-                        pa.array(keys[begin:stop], pa.string()).take(pa.array(who)),
+                        pa.array(keys[begin:stop], pa.binary()).take(pa.array(who)),
                         pa.array(p - starts[who], pa.int64()),
                         pa.array((p - windows[a]).astype(np.int16)),
                         pa.array((p - windows[z]).astype(np.int16)),
@@ -118,44 +121,31 @@ def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each text, for each listed anchor: the text of its windows, or one hash for each window."""
+    """Of each text, for each listed anchor: the text of its windows, where it starts and the offsets."""
     for batch in _few(batches):
         names, texts = batch.column(0).to_pylist(), _texts(batch, 1)
-        lists = batch.column(2).to_pylist()
-        for name, text, found in zip(names, texts, lists):
-            rows: list[tuple] = []
-            size, often = 0, [x for x in found if x["often"]]
-            for x in found:
-                if not x["often"]:
-                    a, b = x["place"] - x["back"], x["place"] - x["ahead"]
-                    part = text[a : b + WINDOW]
-                    rows.append((x["hash"], None, name, a, part))
-                    size += len(part)
-                    if size > STEP_BYTES:
-                        yield _regions(rows)
-                        rows, size = [], 0
-            if rows:
-                yield _regions(rows)
-            if often:
-                data = np.frombuffer(text, np.uint8)
-                one, two = hashes(data, WINDOW, 1), hashes(data, WINDOW, 2)
-                at = np.unique(np.concatenate([
-                    np.arange(x["place"] - x["back"], x["place"] - x["ahead"] + 1) for x in often
-                ]))
-                for k in range(0, len(at), 100_000):
-                    p = at[k : k + 100_000]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(one[p].view(np.int64)), pa.array(two[p].view(np.int64)),
-                        pa.array([name] * len(p), pa.string()), pa.array(p, pa.int64()),
-                        pa.nulls(len(p), pa.binary()),
-                    ], names=["hash", "other", "key", "start", "region"])
+        owner = np.repeat(np.arange(len(names)), batch.column(2).value_lengths().to_numpy())
+        anchors = pa.RecordBatch.from_struct_array(batch.column(2).flatten())
+        rows: list[tuple] = []
+        size = 0
+        for k in range(0, len(owner), 4_096):
+            columns = (c.to_pylist() for c in anchors.slice(k, 4_096).columns)
+            for who, code, place, back, ahead, often in zip(owner[k : k + 4_096].tolist(), *columns):
+                part = texts[who][place - back : place - ahead + WINDOW]
+                rows.append((code, names[who], place - back, ahead, back, often, part))
+                size += len(part)
+                if size > STEP_BYTES:
+                    yield _regions(rows)
+                    rows, size = [], 0
+        if rows:
+            yield _regions(rows)
 
 
 def _regions(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary())
+    kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int16(), pa.int16(), pa.bool_(), pa.binary())
     return pa.RecordBatch.from_arrays(
         [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-        names=["hash", "other", "key", "start", "region"],
+        names=["hash", "key", "start", "low", "high", "often", "region"],
     )
 
 
@@ -189,17 +179,10 @@ def repeats(regions: list[bytes]) -> list[np.ndarray]:
 
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of repeated windows (key, first, last), from rows that come sorted by hash and window."""
-    held: list[tuple[str, int, bytes]] = []
+    """Runs of repeated windows (key, first, last), from rows that come sorted by hash."""
+    held: list[tuple[bytes, int, bytes]] = []
     size, last = 0, None
     seen: set[bytes] = set()
-    waiting = None  # the last of the single windows, whose equal may come next
-
-    def emit(keys, first, last_) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.string()), pa.array(first, pa.int64()), pa.array(last_, pa.int64())],
-            names=["key", "first", "last"],
-        )
 
     def found() -> pa.RecordBatch:
         keys, firsts, lasts = [], [], []
@@ -208,25 +191,13 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys += [key] * (len(edge) // 2)
             firsts.append(start + edge[::2])
             lasts.append(start + edge[1::2] - 1)
-        return emit(keys, np.concatenate(firsts), np.concatenate(lasts))
+        return pa.RecordBatch.from_arrays([
+            pa.array(keys, pa.binary()), pa.array(np.concatenate(firsts), pa.int64()),
+            pa.array(np.concatenate(lasts), pa.int64()),
+        ], names=["key", "first", "last"])
 
     for batch in batches:
-        single = pc.is_null(batch["region"])
-        windows = batch.filter(single)
-        if windows.num_rows:
-            one, two = windows["hash"].to_numpy(), windows["other"].to_numpy()
-            keys, start = windows["key"].to_pylist(), windows["start"].to_numpy()
-            same = (one[1:] == one[:-1]) & (two[1:] == two[:-1])
-            again = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-            if waiting is not None and waiting[0] == (one[0], two[0]):
-                again[0] = True
-                if not waiting[3]:
-                    yield emit([waiting[1]], [waiting[2]], [waiting[2]])
-            at = np.flatnonzero(again)
-            yield emit([keys[i] for i in at], start[at], start[at])
-            waiting = (one[-1], two[-1]), keys[-1], int(start[-1]), bool(again[-1])
-        rest = batch.filter(pc.invert(single))
-        columns = (rest[c].to_pylist() for c in ("hash", "key", "start", "region"))
+        columns = (batch[c].to_pylist() for c in ("hash", "key", "start", "region"))
         for code, key, start, region in zip(*columns):
             if code != last and size > SHARD_BYTES:
                 yield found()
@@ -240,13 +211,62 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield found()
 
 
+def _halved(rows: DataFrame, width: int) -> DataFrame:
+    """Each region cut at multiples of ``width`` offsets, under the string that a part's windows share."""
+    block = F.explode(F.sequence(F.floor(F.col("low") / width), F.floor(F.col("high") / width)))
+    rows = rows.withColumn("block", block).withColumn("top", F.col("high"))
+    least = F.col("block") * width
+    most = F.least(least + (width - 1), F.lit(_SPAN - 1))
+    rows = rows.withColumn("low", F.greatest("low", least)).withColumn("high", F.least("high", most))
+    skipped = F.col("top") - F.col("high")
+    rows = rows.withColumn("start", F.col("start") + skipped).withColumn(
+        "region", F.substring("region", (skipped + 1).cast("int"), (F.col("high") - F.col("low") + WINDOW).cast("int"))
+    )
+    shared = F.substring(
+        "region", (F.col("high") - least + 1).cast("int"), (F.lit(WINDOW) - (most - least)).cast("int")
+    )
+    return rows.withColumn("hash", F.xxhash64("block", shared)).select(*_HOT)
+
+
+_HOT = ("hash", "key", "start", "low", "high", "region")
+
+
+def _settle(hot: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Runs of the frequent anchors' windows that are found at once, and regions that shards can search.
+
+    Each round keeps one row for each different region, so that its rows, not those of the copies, are
+    halved in the next. The number of rounds is that of the halvings of a window's offsets.
+    """
+    runs, regions = [], []
+    width = 1 << (_SPAN - 1).bit_length()
+    while True:
+        one = F.min(F.struct("key", "start", "low", "high"))
+        same = materialise(
+            hot.groupBy("hash", "region").agg(F.count("*").alias("n"), one.alias("one")), "same-regions"
+        )
+        # A region that occurs twice is a repeat from end to end, in all of its places.
+        twice = same.filter("n > 1").select("hash", "region")
+        runs.append(hot.join(twice, ["hash", "region"], "left_semi").select(
+            "key", F.col("start").alias("first"),
+            (F.col("start") + F.length("region") - WINDOW).alias("last"),
+        ))
+        sizes = same.groupBy("hash").agg(F.count("*").alias("different")).filter("different > 1")
+        rows = same.join(sizes, "hash").select("hash", "one.*", "region", "different")
+        regions.append(rows.filter(F.col("different") <= OFTEN).select(*_HOT))
+        hot = rows.filter(F.col("different") > OFTEN)
+        if width == 1 or hot.isEmpty():
+            return runs, regions
+        width //= 2
+        hot = materialise(_halved(hot, width), "halved-regions")
+
+
 def repeated_windows(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``(key, first, last)``: runs of windows of each text that also start elsewhere.
 
     ``docs`` has one key for equal texts; the copies of a text beyond the first are not looked at here.
     """
     anchored = docs.select(key, text).mapInArrow(
-        _find_anchors, "hash long, key string, place long, back short, ahead short"
+        _find_anchors, "hash long, key binary, place long, back short, ahead short"
     )
     spot = F.xxhash64("key", "place")
     # Stored, so that the join below reads both sides from plain shuffles and a hot anchor can be split.
@@ -261,11 +281,19 @@ def repeated_windows(docs: DataFrame, key: str, text: str) -> DataFrame:
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).groupBy("key").agg(
         F.any_value("text").alias("text")
     )
-    cut = texts.join(wanted, "key").select("key", "text", "found").mapInArrow(
-        _cut, "hash long, other long, key string, start long, region binary"
-    )
-    dealt = cut.repartition("hash").sortWithinPartitions("hash", "other")
-    return dealt.mapInArrow(_search, "key string, first long, last long")
+    # Stored, as what is frequent takes a way of its own.
+    cut = materialise(texts.join(wanted, "key").select("key", "text", "found").mapInArrow(
+        _cut, "hash long, key binary, start long, low short, high short, often boolean, region binary"
+    ), "regions")
+    narrow = ("hash", "key", "start", "region")
+    runs, regions = [], [cut.filter("not often")]
+    if not shared.filter("often").isEmpty():
+        runs, more = _settle(cut.filter("often").select(*_HOT))
+        regions += more
+    rows = reduce(DataFrame.unionByName, [r.select(*narrow) for r in regions])
+    dealt = rows.repartition("hash").sortWithinPartitions("hash")
+    found = dealt.mapInArrow(_search, "key binary, first long, last long")
+    return reduce(DataFrame.unionByName, runs, found)
 
 
 def covered(size: int, first: list[int] | np.ndarray, last: list[int] | np.ndarray) -> list[tuple[int, int]]:
@@ -324,7 +352,7 @@ def remove_repeats(docs: DataFrame, text: str, cleaned: str = "cleaned") -> Data
     """
     data = F.coalesce(F.col(text).cast("binary"), F.lit(b"").cast("binary"))
     keyed = docs.select(F.col(text).cast("string").alias("text")).filter(F.length(data) >= WINDOW)
-    keyed = keyed.select(text_key(F.col("text")).alias("key"), "text")
+    keyed = keyed.select(F.unhex(text_key(F.col("text"))).alias("key"), "text")
     counts = keyed.groupBy("key").agg(F.count("*").alias("copies"))
     runs = repeated_windows(keyed, "key", "text").groupBy("key").agg(
         F.collect_list(F.struct("first", "last")).alias("runs")
@@ -332,7 +360,7 @@ def remove_repeats(docs: DataFrame, text: str, cleaned: str = "cleaned") -> Data
     facts = materialise(counts.filter("copies > 1").join(runs, "key", "full"), "repeats")
     key, copies, found = (free_name(docs, n) for n in ("_key", "_copies", "_runs"))
     facts = facts.select(F.col("key").alias(key), F.col("copies").alias(copies), F.col("runs").alias(found))
-    marked = docs.withColumn(key, text_key(F.col(text).cast("string"))).join(facts, key, "left")
+    marked = docs.withColumn(key, F.unhex(text_key(F.col(text).cast("string")))).join(facts, key, "left")
     marked = marked.withColumn(
         cleaned, cleaner()(data, F.coalesce(F.col(copies), F.lit(1)), F.col(found))
     )

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import ctypes
+from collections.abc import Callable, Iterator, Sequence
+from functools import wraps
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +36,42 @@ def steps(texts: Sequence[str | None], limit: int = STEP_CHARS) -> Iterator[slic
         yield slice(begin, len(texts))
 
 
+def give_back() -> None:
+    """Returns memory that this worker no longer uses, so that idle workers of a long session stay small."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+#: How to drop what this worker remembers between partitions, by the operator that remembers it.
+_REMEMBERED: dict[str, Callable[[], None]] = {}
+
+
+def remember(owner: str, forget: Callable[[], None]) -> None:
+    _REMEMBERED[owner] = forget
+
+
+def forget_others(owner: str) -> None:
+    """Drops what this worker remembers for other operators than ``owner``."""
+    for name in [n for n in _REMEMBERED if n != owner]:
+        _REMEMBERED.pop(name)()
+
+
+def frugal(step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], owner: str = ""):
+    """A step for ``mapInArrow`` that drops other operators' memory first and gives back its own at the end."""
+
+    @wraps(step)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others(owner)
+        try:
+            yield from step(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def text_key(text: Column) -> Column:
     """128 bits that stand for a text; NULL stays NULL."""
     data = text.cast("binary")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from orelode.llm.common import free_name, steps
+from orelode.llm.common import free_name, frugal, steps
 from orelode.llm.components import components
 from orelode.llm.words import mix, shingle_hashes, weighted_sets, word_hashes
 from orelode.sources.paths import materialise
@@ -277,7 +277,7 @@ def near_duplicates(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     rows = rows.filter("id is not null")
     signed = materialise(
-        rows.mapInArrow(_sign, "id long, key_a long, key_b long, bands array<long>, signature binary"), "signatures"
+        rows.mapInArrow(frugal(_sign), "id long, key_a long, key_b long, bands array<long>, signature binary"), "signatures"
     )
     # Copies: one representative stands for each different sequence of words.
     groups = signed.groupBy("key_a", "key_b").agg(F.min("id").alias("first"))
@@ -305,7 +305,7 @@ def near_duplicates(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     wanted = members.select("id").distinct()
     sets = materialise(
         rows.join(wanted.hint("merge"), "id", "left_semi").mapInArrow(
-            _pack_sets, "id long, shingles binary, counts binary"
+            frugal(_pack_sets), "id long, shingles binary, counts binary"
         ), "sets"
     )
     links = materialise(_verified(stars, signed, sets).unionByName(copies), "verified")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
-from orelode.llm.common import steps
+from orelode.llm.common import frugal, remember, steps
 
 MAX_TOKENS = 4096
 #: Id that ends each document.
@@ -207,6 +207,7 @@ def pack(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remember("packing", word_codec.cache_clear)
         codec, number = word_codec(tokenizer), TaskContext.get().partitionId() << 40
         held: list[tuple[int | None, int, int, np.ndarray]] = []  # id, start, all tokens, ids
         size = 0
@@ -259,5 +260,5 @@ def pack(
     )
     names = [c.split()[0] for c in SCHEMA.split(", ")]
     return docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(
-        run, SCHEMA
+        frugal(run, "packing"), SCHEMA
     )

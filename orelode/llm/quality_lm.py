@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orelode.llm.common import free_name, row_sums, steps
+from orelode.llm.common import free_name, frugal, row_sums, steps
 from orelode.sources.paths import materialise
 
 ORDER = 4
@@ -148,12 +148,12 @@ class QualityModel:
 def fit(texts: DataFrame, text: str) -> QualityModel:
     """The model of all rows of ``texts``. Without any text every character is equally likely."""
     own = texts.select(F.col(text).cast("string").alias("text"), F.lit(0).alias("part"))
-    packed = own.mapInArrow(_pack, "packed binary, part int")
+    packed = own.mapInArrow(frugal(_pack), "packed binary, part int")
     return _model(materialise(_counts(packed), "grams"))
 
 
 def _counts(packed: DataFrame) -> DataFrame:
-    top = packed.mapInArrow(_count, "part int, gram long, c long")
+    top = packed.mapInArrow(frugal(_count), "part int, gram long, c long")
     return top.groupBy("part", "gram").agg(F.sum("c").alias("c"))
 
 
@@ -301,12 +301,12 @@ def _perplexities(
     fields = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     ddl = [f"`{n}` {t}" for n, t in fields.items()]
     packed = [*ddl[:at], f"`{text}` binary", *ddl[at + 1 :], f"`{block}` long"]
-    asked = docs.mapInArrow(_ask(at), "block long, gram long")
+    asked = docs.mapInArrow(frugal(_ask(at)), "block long, gram long")
     asked = materialise(asked, "asked")
     known = model.log_probs(asked.select("gram").distinct())
     answers = asked.join(known, "gram")
     answers = answers.select(F.col("block").alias(block), "gram", *(f"logp{k}" for k in range(len(named))))
-    tagged = docs.mapInArrow(_tag(at, [*fields, block]), ", ".join(packed))
+    tagged = docs.mapInArrow(frugal(_tag(at, [*fields, block])), ", ".join(packed))
     out = [n for n in fields if keep_text or n != text]
     schema = ", ".join([*(f"`{n}` {fields[n]}" for n in out), *(f"`{n}` double" for n in named)])
     return tagged.groupBy(block).cogroup(answers.groupBy(block)).applyInArrow(
@@ -394,7 +394,7 @@ def _trusted_texts(docs: DataFrame, ids: DataFrame, doc_id: str, text: str) -> D
         F.col(text).cast("string").alias("text"), F.col(doc_id).alias("id"), _spot(F.col(doc_id)).alias("spot")
     )
     kind = docs.schema[doc_id].dataType.simpleString()
-    part = part.mapInArrow(near, f"packed binary, id {kind}")
+    part = part.mapInArrow(frugal(near), f"packed binary, id {kind}")
     return part.join(ids, "id", "left_semi").select("packed", _part(F.col("id")).alias("part"))
 
 

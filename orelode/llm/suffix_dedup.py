@@ -6,12 +6,13 @@ once repeat nowhere. The others, with their anchors, are dealt to shards by that
 always meet. A shard sorts the suffixes of its text by induced sorting and computes permuted common
 prefixes; suffixes that share 200 bytes or more are repeats.
 
-Equal texts are one text. An anchor that occurs very often (a line that is on a third of all pages)
-would fill a shard by itself. Equal texts around it are one text with a count there, which settles the
-copies; what differs is anchored anew by more of its bytes: the windows that hold the anchor at offsets
-of one half of a range share a longer string than those of the whole range, and meet by that. Halves are
-halved until what differs fits a shard; at a single offset the string is the window, which is one text.
-Hashes only choose what is compared, so their collisions cost time and change nothing.
+Equal texts are one text, and so are equal texts around an anchor: one text with a count, which settles
+its copies before any shard is made. A shard sorts what differs. An anchor with very many different
+texts (a line that is on a third of all pages) would fill a shard by itself. Such texts are anchored anew
+by more of their bytes: the windows that hold the anchor at offsets of one half of a range share a longer
+string than those of the whole range, and meet by that. Halves are halved until what differs fits a shard;
+at a single offset the string is the window, which is one text.
+Copies are told by 128 bits of a text; other hashes only choose what is compared.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orelode.llm.common import free_name, text_key
+from orelode.llm.common import free_name, frugal, text_key
 from orelode.llm.suffixes import permuted_common_prefixes, suffix_array
 from orelode.llm.words import mix
 from orelode.sources.paths import materialise
@@ -130,9 +131,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = 0
         for k in range(0, len(owner), 4_096):
             columns = (c.to_pylist() for c in anchors.slice(k, 4_096).columns)
-            for who, code, place, back, ahead, often in zip(owner[k : k + 4_096].tolist(), *columns):
+            for who, code, place, back, ahead in zip(owner[k : k + 4_096].tolist(), *columns):
                 part = texts[who][place - back : place - ahead + WINDOW]
-                rows.append((code, names[who], place - back, ahead, back, often, part))
+                rows.append((code, names[who], place - back, ahead, back, part))
                 size += len(part)
                 if size > STEP_BYTES:
                     yield _regions(rows)
@@ -142,10 +143,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _regions(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int16(), pa.int16(), pa.bool_(), pa.binary())
+    kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int16(), pa.int16(), pa.binary())
     return pa.RecordBatch.from_arrays(
         [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-        names=["hash", "key", "start", "low", "high", "often", "region"],
+        names=["hash", "key", "start", "low", "high", "region"],
     )
 
 
@@ -225,39 +226,38 @@ def _halved(rows: DataFrame, width: int) -> DataFrame:
     shared = F.substring(
         "region", (F.col("high") - least + 1).cast("int"), (F.lit(WINDOW) - (most - least)).cast("int")
     )
-    return rows.withColumn("hash", F.xxhash64("block", shared)).select(*_HOT)
-
-
-_HOT = ("hash", "key", "start", "low", "high", "region")
+    return rows.withColumn("hash", F.xxhash64("block", shared)).select(
+        "hash", "key", "start", "low", "high", "region"
+    )
 
 
-def _settle(hot: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
-    """Runs of the frequent anchors' windows that are found at once, and regions that shards can search.
+def _settle(rows: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Runs of windows in regions that occur twice, and the different regions, dealt so that shards hold them.
 
     Each round keeps one row for each different region, so that its rows, not those of the copies, are
-    halved in the next. The number of rounds is that of the halvings of a window's offsets.
+    halved in the next. There are as many rounds at most as a window's offsets can be halved.
     """
     runs, regions = [], []
     width = 1 << (_SPAN - 1).bit_length()
+    mark = F.unhex(F.md5("region")).alias("mark")
     while True:
         one = F.min(F.struct("key", "start", "low", "high"))
         same = materialise(
-            hot.groupBy("hash", "region").agg(F.count("*").alias("n"), one.alias("one")), "same-regions"
+            rows.groupBy("hash", "region").agg(F.count("*").alias("n"), one.alias("one")), "same-regions"
         )
         # A region that occurs twice is a repeat from end to end, in all of its places.
-        twice = same.filter("n > 1").select("hash", "region")
-        runs.append(hot.join(twice, ["hash", "region"], "left_semi").select(
-            "key", F.col("start").alias("first"),
-            (F.col("start") + F.length("region") - WINDOW).alias("last"),
-        ))
+        last = (F.col("start") + F.length("region") - WINDOW).alias("last")
+        placed = rows.select("hash", mark, "key", F.col("start").alias("first"), last)
+        twice = same.filter("n > 1").select("hash", mark)
+        runs.append(placed.join(twice, ["hash", "mark"], "left_semi").select("key", "first", "last"))
         sizes = same.groupBy("hash").agg(F.count("*").alias("different")).filter("different > 1")
-        rows = same.join(sizes, "hash").select("hash", "one.*", "region", "different")
-        regions.append(rows.filter(F.col("different") <= OFTEN).select(*_HOT))
-        hot = rows.filter(F.col("different") > OFTEN)
-        if width == 1 or hot.isEmpty():
+        open_ = same.join(sizes, "hash").select("hash", "one.*", "region", "different")
+        regions.append(open_.filter(F.col("different") <= OFTEN).select("hash", "key", "start", "region"))
+        rows = open_.filter(F.col("different") > OFTEN)
+        if width == 1 or rows.isEmpty():
             return runs, regions
         width //= 2
-        hot = materialise(_halved(hot, width), "halved-regions")
+        rows = materialise(_halved(rows, width), "halved-regions")
 
 
 def repeated_windows(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -266,33 +266,27 @@ def repeated_windows(docs: DataFrame, key: str, text: str) -> DataFrame:
     ``docs`` has one key for equal texts; the copies of a text beyond the first are not looked at here.
     """
     anchored = docs.select(key, text).mapInArrow(
-        _find_anchors, "hash long, key binary, place long, back short, ahead short"
+        frugal(_find_anchors), "hash long, key binary, place long, back short, ahead short"
     )
     spot = F.xxhash64("key", "place")
     # Stored, so that the join below reads both sides from plain shuffles and a hot anchor can be split.
     shared = materialise(
         anchored.groupBy("hash").agg(
-            F.min(spot).alias("low"), F.max(spot).alias("high"), F.count("*").alias("n")
-        ).filter("low != high").select("hash", (F.col("n") > OFTEN).alias("often")), "anchors"
+            F.min(spot).alias("low"), F.max(spot).alias("high")
+        ).filter("low != high").select("hash"), "anchors"
     )
     wanted = anchored.join(shared, "hash").groupBy("key").agg(
-        F.collect_set(F.struct("hash", "place", "back", "ahead", "often")).alias("found")
+        F.collect_set(F.struct("hash", "place", "back", "ahead")).alias("found")
     )
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).groupBy("key").agg(
         F.any_value("text").alias("text")
     )
-    # Stored, as what is frequent takes a way of its own.
     cut = materialise(texts.join(wanted, "key").select("key", "text", "found").mapInArrow(
-        _cut, "hash long, key binary, start long, low short, high short, often boolean, region binary"
+        frugal(_cut), "hash long, key binary, start long, low short, high short, region binary"
     ), "regions")
-    narrow = ("hash", "key", "start", "region")
-    runs, regions = [], [cut.filter("not often")]
-    if not shared.filter("often").isEmpty():
-        runs, more = _settle(cut.filter("often").select(*_HOT))
-        regions += more
-    rows = reduce(DataFrame.unionByName, [r.select(*narrow) for r in regions])
-    dealt = rows.repartition("hash").sortWithinPartitions("hash")
-    found = dealt.mapInArrow(_search, "key binary, first long, last long")
+    runs, regions = _settle(cut)
+    dealt = reduce(DataFrame.unionByName, regions).repartition("hash").sortWithinPartitions("hash")
+    found = dealt.mapInArrow(frugal(_search), "key binary, first long, last long")
     return reduce(DataFrame.unionByName, runs, found)
 
 

@@ -167,7 +167,7 @@ def brute_kept(texts):
     return out
 
 
-@pytest.mark.parametrize("often", [1_000, 1])
+@pytest.mark.parametrize("often", [1_000, 3, 1])
 def test_repeats_equal_brute_force(spark, often, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "OFTEN", often)
     rng = random.Random(9)

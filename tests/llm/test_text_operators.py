@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 import zlib
 
 import numpy as np
@@ -187,6 +188,67 @@ def test_ngrams_by_hand():
     assert letters.tolist() == [0, 4, 0, 4, 0]
 
 
+def brute_language(labelled, text):
+    """Naive Bayes over the same n-grams, counted one by one."""
+    from collections import Counter
+
+    size, counts, rows_ = 1 << lang_id.BUCKET_BITS, {}, Counter(n for _, n in labelled)
+    for t, name in labelled:
+        counts.setdefault(name, Counter()).update(lang_id.ngrams([t])[0].tolist())
+    logs = {}
+    for name, own in counts.items():
+        total = sum(own.values()) + size * lang_id.SMOOTHING
+        logs[name] = np.log(rows_[name] / len(labelled)) + sum(
+            np.log((own[g] + lang_id.SMOOTHING) / total) for g in lang_id.ngrams([text])[0].tolist()
+        )
+    top = max(logs.values())
+    return min(n for n in logs if logs[n] == top), 1 / sum(np.exp(v - top) for v in logs.values())
+
+
+def test_language_equals_brute_force(spark):
+    """Ties (fr and xx learn the same), repeated rows, NULL and empty texts."""
+    labelled = [("the cat sat", "en"), ("the dog", "en"), ("le chat", "fr"), ("le chat", "xx"), ("Der Hund!", "de"),
+                ("der", "de"), (None, "de"), ("", "en")]
+    df = spark.createDataFrame(labelled, "text string, lang string")
+    model = lang_id.train(df, "text", "lang")
+    asked = ["the", "le chat", "le chat", "Hund der", "x", "the le der"]
+    names, scores = model.predict(asked)
+    want = [brute_language(labelled, t) for t in asked]
+    assert names == [n for n, _ in want]
+    assert scores == pytest.approx([s for _, s in want], abs=1e-4)
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 20])
+def test_long_texts_are_counted_in_pieces(size, monkeypatch):
+    def totals(texts):
+        found, letters = {}, np.zeros(len(texts), int)
+        for part, owner, bucket, n, some in lang_id.counted(texts):
+            letters[part] += some
+            for i, b, c in zip(owner, bucket, n):
+                found[part.start + i, b] = found.get((part.start + i, b), 0) + c
+        return found, letters.tolist()
+
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("abcÉ ,.dß1İ", k=rng.randrange(40))) for _ in range(200)] + [None, ""]
+    whole = totals(texts)
+    monkeypatch.setattr(lang_id, "STEP_CHARS", size)
+    assert totals(texts) == whole
+
+
+def test_language_memory_does_not_follow_text_times_languages():
+    import tracemalloc
+
+    prob = np.random.default_rng(1).random((1 << lang_id.BUCKET_BITS, 64)).astype(np.float32)
+    model = lang_id.LanguageModel(tuple(f"l{i:02}" for i in range(64)), np.zeros(64), prob)
+    text = "".join(random.Random(2).choices("abcdefgh ijkl", k=1_000_000))
+    model.predict(["warm"])
+    tracemalloc.start()
+    model.predict([text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300 * 1024 * 1024
+
+
 # Quality ----------------------------------------------------------------------------------------
 
 

@@ -15,13 +15,18 @@ LEAST_SCORE = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the languages of the labelled ones; those without letters go."""
+    """Documents in one of the languages of the labelled ones; those without letters go.
+
+    A document without a language gets the one predicted. Repeated rows all stay or all go; a table
+    without labelled rows keeps nothing.
+    """
     model = lang_id.train(docs, "text", "lang")
     found = free_name(docs, "_found")
     predict = lang_id.predictor(spark.sparkContext.broadcast(model))
     marked = docs.withColumn(found, predict(F.col("text").cast("string")))
     kept = (F.col(f"{found}.lang_pred") != lang_id.UNKNOWN) & (F.col(f"{found}.score") >= LEAST_SCORE)
-    return marked.filter(kept).select(docs.columns)
+    lang = F.coalesce(F.col("lang").cast("string"), F.col(f"{found}.lang_pred"))
+    return marked.filter(kept).withColumn("lang", lang).select(docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orelode.llm.common import free_name, frugal, row_sums, steps
+from orelode.llm.common import forget_others, free_name, frugal, give_back, row_sums, steps
 from orelode.sources.paths import materialise
 
 ORDER = 4
@@ -31,6 +31,8 @@ BITS = 16
 SYMBOLS, _BEFORE = 1 << BITS, (1 << BITS) - 1
 #: Characters of a block of documents, unless one text is longer.
 BLOCK_CHARS = 8_000_000
+#: Characters that are scored in one step, unless one text is longer.
+SCORED_CHARS = 250_000
 #: Bits of the map that sets aside most documents without a trusted id before the join: 16 MB.
 MARK_BITS = 27
 #: Bits of one row of Spark's bitmap aggregates.
@@ -253,6 +255,7 @@ def _tag(at: int, names: list[str]):
 def _score(at: int, keep_text: bool, names: list[str]):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         """The rows of a block with their perplexity under each model."""
+        forget_others("")
         codes = answers["gram"].to_numpy()
         logs = np.stack([c.to_numpy() for c in answers.columns[2:]], 1)
         order = np.argsort(codes)
@@ -260,7 +263,7 @@ def _score(at: int, keep_text: bool, names: list[str]):
         open_ = zstandard.ZstdDecompressor().decompress
         texts = [None if b is None else open_(b).decode() for b in docs.column(at).to_pylist()]
         found = []
-        for part in steps(texts):
+        for part in steps(texts, SCORED_CHARS):
             own, begins = grams(texts[part])
             place = np.searchsorted(codes, own)
             if len(own) and (place.max() >= len(codes) or (codes[place] != own).any()):
@@ -275,6 +278,7 @@ def _score(at: int, keep_text: bool, names: list[str]):
         if not keep_text:
             del columns[at]
         values = [pa.array(v, mask=np.isnan(v)) for v in ppl.T]
+        give_back()
         return pa.table([*columns, *values], names=names)
 
     return run

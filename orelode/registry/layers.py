@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from orelode.operators.keys import assign_keys
 from orelode.operators.merge import ACTION, KEEP, MergeRule, insert_all, merge_apply, merge_changes
 from orelode.operators.scd2 import scd2_apply, unknown_member
 from orelode.plans.gold import changed_customer_ids, customer_source, fact_source, product_source
-from orelode.plans.silver import merge_silver, silver_source, tag
+from orelode.plans.silver import silver_source, tag
 from orelode.sources.feeds import FEEDS, LOAD_TS, bronze_feed
 from orelode.sources.paths import materialise
 from orelode.specs import DIM_CUSTOMERS, DIM_PRODUCTS, ENTITIES, FACTS, DimSpec
@@ -30,11 +31,16 @@ class Layers:
 
     Lazy by default. With ``store`` the silver tables and dimensions are written to shared scratch
     storage as they are first needed and read from there, as gold loads read them in a real run:
-    each is computed once, and Spark plans the gold joins on measured sizes.
+    each is computed once, and Spark plans the gold joins on measured sizes. ``columns`` names per
+    entity what the query reads of its silver table: of other columns only what the merge needs is
+    moved and written.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, store: bool = False):
-        self.spark, self.sf_dir, self.store = spark, sf_dir, store
+    def __init__(
+        self, spark: SparkSession, sf_dir: str, store: bool = False,
+        columns: dict[str, tuple[str, ...]] | None = None,
+    ):
+        self.spark, self.sf_dir, self.store, self.columns = spark, sf_dir, store, columns or {}
         self._stored: dict[tuple, DataFrame] = {}
 
     def _keep(self, name: tuple, build: Callable[[], DataFrame]) -> DataFrame:
@@ -54,23 +60,32 @@ class Layers:
     def tagged(self, entity: str, *batches: int, strict: bool = False) -> DataFrame:
         return tag(bronze_feed(self.spark, self.sf_dir, entity, *batches), ENTITIES[entity], strict)
 
+    def rule(self, entity: str) -> MergeRule:
+        """The entity's merge, of the columns that are read and the hash that decides updates."""
+        rule = MergeRule.for_entity(ENTITIES[entity])
+        if entity not in self.columns:
+            return rule
+        gate = ("hash_value",) if rule.gate == "hash" and self.has_second(entity) else ()
+        kept = {*self.columns[entity], rule.key, *gate}
+        return replace(rule, columns=tuple(c for c in rule.columns if c in kept))
+
     def source(self, entity: str, *batches: int) -> DataFrame:
-        return silver_source(self.tagged(entity, *batches), ENTITIES[entity])
+        columns = self.rule(entity).columns if entity in self.columns else None
+        return silver_source(self.tagged(entity, *batches), ENTITIES[entity], columns)
 
     def has_second(self, entity: str) -> bool:
         return any(i.batch == 2 for i in FEEDS[entity].images)
 
     def silver(self, entity: str, through: int = 2) -> DataFrame:
         """The silver table after one or both batches, with the last merge's actions."""
-        spec = ENTITIES[entity]
         first = self._keep(
-            ("silver", entity, 1), lambda: insert_all(self.source(entity, 1), MergeRule.for_entity(spec), ts(1))
+            ("silver", entity, 1), lambda: insert_all(self.source(entity, 1), self.rule(entity), ts(1))
         )
         if through == 1 or not self.has_second(entity):
             return first
         return self._keep(
             ("silver", entity, 2),
-            lambda: merge_silver(first.drop(ACTION), self.source(entity, 2), spec, ts(2)),
+            lambda: merge_apply(first.drop(ACTION), self.source(entity, 2), self.rule(entity), ts(2)),
         )
 
     def changes(self, entity: str, batch: int) -> DataFrame:
@@ -82,7 +97,7 @@ class Layers:
         return merge_changes(
             self.silver(entity, 1).drop(ACTION),
             self.source(entity, 2),
-            MergeRule.for_entity(ENTITIES[entity]),
+            self.rule(entity),
             ts(2),
         )
 

@@ -160,3 +160,19 @@ def test_hot_lookup_key_is_split(spark, tmp_path):
     finally:
         for k in confs:
             spark.conf.unset(k)
+
+
+def test_dedup_moves_only_what_is_read(spark, sf_dir):
+    """What orders equal rows after the last column read neither sorts nor is shuffled; the result is the same."""
+    layers = Layers(spark, sf_dir, columns={"order_items": ("order_item_id", "order_id", "product_id")})
+    narrow = layers.source("order_items", 1)
+    exchanged = plan(narrow).split("Exchange hashpartitioning")[1]
+    assert "sha2" not in exchanged and "unit_price#" not in plan(narrow).split("Exchange hashpartitioning")[0]
+    whole = Layers(spark, sf_dir).source("order_items", 1).select(*narrow.columns)
+    assert narrow.exceptAll(whole).isEmpty() and whole.exceptAll(narrow).isEmpty()
+
+
+def test_dedup_shuffles_hashes_as_bytes(spark, sf_dir):
+    source = Layers(spark, sf_dir).source("orders", 1)
+    assert "unhex" in plan(source).split("Exchange hashpartitioning")[1]
+    assert source.where("hash_value rlike '^[0-9a-f]{64}$'").count() == source.count()

@@ -151,6 +151,28 @@ def test_good_elements_of_a_broken_array_stay(spark, tmp_path, small_splits):
     assert found.count(None) == 5
 
 
+def test_scratch_tables_are_not_read_in_the_inputs_splits(spark, tmp_path, small_splits):
+    """The splits set for raw files decide the tasks that read them, not those on what is written between."""
+    from orelode.sources.objects import _scratch
+
+    stored = _scratch(spark.range(20000).select(F.sha2(F.col("id").cast("string"), 256).alias("h")).coalesce(1), "wide")
+    assert stored.count() == 20000 and stored.rdd.getNumPartitions() <= 8
+
+
+def test_kinds_of_files_are_told_without_sorting_lines(spark, tmp_path):
+    from orelode.sources.bronze import _kinds
+
+    # The code of the last one's first sign is that of a bracket plus 256.
+    texts = {"a": '[\n{"n": 1}\n]', "b": '{"n": 1}\n{"n": 2}', "c": '\n\t{\n"n":\n1\n}', "d": "ś"}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    found = _kinds(spark, str(tmp_path))
+    lines = {r.source_file.rsplit("/", 1)[1][0]: r.by_line for r in found.collect()}
+    assert lines == {"a": False, "b": True, "c": False, "d": True}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan.split("FileScan")[0].split("block")[-1] and "HashAggregate(keys=[source_file" in plan
+
+
 def test_default_layout_tells_files_apart(spark, tmp_path, small_splits):
     (tmp_path / "array.json").write_text(json.dumps([{"n": i} for i in range(30)]))
     (tmp_path / "object.json").write_text(json.dumps({"n": 100, "o": {"p": 1}}, indent=4))

@@ -44,6 +44,13 @@ def give_back() -> None:
         trim(0)
 
 
+def few(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The rows a few at a time: as Python values they take far more room than in the batch."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 #: How to drop what this worker remembers between partitions, by the operator that remembers it.
 _REMEMBERED: dict[str, Callable[[], None]] = {}
 
@@ -59,11 +66,15 @@ def forget_others(owner: str) -> None:
 
 
 def frugal(step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], owner: str = ""):
-    """A step for ``mapInArrow`` that drops other operators' memory first and gives back its own at the end."""
+    """A step for ``mapInArrow`` that drops other operators' memory first and gives back its own at the end.
+
+    What an earlier step of this worker has freed but still holds goes before the first batch comes.
+    """
 
     @wraps(step)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_others(owner)
+        give_back()
         try:
             yield from step(batches)
         finally:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from orelode.llm.common import free_name, frugal, steps
+from orelode.llm.common import few, free_name, frugal, give_back, steps
 from orelode.llm.components import components
 from orelode.llm.words import mix, shingle_hashes, weighted_sets, word_hashes
 from orelode.sources.paths import materialise
@@ -37,6 +37,8 @@ BANDS, ROWS = 28, 7
 LEAST_EQUAL = 0.66
 #: Members outside and inside of a main group that one block compares.
 LEFT, RIGHT = 256, 1024
+#: Characters whose words and shingles are held at once, unless one text is longer.
+SIGNED_CHARS = 250_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -114,9 +116,9 @@ def _sequence_keys(words: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in few(batches):
         texts = batch.column(1).to_pylist()
-        for part in steps(texts):
+        for part in steps(texts, SIGNED_CHARS):
             words, first, shingles, owner, counts = _sets(texts[part])
             n = part.stop - part.start
             signed = signatures(shingles, owner, weights(counts), n, BANDS * ROWS)
@@ -134,9 +136,9 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pack_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in few(batches):
         texts = batch.column(1).to_pylist()
-        for part in steps(texts):
+        for part in steps(texts, SIGNED_CHARS):
             _, _, shingles, owner, counts = _sets(texts[part])
             n = part.stop - part.start
             cut = np.searchsorted(owner, np.arange(n + 1))
@@ -156,17 +158,29 @@ def _unpack(shingles: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
     return h, weights(np.frombuffer(counts, "<u4")) if counts else np.ones(len(h))
 
 
-def _similar(sa: pd.Series, ca: pd.Series, sb: pd.Series, cb: pd.Series) -> pd.Series:
-    return pd.Series([
-        similarity(_unpack(a, m), _unpack(b, n)) >= SIMILARITY - 1e-12
-        for a, m, b, n in zip(sa, ca, sb, cb)
-    ], dtype=bool)
+def _similar(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    try:
+        for columns in batches:
+            found = pd.Series([
+                similarity(_unpack(a, m), _unpack(b, n)) >= SIMILARITY - 1e-12
+                for a, m, b, n in zip(*columns)
+            ], dtype=bool)
+            del columns
+            yield found
+    finally:
+        give_back()
 
 
-def _alike(a: pd.Series, b: pd.Series) -> pd.Series:
+def _alike(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """Whether two signatures of one byte a component leave the threshold possible."""
-    x, y = (np.frombuffer(b"".join(s), np.uint8).reshape(len(s), -1) for s in (a, b))
-    return pd.Series((x == y).mean(1) >= LEAST_EQUAL, dtype=bool)
+    try:
+        for columns in batches:
+            x, y = (np.frombuffer(b"".join(s), np.uint8).reshape(len(s), -1) for s in columns)
+            found = pd.Series((x == y).mean(1) >= LEAST_EQUAL, dtype=bool)
+            del columns, x, y
+            yield found
+    finally:
+        give_back()
 
 
 def _both(pairs: DataFrame, facts: DataFrame) -> DataFrame:

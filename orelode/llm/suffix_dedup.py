@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orelode.llm.common import free_name, frugal, text_key
+from orelode.llm.common import few, free_name, frugal, text_key
 from orelode.llm.suffixes import permuted_common_prefixes, suffix_array
 from orelode.llm.words import mix
 from orelode.sources.paths import materialise
@@ -38,8 +38,8 @@ _SPAN = WINDOW - ANCHOR + 1  # anchors a window may have
 SHARD_BYTES = 2_000_000
 #: An anchor with more texts, which might not fit a shard, is replaced by longer ones.
 OFTEN = SHARD_BYTES // (WINDOW + _SPAN)
-#: Bytes that one vectorised step takes, unless one text is longer.
-STEP_BYTES = 1_500_000
+#: Bytes that one vectorised step takes, unless one text is longer: about a hundred times as many in memory.
+STEP_BYTES = 250_000
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
@@ -76,16 +76,9 @@ def _texts(batch: pa.RecordBatch, column: int) -> list[bytes]:
     return batch.column(column).cast(pa.binary()).to_pylist()
 
 
-def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows a few at a time: as Python values they take far more room than in the batch."""
-    for batch in batches:
-        for k in range(0, batch.num_rows, 256):
-            yield batch.slice(k, 256)
-
-
 def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(hash, key, place, first, last) of every anchor; the key is that of the text."""
-    for batch in _few(batches):
+    for batch in few(batches):
         keys, texts = batch.column(0).to_pylist(), _texts(batch, 1)
         begin = 0
         while begin < len(texts):
@@ -123,7 +116,7 @@ def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each text, for each listed anchor: the text of its windows, where it starts and the offsets."""
-    for batch in _few(batches):
+    for batch in few(batches):
         names, texts = batch.column(0).to_pylist(), _texts(batch, 1)
         owner = np.repeat(np.arange(len(names)), batch.column(2).value_lengths().to_numpy())
         anchors = pa.RecordBatch.from_struct_array(batch.column(2).flatten())

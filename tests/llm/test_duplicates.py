@@ -314,3 +314,25 @@ def test_nearest_of_mixed_dimensions_and_repeated_ids(spark):
     for q, _, v, score in got:
         a, b = np.array(vectors[q]), np.array(vectors[v])
         assert abs(score - a @ b / np.sqrt((a @ a) * (b @ b))) < 1e-12
+
+
+def test_steps_of_large_batches_stay_small():
+    """Vectorised steps over one batch of three million bytes: the arrays of one step at a time, no more."""
+    import random
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from orelode.llm import minhash_dedup, suffix_dedup
+
+    rng = random.Random(1)
+    texts = ["".join(rng.choices("abcdefghij ", k=12_000)) for _ in range(250)]
+    keyed = pa.RecordBatch.from_arrays([pa.array([str(i).encode() for i in range(250)]), pa.array(texts)], names=["key", "text"])
+    listed = pa.RecordBatch.from_arrays([pa.array(range(250), pa.int64()), pa.array(texts)], names=["id", "text"])
+    for step, batch, least in ((suffix_dedup._find_anchors, keyed, 1), (minhash_dedup._sign, listed, 250)):
+        tracemalloc.start()
+        rows = sum(out.num_rows for out in step(iter([batch])))
+        _, most = tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        assert rows >= least
+        assert most < 50_000_000, (step.__name__, most)

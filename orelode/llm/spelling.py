@@ -45,11 +45,13 @@ STEP = 500_000
 STEPS = "key string, side int, position int, node long, next int, starts boolean, ends boolean"
 
 
-def occurrences(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``(doc_id, run)``: each maximal run of letters, only A-Z lower-cased. NULL texts have none."""
-    lowered = F.translate(F.col(text).cast("string"), _UPPER, _LOWER)
-    run = F.explode(F.regexp_extract_all(lowered, F.lit(RUN.replace("A-Z", "")), F.lit(0)))
-    return docs.select(F.col(doc_id).cast("string").alias("doc_id"), run.alias("run"))
+def occurrences(docs: DataFrame, doc_id: str, text: str, least: int = 1) -> DataFrame:
+    """``(doc_id, run)``: each maximal run of ``least`` letters or more, only A-Z lower-cased. NULL texts have none."""
+    # Greedy from the left, so a match is a whole run; shorter ones are never made into rows.
+    pattern = f"{RUN.removesuffix('+')}{{{least},}}"
+    run = F.explode(F.regexp_extract_all(F.col(text).cast("string"), F.lit(pattern), F.lit(0)))
+    runs = docs.select(F.col(doc_id).cast("string").alias("doc_id"), run.alias("run"))
+    return runs.withColumn("run", F.translate("run", _UPPER, _LOWER))
 
 
 def misspelt(doc_id: Column, run: Column) -> Column:
@@ -66,10 +68,9 @@ def misspelt(doc_id: Column, run: Column) -> Column:
 
 def vocabulary(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``(word, n)`` of all words long and frequent enough, over whole texts."""
-    runs = occurrences(docs, doc_id, text)
     # A run of the least length may lose a character, so shorter ones cannot matter.
-    long = runs.filter(F.length("run") >= LEAST_LENGTH)
-    words = long.select(misspelt(F.col("doc_id"), F.col("run")).alias("word"))
+    runs = occurrences(docs, doc_id, text, LEAST_LENGTH)
+    words = runs.select(misspelt(F.col("doc_id"), F.col("run")).alias("word"))
     counted = words.filter(F.length("word") >= LEAST_LENGTH).groupBy("word").agg(F.count("*").alias("n"))
     return counted.filter(F.col("n") >= LEAST_COUNT)
 
@@ -181,28 +182,30 @@ def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _one_edit(a: Column, b: Column) -> Column:
     """Whether two strings are exactly one edit apart.
 
-    The built-in distance takes the square of the length even within a bound, so beyond 64 characters
-    the first character that differs is looked up instead.
+    Where they begin differently, the edit is there and the rest is equal. The built-in distance takes
+    the square of the length even within a bound, so beyond 64 characters the first character that
+    differs is looked up instead.
     """
     n, m = F.length(a), F.length(b)
+    follows = F.substr(a, (n >= m).cast("int") + 1) == F.substr(b, (m >= n).cast("int") + 1)
+    at_once = (F.abs(n - m) <= 1) & follows
     same = F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: F.coalesce(x == y, F.lit(False)))
     at = F.array_position(same, False).cast("int")
     after = F.substr(a, at + (n >= m).cast("int")) == F.substr(b, at + (m >= n).cast("int"))
     long = (at > 0) & (F.abs(n - m) <= 1) & after
-    return F.when(F.least(n, m) <= 64, F.levenshtein(a, b, 1) == 1).otherwise(long)
+    later = F.when(F.least(n, m) <= 64, F.levenshtein(a, b, 1) == 1).otherwise(long)
+    return F.when(F.substring(a, 1, 1) != F.substring(b, 1, 1), at_once).otherwise(later)
 
 
 def _edited(rest: Column, label: Column) -> Column:
-    """Ways to read ``label`` from ``rest`` with at most one edit: characters read, edits spent."""
+    """Ways to read ``label`` from ``rest`` with at most one edit: characters read, edits spent; some are NULL."""
     n = F.length(label)
     way = lambda more, spent: F.struct((n + more).alias("read"), F.lit(spent).alias("spent"))
     one_off = lambda more: (
         (F.length(rest) >= n + more) & _one_edit(label, F.substr(rest, F.lit(1), n + more))
     )
     # A label read without an edit needs no edit inside it: the next edge or the end takes that.
-    with_edit = F.filter(
-        F.array(*(F.when(one_off(more), way(more, 1)) for more in (-1, 0, 1))), lambda w: w.isNotNull()
-    )
+    with_edit = F.array(*(F.when(one_off(more), way(more, 1)) for more in (-1, 0, 1)))
     return F.when(F.startswith(rest, label), F.array(way(0, 0))).otherwise(with_edit)
 
 
@@ -217,19 +220,18 @@ def neighbours(words: DataFrame) -> DataFrame:
     found = []
     while True:
         spelled = _spelled(F.col("word"), F.col("side"))
-        frontier = frontier.withColumn("rest", F.substr(spelled, F.col("position") + 1))
+        rest = F.substr(spelled, F.col("position") + 1)
+        frontier = frontier.withColumn("rest", rest).withColumn("begin", F.substring("rest", 1, 1))
         # A row with its edit ahead tries all edges of its node; one that has spent it fits one at most.
-        free = frontier.filter("edits = 0").join(edges, "node").withColumn(
-            "way", F.explode(_edited(F.col("rest"), F.col("label")))
-        )
-        spent = (
-            frontier.filter("edits = 1")
-            .withColumn("first", F.substring("rest", 1, 1))
-            .join(edges, ["node", "first"])
-            .filter(F.startswith("rest", "label"))
-            .withColumn("way", F.struct(F.length("label").alias("read"), F.lit(0).alias("spent")))
+        free = F.col("edits") == 0
+        unspent = F.struct(F.length("label").alias("read"), F.lit(0).alias("spent"))
+        ways = F.when(free, _edited(F.col("rest"), F.col("label"))).otherwise(
+            F.when(F.startswith("rest", "label"), F.array(unspent))
         )
-        after = free.unionByName(spent, allowMissingColumns=True).select(
+        # One join for both, so that the edges are dealt and sorted once a round.
+        meets = (frontier["node"] == edges["node"]) & (free | (F.col("begin") == F.col("first")))
+        tried = frontier.join(edges, meets).withColumn("way", F.explode(ways)).filter("way is not null")
+        after = tried.select(
             "word", "side", (F.col("position") + F.col("way.read")).alias("position"),
             F.col("child").alias("node"), (F.col("edits") + F.col("way.spent")).alias("edits"),
             "end_word", "onward", F.substr("rest", F.col("way.read") + 1, F.lit(1)).alias("following"),

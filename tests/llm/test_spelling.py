@@ -118,3 +118,17 @@ def test_trie_has_forks_only(spark):
     labels = {r["label"] for r in edges.collect()}
     assert "l" in labels and starts.count() == 6
     assert edges.filter(F.col("end_word") == "splendid").count() == 2
+
+
+def test_runs_of_a_least_length_are_whole_runs(spark):
+    docs = spark.createDataFrame([(1, "Abc abcdefG abcdefgh Ärmelchen ab1abcdefg"), (2, None)], "doc_id long, text string")
+    found = sorted(r.run for r in spelling.occurrences(docs, "doc_id", "text", 7).collect())
+    assert found == ["abcdefg", "abcdefg", "abcdefgh", "Ärmelchen"]
+
+
+def test_one_edit_at_the_first_character_needs_no_distance(spark):
+    words = ["", "a", "b", "ab", "ba", "abc", "xbc", "bc", "xabc", "abcd", "cab", "é", "éa", "x" * 70, "y" + "x" * 69, "y" + "x" * 70]
+    pairs = spark.createDataFrame([(a, b) for a in words for b in words], "a string, b string")
+    one = F.coalesce(spelling._one_edit(F.col("a"), F.col("b")), F.lit(False))
+    wrong = pairs.filter(one != (F.levenshtein("a", "b") == 1)).collect()
+    assert wrong == []

@@ -138,7 +138,8 @@ def nearest(
     schema = "table int, code long, vec_id long, ids array<long>, vector binary"
     index = entries.mapInArrow(_hashed(settings, False, single), schema)
     probes = asked.mapInArrow(_hashed(settings, True, single), schema)
-    cells = index.groupBy("table", "code").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    # Hashing makes hundreds of rows of one, which Spark's sizes do not tell: merged, none of them go to the driver.
+    cells = index.groupBy("table", "code").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")).hint("merge")
     spread = F.col("chunks") > 1
     index = index.join(cells, ["table", "code"]).select(
         "table", "code",

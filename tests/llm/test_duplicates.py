@@ -298,6 +298,14 @@ def test_recall(spark, sf_dir):
     assert hits >= 0.9 * total
 
 
+def test_nearest_sends_no_cells_to_the_driver(spark):
+    """A few queries make six hundred rows each, so no size of theirs may have Spark broadcast the rows."""
+    rng = np.random.default_rng(3)
+    df = vectors(spark, [(k, v.tolist()) for k, v in enumerate(rng.standard_normal((40, 8)))])
+    text = ann.nearest(df, "vec_id", "embedding", "vec_id % 5 = 0")._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in text
+
+
 def test_nearest_of_mixed_dimensions_and_repeated_ids(spark):
     rng = np.random.default_rng(5)
     rows = [(i, rng.standard_normal(3 if i % 2 else 5).tolist()) for i in range(60)]

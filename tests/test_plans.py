@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from orelode.operators.changes import BATCH, net_changes
 from orelode.operators.keys import KEY_BLOCK, assign_keys
 from orelode.operators.lookup import pit_lookup
-from orelode.operators.merge import MergeRule, merge_apply, merge_changes
+from orelode.operators.merge import ACTION, MergeRule, merge_apply, merge_changes
 from orelode.operators.scd2 import scd2_apply, scd2_changes
 from orelode.plans.gold import fact_source, product_source
 from orelode.plans.silver import silver_source, tag
 from orelode.registry.layers import Layers, ts
 from orelode.sources.feeds import typed_feed
+from orelode.sources.tables import ChangeTable
 from orelode.specs import DIM_CUSTOMERS, DIM_PRODUCTS, ENTITIES, FACTS
 
 
@@ -87,6 +88,18 @@ def test_dimension_loads(spark, tables):
         check(plan(scd2_changes(tables["dim_products"], source, DIM_PRODUCTS, 1, 8, mode)))
 
 
+def test_many_keys_are_not_broadcast_for_the_size_of_their_files(spark, tmp_path):
+    """Files of few values weigh a hundredth of their rows: then the rows decide what may go to the driver."""
+    table = ChangeTable(spark, str(tmp_path), "k bigint, v string", "k")
+    rows = spark.range(400_000).select(F.col("id").alias("k"), F.lit("v").alias("v"), F.lit("insert").alias(ACTION))
+    for n in (0, 1):
+        table.write_changes(rows, n)
+    keys = table.feed([1]).select("k")
+    assert "Broadcast" not in plan(table.state(1, keys)) and "Broadcast" not in plan(table.state())
+    assert "BroadcastHashJoin" in plan(table.state(1, keys.where("k < 5")))
+    assert table.state(1, keys).count() == table.state().count() == 400_000
+
+
 def test_lookup_reads_four_dimension_columns(spark, tables):
     text = plan(pit_lookup(tables["orders"], tables["dim_customers"], DIM_CUSTOMERS, "customer_id", "created_at"))
     schema = next(p for p in text.split("ReadSchema: ")[1:] if "valid_from" in p)

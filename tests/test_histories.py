@@ -151,6 +151,20 @@ def test_good_elements_of_a_broken_array_stay(spark, tmp_path, small_splits):
     assert found.count(None) == 5
 
 
+def test_small_splits_share_tasks_and_keep_their_places(spark, tmp_path, small_splits):
+    from orelode.sources.bronze import _first_signs
+    from orelode.sources.objects import TASKS, read_pieces
+
+    (tmp_path / "a.json").write_text(json.dumps([odd_record(random.Random(i), i) for i in range(600)]))
+    size = (tmp_path / "a.json").stat().st_size
+    pieces = read_pieces(spark, str(tmp_path))
+    assert pieces.rdd.getNumPartitions() <= TASKS * spark.sparkContext.defaultParallelism < size // 400
+    assert pieces.select("block").distinct().count() > size // 800
+    # The first sign is not looked for by every split.
+    assert _first_signs(spark, str(tmp_path)).collect()[0].first == ord("[")
+    assert sorted(json.loads(r)["id"] for r in read(spark, tmp_path)) == list(range(600))
+
+
 def test_scratch_tables_are_not_read_in_the_inputs_splits(spark, tmp_path, small_splits):
     """The splits set for raw files decide the tasks that read them, not those on what is written between."""
     from orelode.sources.objects import _scratch

@@ -377,3 +377,28 @@ def test_array_files_hold_a_bounded_number_of_orders(spark, sf_dir, tmp_path, mo
     files = [p.read_text() for p in (tmp_path / "arrays" / "one_line").rglob("*.txt")]
     sizes = [len({r["order_id"] for r in json.loads(t)}) for t in files if t]
     assert sum(sizes) == forms["one line"][2] and max(sizes) <= 50
+
+
+def test_a_run_keeps_its_landed_lines_compressed(spark, sf_dir, tmp_path):
+    """Raw text would take most of the disk of a whole run; plain and compressed files are read alike."""
+    from orelode.registry.loads import _land
+
+    for batch in (1, 2):
+        _land(spark, sf_dir, "orders", batch, str(tmp_path / "plain"))
+        _land(spark, sf_dir, "orders", batch, str(tmp_path / "compact"), compact=True)
+    size, rows = {}, {}
+    for kind in ("plain", "compact"):
+        size[kind] = sum(p.stat().st_size for p in (tmp_path / kind).rglob("part-*"))
+        found = read_raw(spark, str(tmp_path / kind)).select(F.to_json("payload").alias("r"))
+        rows[kind] = sorted(r.r for r in found.collect())
+    assert rows["compact"] == rows["plain"] and size["compact"] * 4 < size["plain"]
+
+
+def test_one_batch_of_a_feed_is_not_netted_again(spark, tmp_path):
+    """Each key is in it once; several batches still come to the last image."""
+    m = Medallion(spark, str(tmp_path / "m"))
+    table = m.silver("orders")
+    feed = spark.createDataFrame([(1, 0, "A"), (1, 1, "B"), (2, 1, "C")], "order_id long, _batch_id long, order_status string")
+    one = m._net(feed.where("_batch_id = 1"), table, 1)
+    assert "Window" not in one._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.order_id, r.order_status) for r in m._net(feed, table, 2).collect()) == [(1, "B"), (2, "C")]
